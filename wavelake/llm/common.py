@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,7 @@ CACHED_WORDS = 300_000
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table; Python workers get batches of 500 rows, so long texts stay small in memory."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))  # for the Python workers
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
