@@ -39,6 +39,7 @@ def staged(df: DataFrame) -> DataFrame:
     """Writes ``df`` as Parquet in the shared folder and reads it back: later steps don't recompute it, and lost executors don't either."""
     path = f"{shared_dir(df.sparkSession)}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    df.sparkSession.sparkContext._jvm.System.gc()  # lets Spark's cleaner drop the shuffle files of finished steps
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -122,5 +123,11 @@ def rows_of(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple]:
         yield from zip(*(b.column(b.schema.get_field_index(n)).to_pylist() for n in names), strict=True)
 
 
-def batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)
+def by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, pa.RecordBatch]]:
+    """Slices of the sorted batches with one block and kind."""
+    for b in batches:
+        if len(b):
+            block, kind = np.asarray(b.column("block")), np.asarray(b.column("kind"))
+            edge = np.flatnonzero((np.diff(block) != 0) | (np.diff(kind) != 0)) + 1
+            for lo, hi in zip([0, *edge], [*edge, len(b)], strict=True):
+                yield int(block[lo]), int(kind[lo]), b.slice(lo, hi - lo)
