@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from . import chat, langid, mixing, packing, quality, secrets
+from . import chat, langid, lmscore, mixing, neardup, packing, phrases, quality, secrets, topk
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
     "op2_secrets": secrets.op2_secrets,
+    "op3_lmscore": lmscore.op3_lmscore,
     "op4_chat": chat.op4_chat,
+    "op5_neardup": neardup.op5_neardup,
+    "op6_topk": topk.op6_topk,
     "op7_quality": quality.op7_quality,
+    "op8_phrases": phrases.op8_phrases,
     "op9_mixing": mixing.op9_mixing,
     "op10_langid": langid.op10_langid,
 }
 
-ORACLES = {"op4_chat": chat.oracle, "op9_mixing": mixing.oracle}
+ORACLES = {"op4_chat": chat.oracle, "op6_topk": topk.oracle, "op9_mixing": mixing.oracle}
