@@ -137,32 +137,49 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -
     return {"w": w.astype(np.float32), "b": float(b), "slope": float(slope), "shift": float(shift)}
 
 
+def verdicts(docs: pa.RecordBatch, m: dict | None, threshold: float, hashes: WordHashes) -> list[list]:
+    """The columns of RESULT after doc_id for the rows of a batch."""
+    out: list[list] = [[] for _ in RESULT.names[1:]]
+    for text in docs.column("text").to_pylist():
+        raw = (text or "").encode()
+        words, b = raw.split(), np.frombuffer(raw, np.uint8)
+        n, repeats = len(words), repeat_words(words)
+        failed, p = n < MIN_WORDS or 100 * repeats > MAX_REPEAT * n, None
+        if m and n:
+            word, char = n_grams(raw, words, hashes)
+            z = m["b"] + SCALE * (float(m["w"][word].mean(dtype=np.float64)) + (float(m["w"][char].mean(dtype=np.float64)) if len(char) else 0.0))
+            p = 1 / (1 + np.exp(-np.clip(m["slope"] * z + m["shift"], -60, 60)))
+        row = (n, int((START & ~SPACE)[b].sum()), int(SYMBOL[b].sum()), dup_lines(raw), repeats, failed, not failed and (p is None or p >= threshold), p)
+        for column, x in zip(out, row, strict=True):
+            column.append(x)
+    return out
+
+
 def judge(docs: DataFrame, model: dict | None, threshold: float = THRESHOLD) -> DataFrame:
     """One row for each document: the base figures, ``base_failed``, ``p_good`` (null without words or model) and ``kept``."""
     shipped = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, hashes = shipped.value, WordHashes()
-        for batch in batches:
-            ids, texts = (batch.column(n) for n in ("doc_id", "text"))
-            out: list[list] = [[] for _ in RESULT.names[1:]]
-            for text in texts.to_pylist():
-                raw = (text or "").encode()
-                words, b = raw.split(), np.frombuffer(raw, np.uint8)
-                n, repeats = len(words), repeat_words(words)
-                failed, p = n < MIN_WORDS or 100 * repeats > MAX_REPEAT * n, None
-                if m and n:
-                    word, char = n_grams(raw, words, hashes)
-                    z = m["b"] + SCALE * (float(m["w"][word].mean(dtype=np.float64)) + (float(m["w"][char].mean(dtype=np.float64)) if len(char) else 0.0))
-                    p = 1 / (1 + np.exp(-np.clip(m["slope"] * z + m["shift"], -60, 60)))
-                row = (n, int((START & ~SPACE)[b].sum()), int(SYMBOL[b].sum()), dup_lines(raw), repeats, failed, not failed and (p is None or p >= threshold), p)
-                for column, x in zip(out, row, strict=True):
-                    column.append(x)
-            yield pa.RecordBatch.from_arrays([ids.cast(pa.int64()), *(pa.array(c, t) for c, t in zip(out, RESULT.types[1:], strict=True))], schema=RESULT)
+        hashes = WordHashes()
+        for b in batches:
+            out = verdicts(b, shipped.value, threshold, hashes)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(c, t) for c, t in zip(out, RESULT.types[1:], strict=True))], schema=RESULT)
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, p_good double")
 
 
+def kept(docs: DataFrame, model: dict | None, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that are kept, with all their columns."""
+    shipped, at = docs.sparkSession.sparkContext.broadcast(model), RESULT.names.index("kept") - 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for b in batches:
+            yield b.filter(pa.array(verdicts(b, shipped.value, threshold, hashes)[at], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return judge(docs, fit(docs, table(spark, sf_dir, "labels")))
