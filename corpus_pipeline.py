@@ -12,8 +12,7 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules and the model keep."""
-    verdicts = quality.judge(docs, quality.fit(docs, common.table(spark, sf_dir, "labels")))
-    return docs.join(verdicts.where("kept").select("doc_id").distinct(), "doc_id", "left_semi").select(*COLUMNS)
+    return quality.kept(docs.select(*COLUMNS), quality.fit(docs, common.table(spark, sf_dir, "labels")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
