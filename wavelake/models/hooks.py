@@ -32,7 +32,7 @@ class Codec(Protocol):
 
 
 RANKERS: dict[str, Callable[[Mapping[str, Any]], Any]] = {}
-_LIVE: dict[Any, Any] = {}
+_LIVE: dict[Any, Any] = {}  # filled by ``once`` in factories that load weights
 
 
 def ranker(kind: str):
@@ -121,7 +121,7 @@ def measured(rows: DataFrame, metrics: Mapping[str, Callable[[pd.DataFrame], Map
 def separated(requests: DataFrame, factory: Callable[[], Model]) -> DataFrame:
     """Target and residual of each (request, cand_idx, description, signal, seed), by the injected model."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = once(getattr(factory, "__qualname__", factory), factory)
+        model = factory()
         for rows in batches:
             both = [model(np.asarray(x, float), d, int(s)) for x, d, s in zip(rows.signal, rows.description, rows.seed, strict=True)]
             yield pd.DataFrame({"request": rows.request, "cand_idx": rows.cand_idx, "target": [np.asarray(t, float) for t, _ in both], "residual": [np.asarray(r, float) for _, r in both]})
