@@ -31,10 +31,10 @@ def first_files(files: DataFrame, limit: int | None = None) -> DataFrame:
 
 def warm_up_split(files: DataFrame) -> DataFrame:
     """Files by path with their phase: the first warms up, the others are measured. Fewer than two are an error."""
-    rows = files.withColumn("place", F.row_number().over(Window.orderBy("path")))
-    if rows.limit(2).count() < 2:
+    if files.limit(2).count() < 2:
         raise ValueError("two files at least")
-    return rows.withColumn("phase", F.when(F.col("place") == 1, "warmup").otherwise("benchmark"))
+    first = files.agg(F.min("path").alias("_first"))  # one row
+    return files.join(F.broadcast(first), F.col("path") >= F.col("_first")).withColumn("phase", F.when(F.col("path") == F.col("_first"), "warmup").otherwise("benchmark")).drop("_first")
 
 
 def prompts(rows: DataFrame, text: Column) -> DataFrame:
