@@ -7,6 +7,7 @@ import math
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 def doubles(x: Column) -> Column:
@@ -61,7 +62,7 @@ def approximate_gelu(x: Column) -> Column:
     return 0.5 * x * (1 + F.tanh(F.lit(math.sqrt(2 / math.pi)) * (x + 0.044715 * x * x * x)))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def gelu(x: pd.Series) -> pd.Series:
     """Exact; Spark has no erf."""
     return x.map(lambda v: 0.5 * v * (1 + math.erf(v / math.sqrt(2))))
