@@ -139,3 +139,16 @@ def scored(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
 def op3_lmscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = scored(table(spark, sf_dir, "documents"))
     return got.select("doc_id", "n_words", "n_backoff", F.round("log_score", 4).alias("log_score"))
+
+
+def oracle() -> str:
+    return rf"""
+with d as (select doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) ws from documents),
+w as (select doc_id, unnest(ws) w, generate_subscripts(ws, 1) i from d),
+k as (select *, lag(w) over (partition by doc_id order by i) p from w),
+c as (select *, count(*) over (partition by w) - count(*) over (partition by doc_id, w) rest, count(*) over (partition by p, w) - count(*) over (partition by doc_id, p, w) pair,
+  count(*) over () - count(*) over (partition by doc_id) others from k),
+t as (select *, lag(rest) over (partition by doc_id order by i) before from c),
+s as (select doc_id, count(*) n, sum((i > 1 and pair = 0)::int) b,
+  sum(case when i = 1 then ln(greatest(rest, 1) / (others + 1.0)) when pair > 0 then ln(pair / before) else ln({BACKOFF}) + ln(greatest(rest, 1) / (others + 1.0)) end) score from t group by doc_id)
+select d.doc_id, coalesce(n, 0)::bigint n_words, coalesce(b, 0)::bigint n_backoff, round(coalesce(score, 0), 4) log_score from d left join s using (doc_id)"""

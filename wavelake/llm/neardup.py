@@ -217,3 +217,16 @@ def joined(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECA
 
 def op5_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined(table(spark, sf_dir, "documents"))
+
+
+def oracle() -> str:
+    """All pairs that share a shingle, without banding."""
+    return rf"""
+with recursive d as (select doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) ws from documents where doc_id is not null),
+g as (select distinct doc_id, md5(array_to_string(ws[i:i + {WORDS - 1}], ' ')) g from (select doc_id, ws, unnest(range(1, greatest(len(ws) - {WORDS - 2}, 2))) i from d where len(ws) > 0)),
+n as (select doc_id, count(*) n from g group by doc_id),
+p as (select a.doc_id x, b.doc_id y, count(*) c from g a join g b on a.g = b.g and a.doc_id < b.doc_id group by all),
+l as (select x, y from p join n a on a.doc_id = x join n b on b.doc_id = y where c >= {SIMILARITY} * (a.n + b.n - c)),
+e as (select x, y from l union all select y, x from l),
+r as (select doc_id id, doc_id root from d union select e.y, r.root from r join e on e.x = r.id where r.root < e.y)
+select r.id doc_id, min(root) class_id, (select count(*) from e where e.x = r.id)::bigint n_links from r group by r.id"""

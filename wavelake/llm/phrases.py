@@ -222,3 +222,15 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE, bl
 
 def op8_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deduplicated(table(spark, sf_dir, "documents"))
+
+
+def oracle() -> str:
+    return rf"""
+with d as (select doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) ws from documents where doc_id is not null),
+w as (select doc_id, i, md5(array_to_string(ws[i:i + {WINDOW - 1}], ' ')) h from (select doc_id, ws, unnest(range(1, len(ws) - {WINDOW - 2})) i from d where len(ws) >= {WINDOW})),
+f as (select h, min(doc_id) first_doc from w group by h having min(doc_id) < max(doc_id)),
+x as (select doc_id, i from w join f using (h) where first_doc < doc_id),
+j as (select doc_id, unnest(ws) word, generate_subscripts(ws, 1) i from d),
+g as (select j.doc_id, j.i, word, coalesce(max(x.i) over (partition by j.doc_id order by j.i) >= j.i - {WINDOW - 1}, false) gone from j left join x on x.doc_id = j.doc_id and x.i = j.i),
+a as (select doc_id, count(*) n, sum(gone::int) r, string_agg(word, ' ' order by i) filter (where not gone) kept from g group by doc_id)
+select d.doc_id, coalesce(n, 0)::bigint n_words, coalesce(r, 0)::bigint n_removed, sha256(coalesce(kept, '')) kept_sha256 from d left join a using (doc_id)"""

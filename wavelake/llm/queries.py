@@ -17,4 +17,4 @@ QUERIES = {
     "op10_langid": langid.op10_langid,
 }
 
-ORACLES = {"op4_chat": chat.oracle, "op6_topk": topk.oracle, "op9_mixing": mixing.oracle}
+ORACLES = {"op3_lmscore": lmscore.oracle, "op4_chat": chat.oracle, "op5_neardup": neardup.oracle, "op6_topk": topk.oracle, "op8_phrases": phrases.oracle, "op9_mixing": mixing.oracle}
