@@ -8,6 +8,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Ranges of a group's values in which a percentile is looked for.
+RANGES = 1024
+
+
 def mean(x: Column) -> Column:
     """Mean without nulls and NaN."""
     return F.avg(F.nanvl(x, F.lit(None).cast("double")))
@@ -19,16 +23,23 @@ def mean_of_rows(x: Column) -> Column:
 
 
 def floor_rank(rows: DataFrame, keys: list[str], value: str, share: float = 0.95, name: str = "p95") -> DataFrame:
-    """For each group the sorted value at place floor(share * (n - 1)), without interpolation.
+    """For each group the sorted value at place floor(share * (n - 1)), without interpolation. Nulls and NaN don't count.
 
-    Equal values are counted first, so what a group sends to one task is bounded by its distinct values.
+    Values are not sorted or shuffled as a whole: counts in RANGES ranges between a group's least and largest value tell which range has the
+    place, and only that range's values are counted one by one.
     """
-    counted = rows.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-    upto = F.sum("_n").over(group.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
-    places = counted.withColumns({"_upto": upto, "_at": F.floor(F.lit(share) * (F.sum("_n").over(group) - 1))})
-    found = places.where((F.col("_upto") > F.col("_at")) & (F.col("_upto") - F.col("_n") <= F.col("_at")))
-    return found.select(*keys, F.col(value).alias(name))
+    v = F.col(value).cast("double")
+    rows = rows.where(v.isNotNull() & ~F.isnan(v)).select(F.struct(*keys, F.lit(0)).alias("_k"), *keys, F.col(value))
+    bounds = rows.groupBy("_k").agg(F.min(v).alias("_lo"), F.max(v).alias("_hi"), F.count(F.lit(1)).alias("_n"))
+    part = F.when(F.col("_hi") > F.col("_lo"), F.least(F.floor((v - F.col("_lo")) / F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0)) * RANGES), F.lit(RANGES - 1))).otherwise(0)
+    placed = rows.join(bounds, "_k").withColumn("_part", part)
+    counts = placed.groupBy("_k", "_part").agg(F.count(F.lit(1)).alias("_c"), F.first("_n").alias("_n"))
+    upto, at = F.sum("_c").over(Window.partitionBy("_k").orderBy("_part")), F.floor(F.lit(share) * (F.col("_n") - 1))
+    ranged = counts.withColumns({"_upto": upto, "_at": at}).where((F.col("_upto") > F.col("_at")) & (F.col("_upto") - F.col("_c") <= F.col("_at")))
+    near = placed.join(ranged.select("_k", "_part", (F.col("_at") - F.col("_upto") + F.col("_c")).alias("_rest")), ["_k", "_part"])
+    values = near.groupBy("_k", *keys, value).agg(F.count(F.lit(1)).alias("_c"), F.first("_rest").alias("_rest"))
+    values = values.withColumn("_upto", F.sum("_c").over(Window.partitionBy("_k").orderBy(value)))
+    return values.where((F.col("_upto") > F.col("_rest")) & (F.col("_upto") - F.col("_c") <= F.col("_rest"))).select(*keys, F.col(value).alias(name))
 
 
 def summary(rows: DataFrame, keys: list[str], value: str, more: dict[str, Column] | None = None) -> DataFrame:
