@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -22,32 +23,41 @@ def mean_of_rows(x: Column) -> Column:
     return F.sum(F.nanvl(x, F.lit(None).cast("double"))) / F.count(F.lit(1))
 
 
-def floor_rank(rows: DataFrame, keys: list[str], value: str, share: float = 0.95, name: str = "p95") -> DataFrame:
-    """For each group the sorted value at place floor(share * (n - 1)), without interpolation. Nulls and NaN don't count.
+def ranked(rows: DataFrame, keys: list[str], value: str, places: dict[str, Callable[[Column], Column]]) -> DataFrame:
+    """For each group its sorted values at given places (functions of the group's size), without interpolation. Nulls and NaN don't count.
 
-    Values are not sorted or shuffled as a whole: counts in RANGES ranges between a group's least and largest value tell which range has the
+    Values are not sorted or shuffled as a whole: counts in RANGES ranges between a group's least and largest value tell which range has a
     place, and only that range's values are counted one by one.
     """
     v = F.col(value).cast("double")
-    rows = rows.where(v.isNotNull() & ~F.isnan(v)).select(F.struct(*keys, F.lit(0)).alias("_k"), *keys, F.col(value))
+    rows = rows.where(v.isNotNull() & ~F.isnan(v)).select(F.struct(*keys, F.lit(0)).alias("_k"), F.col(value).alias("_v"))
+    v = F.col("_v").cast("double")
     bounds = rows.groupBy("_k").agg(F.min(v).alias("_lo"), F.max(v).alias("_hi"), F.count(F.lit(1)).alias("_n"))
     part = F.when(F.col("_hi") > F.col("_lo"), F.least(F.floor((v - F.col("_lo")) / F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0)) * RANGES), F.lit(RANGES - 1))).otherwise(0)
     placed = rows.join(bounds, "_k").withColumn("_part", part)
     counts = placed.groupBy("_k", "_part").agg(F.count(F.lit(1)).alias("_c"), F.first("_n").alias("_n"))
-    upto, at = F.sum("_c").over(Window.partitionBy("_k").orderBy("_part")), F.floor(F.lit(share) * (F.col("_n") - 1))
-    ranged = counts.withColumns({"_upto": upto, "_at": at}).where((F.col("_upto") > F.col("_at")) & (F.col("_upto") - F.col("_c") <= F.col("_at")))
-    near = placed.join(ranged.select("_k", "_part", (F.col("_at") - F.col("_upto") + F.col("_c")).alias("_rest")), ["_k", "_part"])
-    values = near.groupBy("_k", *keys, value).agg(F.count(F.lit(1)).alias("_c"), F.first("_rest").alias("_rest"))
-    values = values.withColumn("_upto", F.sum("_c").over(Window.partitionBy("_k").orderBy(value)))
-    return values.where((F.col("_upto") > F.col("_rest")) & (F.col("_upto") - F.col("_c") <= F.col("_rest"))).select(*keys, F.col(value).alias(name))
+    counts = counts.withColumn("_before", F.sum("_c").over(Window.partitionBy("_k").orderBy("_part")) - F.col("_c"))
+    wanted = F.array(*[F.struct(F.lit(name).alias("name"), place(F.col("_n")).cast("long").alias("at")) for name, place in places.items()])
+    here = F.filter(wanted, lambda w: (w["at"] >= F.col("_before")) & (w["at"] < F.col("_before") + F.col("_c")))
+    ranges = counts.select("_k", "_part", "_before", F.explode(here).alias("_w")).select("_k", "_part", F.col("_w.name").alias("_name"), (F.col("_w.at") - F.col("_before")).alias("_rest"))
+    values = placed.join(ranges, ["_k", "_part"]).groupBy("_k", "_name", "_v").agg(F.count(F.lit(1)).alias("_c"), F.first("_rest").alias("_rest"))
+    values = values.withColumn("_upto", F.sum("_c").over(Window.partitionBy("_k", "_name").orderBy("_v")))
+    found = values.where((F.col("_upto") > F.col("_rest")) & (F.col("_upto") - F.col("_c") <= F.col("_rest")))
+    return found.groupBy("_k").agg(*[F.max(F.when(F.col("_name") == name, F.col("_v"))).alias(name) for name in places]).select(*[F.col("_k")[k].alias(k) for k in keys], *places)
+
+
+def floor_rank(rows: DataFrame, keys: list[str], value: str, share: float = 0.95, name: str = "p95") -> DataFrame:
+    """For each group the sorted value at place floor(share * (n - 1))."""
+    return ranked(rows, keys, value, {name: lambda n: F.floor(F.lit(share) * (n - 1))})
 
 
 def summary(rows: DataFrame, keys: list[str], value: str, more: dict[str, Column] | None = None) -> DataFrame:
     """Count, mean, median, p95 and max of a value for each group, and further aggregates."""
     v = F.col(value)
-    sums = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("runs"), F.avg(v).alias("mean"), F.percentile(v, 0.5).alias("median"), F.max(v).alias("longest"), *[c.alias(n) for n, c in (more or {}).items()])
-    tops = floor_rank(rows, keys, value)
-    return sums.join(tops, keys, "left") if keys else sums.join(tops, F.lit(True), "left")
+    sums = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("runs"), F.avg(v).alias("mean"), F.max(v).alias("longest"), *[c.alias(n) for n, c in (more or {}).items()])
+    tops = ranked(rows, keys, value, {"_low": lambda n: F.floor((n - 1) / 2), "_high": lambda n: F.ceil((n - 1) / 2), "p95": lambda n: F.floor(F.lit(0.95) * (n - 1))})
+    joined = sums.join(tops, keys, "left") if keys else sums.join(tops, F.lit(True), "left")  # one row each without keys
+    return joined.withColumn("median", (F.col("_low") + F.col("_high")) / 2).drop("_low", "_high")
 
 
 def finished(rows: DataFrame, status: Column, phase: Column | None = None) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 GROUP = ("stage", "candidates", "max_candidates", "steps", "step_index", "shape")
@@ -35,9 +35,8 @@ def finished(active: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def admitted(waiting: DataFrame, active: DataFrame, cancelled: DataFrame, most: int) -> DataFrame:
     """Waiting requests that were not cancelled, in order of arrival, as many as there are free places."""
-    free = F.greatest(F.lit(most) - F.col("_active"), F.lit(0))
-    counted = waiting.join(cancelled.select("request"), "request", "left_anti").withColumn("_place", F.row_number().over(Window.orderBy("arrived_ms", "request")))
-    return counted.join(active.agg(F.count(F.lit(1)).alias("_active")), F.col("_place") <= free).drop("_place", "_active")
+    free = max(0, most - active.count())
+    return waiting.join(cancelled.select("request"), "request", "left_anti").orderBy("arrived_ms", "request").limit(free)
 
 
 def merged(batch: DataFrame, payload: str) -> DataFrame:
