@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 from pathlib import Path
@@ -39,10 +41,17 @@ def staged(df: DataFrame) -> DataFrame:
     """Writes ``df`` as Parquet in the shared folder and reads it back: later steps don't recompute it, and lost executors don't either."""
     path = f"{shared_dir(df.sparkSession)}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    df.sparkSession.sparkContext._jvm.System.gc()  # lets Spark's cleaner drop the shuffle files of finished steps
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark's cleaner drop the shuffle files of steps that are done, which else stay until the driver happens to collect its garbage."""
+    for _ in range(2):
+        time.sleep(0.25)  # the end of the last query is told to listeners first
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+
+
 def text_bytes(df: DataFrame) -> int:
     """Bytes of all texts, by one narrow scan."""
     return int(df.agg(F.sum(F.octet_length("text"))).first()[0] or 0)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import WordHashes, by_block, grams, long_grams, mixed, rows_of, sliding_min, staged, table, text_bytes
+from .common import WordHashes, by_block, grams, long_grams, mixed, release, rows_of, sliding_min, staged, table, text_bytes
 
 WINDOW, PHRASE = 50, 8
 #: Text of a block on average.
@@ -87,7 +87,7 @@ def _windows(window: int, phrase: int):
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(first), block, np.int32)), *map(pa.array, (a[first], b[first], doc[first], doc[last])), pa.nulls(len(first), pa.string())], names=names)
         if texts:
             none = pa.array(np.zeros(len(texts), np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(texts), block, np.int32)), none, none, none, none, pa.array(list(texts.values()))], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(texts), block, np.int32)), pa.array(list(texts), pa.int64()), pa.array(np.full(len(texts), -1)), none, none, pa.array(list(texts.values()))], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, block, known, recurring, held, texts = WordHashes(), None, [], None, [], {}
@@ -211,12 +211,12 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE, bl
     recurring = counted.withColumns({"low": F.min("low").over(every), "high": F.max("high").over(every)}).where("low < high")
     zero = F.lit(0).cast("long")
     phrases = recurring.select("block", F.lit(0).alias("kind"), F.col("phrase").alias("a"), zero.alias("b"), zero.alias("c"), F.lit(None).cast("string").alias("text"))
-    windows = staged(_streamed(phrases.unionByName(_docs(dealt, 1)), blocks).mapInArrow(_windows(window, phrase), "block int, a long, b long, low long, high long, text string"))
+    windows = _streamed(phrases.unionByName(_docs(dealt, 1)), blocks).mapInArrow(_windows(window, phrase), "block int, a long, b long, low long, high long, text string")
     same = Window.partitionBy("a", "b")
-    # windows in two documents, for the blocks where a copy is to go
-    confirmed = windows.where("text is null").withColumns({"first": F.min("low").over(same), "last": F.max("high").over(same)}).where("first < last and high > first")
-    shard = confirmed.select("block", F.lit(0).alias("kind"), "a", "b", F.col("first").alias("c"), F.lit(None).cast("string").alias("text"))
-    shard = shard.unionByName(windows.where("text is not null").select("block", F.lit(1).alias("kind"), zero.alias("a"), zero.alias("b"), zero.alias("c"), "text"))
+    # windows in two documents, for the blocks where a copy is to go; texts of phrases pass
+    confirmed = windows.withColumns({"first": F.min("low").over(same), "last": F.max("high").over(same)}).where("text is not null or (first < last and high > first)")
+    shard = staged(confirmed.select("block", F.when(F.col("text").isNull(), 0).otherwise(1).alias("kind"), "a", "b", F.col("first").alias("c"), "text"))
+    release(docs.sparkSession)
     return _streamed(shard.unionByName(_docs(dealt, 2)), blocks).mapInArrow(_locate(window, phrase), "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
