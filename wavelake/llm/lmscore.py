@@ -4,12 +4,14 @@ A document is scored by the other documents: its own n-grams are taken out of th
 scores c(previous word, word) / c(previous word) if that pair occurs elsewhere, else 0.4 times its share of all other words; a word that no
 other document has counts as one occurrence more. The first word scores its share. Logs are summed per document.
 
-Counting needs no shuffle of texts: a block is a part of an input split, its n-grams are counted where it is read, and only (n-gram hash,
-block, count) rows go to the count tables, which are partitioned by hash. Each row gets its n-gram's total there, and totals of 2 and more go
-back to the blocks that have the n-gram, where they are joined with the documents' n-grams.
-
-Words are taken unchanged. Null and empty texts have no words and score 0. Rows with null doc_id are scored like others; rows that repeat a
-doc_id are documents of their own.
+Documents are dealt to blocks by a hash of doc_id. A block counts its own n-grams and sends them, sorted by hash, to the count tables, which
+are partitioned by ranges of the hash. A partition joins the blocks' n-grams with their sums over all blocks, and sends each block the sums
+in the order of the block's own n-grams. The block, which has the same n-grams in the same order, joins them with its documents'. So an
+n-gram crosses the network once as a hash and once as a number, a word in every document is one entry of each block, and a task holds one
+block or one partition.
+
+Words are taken unchanged. Null and empty texts have no words and score 0. Rows that repeat a doc_id are documents of their own, and so are
+rows with a null one.
 """
 
 from __future__ import annotations
@@ -18,121 +20,134 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WordHashes, by_block, grams, mixed, rows_of, staged, table
+from .common import WordHashes, by_block, grams, mixed, release, staged, table, text_bytes
 
 BACKOFF = 0.4
-#: Bytes of text of a block at most, and n-grams that a task counts before it emits them.
-BLOCK_BYTES, HELD = 32 << 20, 4_000_000
-#: The key under which each block counts its words.
-ALL_WORDS = -1
+#: Bytes of text of a block on average.
+BLOCK_BYTES = 8 << 20
+#: The last key of each block, under which it counts its words.
+ALL_WORDS = np.uint64(0xFFFFFFFFFFFFFFFF)
 ONE = np.uint64(0xA0761D6478BD642F)
+COUNTS = pa.schema([("part", pa.int64()), ("block", pa.int32()), ("keys", pa.binary()), ("times", pa.binary())])
+TOTALS = pa.schema([("block", pa.int32()), ("part", pa.int64()), ("totals", pa.binary())])
 RESULT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_backoff", pa.int64()), ("log_score", pa.float64())])
 
 
+def packed(x: np.ndarray) -> bytes:
+    """Bytes by significance: sorted keys and small numbers then compress well in a shuffle."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes()
+
+
+def unpacked(data: bytes, kind) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
 def keys(words: list[bytes], hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
     """Keys of the words and of the pairs of neighbours."""
     h = hashes.of(words)
-    return mixed(h ^ ONE).view(np.int64), grams(h, 2).view(np.int64)
+    return mixed(h ^ ONE), grams(h, 2)
 
 
-def blocked(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int]:
-    """The documents with their block, and the number of blocks. The block of a row from a file depends on the file's split and doc_id alone."""
-    split = F.when(F.input_file_name() != "", F.xxhash64(F.input_file_name(), F.input_file_block_start())).otherwise(F.lit(0).cast("long"))
-    sizes = docs.select(split.alias("split"), F.octet_length("text").alias("n")).groupBy("split").agg(F.sum("n").alias("n")).agg(F.max("n"), F.count("*")).first()
-    parts = max(1, -(-int(sizes[0] or 0) // block_bytes))
-    part: Column = F.pmod(F.xxhash64("doc_id", F.lit(19)), F.lit(parts))
-    return docs.select(F.xxhash64(split, part).alias("block"), F.col("doc_id").cast("long").alias("doc_id"), "text"), max(1, parts * int(sizes[1]))
+def _joined(parts: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate([np.empty(0, np.uint64), *parts])
 
 
-def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes, held, size = WordHashes(), {}, 0
+def _counts(bits: int):
+    """Each block's n-grams with their counts, in 2**bits ranges of the key."""
 
-    def emit() -> Iterator[pa.RecordBatch]:
-        for block, parts in held.items():
-            words = sum(len(p) for p in parts[::2])
-            key, times = np.unique(np.concatenate(parts), return_counts=True)
-            key, times = np.append(key, ALL_WORDS), np.append(times, words)
-            for at in range(0, len(key), 1 << 19):
-                part = slice(at, at + (1 << 19))
-                yield pa.RecordBatch.from_arrays([pa.array(key[part]), pa.array(np.full(len(key[part]), block)), pa.array(times[part].astype(np.int64))], names=["key", "block", "times"])
-
-    for block, text in rows_of(batches, "block", "text"):
-        words = (text or "").encode().split()
-        if words:
-            held.setdefault(block, []).extend(keys(words, hashes))
-            size += 2 * len(words)
-        if size >= HELD:
-            yield from emit()
-            held, size = {}, 0
-    yield from emit()
+    def emit(block: int, parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        if parts:
+            key, times = np.unique(_joined(parts), return_counts=True)
+            key, times = np.append(key, ALL_WORDS), np.append(times, sum(map(len, parts[::2]))).astype(np.uint64)
+            edges = [0, *np.searchsorted(key, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)), len(key)] if bits else [0, len(key)]
+            rows = [(p, block, packed(key[a:b]), packed(times[a:b])) for p, (a, b) in enumerate(zip(edges, edges[1:], strict=False)) if a < b]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), COUNTS.types, strict=True)], schema=COUNTS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, block, parts = WordHashes(), None, []
+        for now, _, rows in by_block(batches):
+            if now != block:
+                yield from emit(block, parts)
+                block, parts = now, []
+            for text in rows.column("text").to_pylist():
+                if words := (text or "").encode().split():
+                    parts.extend(keys(words, hashes))
+        yield from emit(block, parts)
+
+    return run
+
+
+def _totals(rows: pa.Table) -> pa.Table:
+    """One partition of the count tables: for each block, the sums over all blocks of its n-grams."""
+    each = [unpacked(k, np.uint64) for k in rows.column("keys").to_pylist()]
+    key, times = np.concatenate(each), np.concatenate([unpacked(t, np.uint64) for t in rows.column("times").to_pylist()])
+    order = np.argsort(key, kind="stable")
+    first = np.concatenate([[True], key[order][1:] != key[order][:-1]])
+    sums = np.add.reduceat(times[order], np.flatnonzero(first))
+    total = np.empty(len(key), np.uint64)
+    total[order] = sums[np.cumsum(first) - 1]
+    blobs = [packed(x) for x in np.split(total, np.cumsum([len(x) for x in each])[:-1])]
+    return pa.table([rows.column("block"), rows.column("part"), pa.array(blobs, pa.binary())], schema=TOTALS)
 
 
 def _scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes, block, parts, key, total = WordHashes(), None, [], None, None
+    hashes, block, totals, docs, both = WordHashes(), None, [], [], []
 
-    def lookup(wanted: np.ndarray) -> np.ndarray:
-        """Counts of keys over all documents; 1 if not in the tables, which leave out what occurs once."""
-        order = np.argsort(wanted)
-        at = np.minimum(np.searchsorted(key, wanted[order]), len(key) - 1)
-        out = np.empty(len(wanted), np.int64)
-        out[order] = np.where(key[at] == wanted[order], total[at], 1)
-        return out
+    def emit() -> Iterator[pa.RecordBatch]:
+        if not docs:
+            return
+        every, out = 0, [(0, 0, 0.0)] * len(docs)
+        if totals:
+            key, which = np.unique(_joined([k for pair in both for k in pair]), return_inverse=True)
+            total = np.concatenate(totals).astype(np.int64)
+            if len(total) != len(key) + 1:
+                raise ValueError("a block's n-grams changed between its two readings")
+            every, counts, at = int(total[-1]), total[which], 0
+            for i, (one, two) in enumerate(both):
+                n = len(one)
+                if n:
+                    out[i] = _score(one, two, counts[at : at + n], counts[at + n : at + n + len(two)], every)
+                at += n + len(two)
+        yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), *(pa.array(c, t) for c, t in zip(zip(*out, strict=True), RESULT.types[1:], strict=True))], schema=RESULT)
 
     for now, kind, rows in by_block(batches):
         if now != block:
-            block, parts, key = now, [], None
+            yield from emit()
+            block, totals, docs, both = now, [], [], []
         if kind == 0:
-            parts.append((np.asarray(rows.column("a")), np.asarray(rows.column("b"))))
+            totals += [unpacked(t, np.uint64) for t in rows.column("totals").to_pylist()]
             continue
-        if key is None:
-            key, total = (np.concatenate([np.array([ALL_WORDS, x]), *(p[k] for p in parts)]) for k, x in enumerate((ALL_WORDS, 1)))
-            order = np.lexsort((-total, key))
-            key, total, parts = key[order], total[order], []
-        texts = [(t or "").encode().split() for t in rows.column("text").to_pylist()]
-        both = [keys(words, hashes) for words in texts]
-        # of several docs at once: their counts, then each doc's own
-        ones, twos = (lookup(np.concatenate([np.empty(0, np.int64), *(b[k] for b in both)])) for k in range(2))
-        every = int(total[np.searchsorted(key, ALL_WORDS)])
-        at1 = at2 = 0
-        out: list[list] = [[], [], []]
-        for words, (one, two) in zip(texts, both, strict=True):
-            n = len(words)
-            rest, pairs = ones[at1 : at1 + n], twos[at2 : at2 + len(two)]
-            at1, at2 = at1 + n, at2 + len(two)
-            if not n:
-                for column, x in zip(out, (0, 0, 0.0), strict=True):
-                    column.append(x)
-                continue
-            _, which, own = np.unique(one, return_inverse=True, return_counts=True)
-            rest = rest - own[which]
-            _, which, own = np.unique(two, return_inverse=True, return_counts=True)
-            pairs = pairs - own[which]
-            others = every - n
-            share = np.log(np.maximum(rest, 1) / (others + 1.0))
-            seen = pairs > 0
-            terms = np.where(seen, np.log(np.maximum(pairs, 1) / np.maximum(rest[:-1], 1)), np.log(BACKOFF) + share[1:])
-            for column, x in zip(out, (n, int((~seen).sum()), float(share[0] + terms.sum())), strict=True):
-                column.append(x)
-        yield pa.RecordBatch.from_arrays([rows.column("a"), *(pa.array(c, t) for c, t in zip(out, RESULT.types[1:], strict=True))], schema=RESULT)
-
-
-def count_tables(docs: DataFrame) -> DataFrame:
-    """(block, key, total) of all n-grams that occur twice or more, for the blocks that have them."""
-    rows = docs.select("block", "text").mapInArrow(_counts, "key long, block long, times long")
-    totals = rows.withColumn("total", F.sum("times").over(Window.partitionBy("key")))
-    return totals.where("total > 1").select("block", "key", "total")
+        docs += rows.column("a").to_pylist()
+        both += [keys((t or "").encode().split(), hashes) for t in rows.column("text").to_pylist()]
+    yield from emit()
+
+
+def _score(one: np.ndarray, two: np.ndarray, ones: np.ndarray, twos: np.ndarray, every: int) -> tuple[int, int, float]:
+    """Words, words that backed off, and log score of a document from its keys and their counts."""
+    _, which, own = np.unique(one, return_inverse=True, return_counts=True)
+    rest = ones - own[which]
+    _, which, own = np.unique(two, return_inverse=True, return_counts=True)
+    pairs = twos - own[which]
+    share = np.log(np.maximum(rest, 1) / (every - len(one) + 1.0))
+    seen = pairs > 0
+    terms = np.where(seen, np.log(np.maximum(pairs, 1) / np.maximum(rest[:-1], 1)), np.log(BACKOFF) + share[1:])
+    return len(one), int((~seen).sum()), float(share[0] + terms.sum())
 
 
 def scored(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, n_words, n_backoff (words after the first that backed off) and log_score."""
-    docs, blocks = blocked(docs, block_bytes)
-    tables = staged(count_tables(docs))
-    known = tables.select("block", F.lit(0).alias("kind"), F.col("key").alias("a"), F.col("total").alias("b"), F.lit(None).cast("string").alias("text"))
-    texts = docs.select("block", F.lit(1).alias("kind"), F.col("doc_id").alias("a"), F.lit(0).cast("long").alias("b"), "text")
-    rows = known.unionByName(texts).repartition(blocks, "block").sortWithinPartitions("block", "kind")
+    blocks = max(1, -(-text_bytes(docs) // block_bytes))
+    bits = (blocks - 1).bit_length()  # one to two partitions for each block
+    block = F.pmod(F.xxhash64("doc_id", F.lit(19)), F.lit(blocks)).cast("int").alias("block")
+    texts = docs.select(block, F.lit(1).alias("kind"), F.col("doc_id").cast("long").alias("a"), F.lit(None).cast("binary").alias("totals"), "text")
+    counts = texts.repartition(blocks, "block").sortWithinPartitions("block").mapInArrow(_counts(bits), "part long, block int, keys binary, times binary")
+    sums = staged(counts.groupBy("part").applyInArrow(_totals, "block int, part long, totals binary"))
+    release(docs.sparkSession)
+    known = sums.select("block", F.lit(0).alias("kind"), F.col("part").alias("a"), "totals", F.lit(None).cast("string").alias("text"))
+    rows = known.unionByName(texts).repartition(blocks, "block").sortWithinPartitions("block", "kind", "a")
     return rows.mapInArrow(_scores, "doc_id long, n_words long, n_backoff long, log_score double")
 
 
