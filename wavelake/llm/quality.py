@@ -102,25 +102,34 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -
     if {r["label"] for r in rows} != {0, 1}:
         return None
     rows.sort(key=lambda r: (r["label"], bytes(r["index"])))
-    index = np.concatenate([np.frombuffer(r["index"], np.int32) for r in rows])
-    weight = np.concatenate([np.frombuffer(r["weight"], np.float32) for r in rows]) * np.float32(SCALE)
     size = np.array([len(r["index"]) // 4 for r in rows])
-    starts, of = np.cumsum(size) - size, np.repeat(np.arange(len(rows)), size)
+    starts = np.concatenate([[0], np.cumsum(size)])
     y, held = np.array([r["label"] for r in rows], float), np.array([r["fold"] == 0 for r in rows])
+    index, weight = np.empty(starts[-1], np.int32), np.empty(starts[-1], np.float32)
+    for k in range(len(rows) - 1, -1, -1):  # each row goes as soon as it is copied: the driver's memory is small
+        r = rows.pop()
+        index[starts[k] : starts[k + 1]] = np.frombuffer(r["index"], np.int32)
+        weight[starts[k] : starts[k + 1]] = np.frombuffer(r["weight"], np.float32) * np.float32(SCALE)
     if len(set(y[held])) < 2 or len(set(y[~held])) < 2:
         held[:] = False
     share = np.array([np.sum((y == k) & ~held) for k in (0, 1)], float)
     pull = np.where(held, 0, 0.5 / share[y.astype(int)])
     w, b, speed, b_speed = np.zeros(DIM, np.float32), 0.0, np.full(DIM, 1e-8, np.float32), 1e-8
-    for _ in range(EPOCHS):
-        z = np.add.reduceat(w[index] * weight, starts) + b
-        gap = (1 / (1 + np.exp(-z)) - y) * pull
-        g = np.bincount(index, gap[of] * weight, DIM).astype(np.float32) + np.float32(1e-7) * w
-        speed += g * g
-        w -= np.float32(RATE) * g / np.sqrt(speed)
-        b_speed += gap.sum() ** 2
-        b -= RATE * gap.sum() / b_speed**0.5
-    z = np.add.reduceat(w[index] * weight, starts) + b
+    z = np.zeros(len(y))
+    for epoch in range(EPOCHS + 1):
+        g, b_g = np.float32(1e-7) * w, 0.0
+        for lo in range(0, len(y), 100):  # a hundred texts at a time
+            hi = min(lo + 100, len(y))
+            part = slice(starts[lo], starts[hi])
+            z[lo:hi] = np.add.reduceat(w[index[part]] * weight[part], starts[lo:hi] - starts[lo]) + b
+            gap = ((1 / (1 + np.exp(-z[lo:hi])) - y[lo:hi]) * pull[lo:hi]).astype(np.float32)
+            g += np.bincount(index[part], np.repeat(gap, size[lo:hi]) * weight[part], DIM).astype(np.float32)
+            b_g += float(gap.sum())
+        if epoch < EPOCHS:  # the last round only scores
+            speed += g * g
+            w -= np.float32(RATE) * g / np.sqrt(speed)
+            b_speed += b_g**2
+            b -= RATE * b_g / b_speed**0.5
     at = held if held.any() else ~held
     total = sum(counts.values())
     pull = np.array([counts[0] / total, counts[1] / total])[y.astype(int)] / np.array([np.sum(at & (y == k)) for k in (0, 1)])[y.astype(int)] * at
