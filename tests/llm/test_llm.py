@@ -130,6 +130,31 @@ def test_language_model(docs, texts, spark, block_bytes):
     assert lmscore.scored(empty(spark)).collect() == []
 
 
+@pytest.mark.parametrize(("block_bytes", "order"), [(1 << 25, 3), (2000, 3), (1 << 25, 4)])
+def test_language_model_of_longer_context(docs, texts, spark, block_bytes, order):
+    words = [words_of(t) for t in texts]
+    count = lambda w, k: collections.Counter(tuple(w[i : i + k]) for i in range(len(w) - k + 1))
+    every = [sum((count(w, k) for w in words), collections.Counter()) for k in range(order + 1)]
+    total, used = sum(every[1].values()), collections.Counter()
+    for r in lmscore.scored(docs, block_bytes, order).collect():
+        w = words[r.doc_id]
+        own = [count(w, k) for k in range(order + 1)]
+        score = backed = 0
+        for i, x in enumerate(w):
+            longest = min(i + 1, order)
+            for k in range(longest, 0, -1):
+                gram = tuple(w[i - k + 1 : i + 1])
+                others = every[k][gram] - own[k][gram]
+                if k == 1 or others > 0:
+                    below = every[k - 1][gram[:-1]] - own[k - 1][gram[:-1]] if k > 1 else total - len(w) + 1
+                    score += math.log(0.4 ** (longest - k) * max(1, others) / below)
+                    backed += k < longest
+                    used[k] += 1
+                    break
+        assert r.n_words == len(w) and r.n_backoff == backed and r.log_score == pytest.approx(score, rel=1e-9)
+    assert all(used[k] > 10 for k in range(1, order + 1)), used
+
+
 def test_quality(docs, texts, spark):
     got = {r.doc_id: r for r in quality.judge(docs, None).collect()}
     for i, t in enumerate(texts):

@@ -1,8 +1,10 @@
 """Language-model scores by stupid backoff, from count tables of word n-grams over all documents.
 
-A document is scored by the other documents: its own n-grams are taken out of the counts, else every n-gram would have been seen. A word
-scores c(previous word, word) / c(previous word) if that pair occurs elsewhere, else 0.4 times its share of all other words; a word that no
-other document has counts as one occurrence more. The first word scores its share. Logs are summed per document.
+A document is scored by the other documents: its own n-grams are taken out of the counts, else every n-gram would have been seen. ``order``
+is the most words of an n-gram. A word starts at the longest n-gram that ends with it and has ``order`` words or, near the start of a text,
+all words so far. It scores c(n-gram) / c(n-gram without the word) if that n-gram occurs elsewhere, else 0.4 times its score with one word
+of context less; without context it scores its share of all other words. A word that no other document has counts as one occurrence more.
+Logs are summed per document. ``op3_lmscore`` has pairs, as its SQL has; ``op3_lmscore_triples`` has the chain of three.
 
 Documents are dealt to blocks by a hash of doc_id. A block counts its own n-grams and sends them, sorted by hash, to the count tables, which
 are partitioned by ranges of the hash. A partition joins the blocks' n-grams with their sums over all blocks, and sends each block the sums
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .common import WordHashes, by_block, grams, mixed, release, staged, table, text_bytes
 
-BACKOFF = 0.4
+BACKOFF, ORDER = 0.4, 2
 #: Bytes of text of a block on average.
 BLOCK_BYTES = 8 << 20
 #: The last key of each block, under which it counts its words.
@@ -45,23 +47,23 @@ def unpacked(data: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
 
 
-def keys(words: list[bytes], hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the words and of the pairs of neighbours."""
+def keys(words: list[bytes], hashes: WordHashes, order: int = ORDER) -> list[np.ndarray]:
+    """Keys of the words, of the pairs of neighbours and so on, to runs of ``order`` words."""
     h = hashes.of(words)
-    return mixed(h ^ ONE), grams(h, 2)
+    return [mixed(h ^ ONE), *(grams(h, n) for n in range(2, order + 1))]
 
 
 def _joined(parts: list[np.ndarray]) -> np.ndarray:
     return np.concatenate([np.empty(0, np.uint64), *parts])
 
 
-def _counts(bits: int):
+def _counts(bits: int, order: int):
     """Each block's n-grams with their counts, in 2**bits ranges of the key."""
 
     def emit(block: int, parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         if parts:
             key, times = np.unique(_joined(parts), return_counts=True)
-            key, times = np.append(key, ALL_WORDS), np.append(times, sum(map(len, parts[::2]))).astype(np.uint64)
+            key, times = np.append(key, ALL_WORDS), np.append(times, sum(map(len, parts[::order]))).astype(np.uint64)
             edges = [0, *np.searchsorted(key, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)), len(key)] if bits else [0, len(key)]
             rows = [(p, block, packed(key[a:b]), packed(times[a:b])) for p, (a, b) in enumerate(zip(edges, edges[1:], strict=False)) if a < b]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), COUNTS.types, strict=True)], schema=COUNTS)
@@ -74,7 +76,7 @@ def _counts(bits: int):
                 block, parts = now, []
             for text in rows.column("text").to_pylist():
                 if words := (text or "").encode().split():
-                    parts.extend(keys(words, hashes))
+                    parts.extend(keys(words, hashes, order))
         yield from emit(block, parts)
 
     return run
@@ -93,62 +95,69 @@ def _totals(rows: pa.Table) -> pa.Table:
     return pa.table([rows.column("block"), rows.column("part"), pa.array(blobs, pa.binary())], schema=TOTALS)
 
 
-def _scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes, block, totals, docs, both = WordHashes(), None, [], [], []
-
-    def emit() -> Iterator[pa.RecordBatch]:
-        if not docs:
-            return
-        every, out = 0, [(0, 0, 0.0)] * len(docs)
-        if totals:
-            key, which = np.unique(_joined([k for pair in both for k in pair]), return_inverse=True)
-            total = np.concatenate(totals).astype(np.int64)
-            if len(total) != len(key) + 1:
-                raise ValueError("a block's n-grams changed between its two readings")
-            every, counts, at = int(total[-1]), total[which], 0
-            for i, (one, two) in enumerate(both):
-                n = len(one)
-                if n:
-                    out[i] = _score(one, two, counts[at : at + n], counts[at + n : at + n + len(two)], every)
-                at += n + len(two)
-        yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), *(pa.array(c, t) for c, t in zip(zip(*out, strict=True), RESULT.types[1:], strict=True))], schema=RESULT)
-
-    for now, kind, rows in by_block(batches):
-        if now != block:
-            yield from emit()
-            block, totals, docs, both = now, [], [], []
-        if kind == 0:
-            totals += [unpacked(t, np.uint64) for t in rows.column("totals").to_pylist()]
-            continue
-        docs += rows.column("a").to_pylist()
-        both += [keys((t or "").encode().split(), hashes) for t in rows.column("text").to_pylist()]
-    yield from emit()
-
-
-def _score(one: np.ndarray, two: np.ndarray, ones: np.ndarray, twos: np.ndarray, every: int) -> tuple[int, int, float]:
-    """Words, words that backed off, and log score of a document from its keys and their counts."""
-    _, which, own = np.unique(one, return_inverse=True, return_counts=True)
-    rest = ones - own[which]
-    _, which, own = np.unique(two, return_inverse=True, return_counts=True)
-    pairs = twos - own[which]
-    share = np.log(np.maximum(rest, 1) / (every - len(one) + 1.0))
-    seen = pairs > 0
-    terms = np.where(seen, np.log(np.maximum(pairs, 1) / np.maximum(rest[:-1], 1)), np.log(BACKOFF) + share[1:])
-    return len(one), int((~seen).sum()), float(share[0] + terms.sum())
-
-
-def scored(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """doc_id, n_words, n_backoff (words after the first that backed off) and log_score."""
+def _scores(order: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, block, totals, docs, each = WordHashes(), None, [], [], []
+
+        def emit() -> Iterator[pa.RecordBatch]:
+            if not docs:
+                return
+            every, out = 0, [(0, 0, 0.0)] * len(docs)
+            if totals:
+                key, which = np.unique(_joined([k for levels in each for k in levels]), return_inverse=True)
+                total = np.concatenate(totals).astype(np.int64)
+                if len(total) != len(key) + 1:
+                    raise ValueError("a block's n-grams changed between its two readings")
+                every, counts, at = int(total[-1]), total[which], 0
+                for i, levels in enumerate(each):
+                    ends = at + np.cumsum([len(k) for k in levels])
+                    if len(levels[0]):
+                        out[i] = _score(levels, np.split(counts[at : ends[-1]], ends[:-1] - at), every)
+                    at = int(ends[-1])
+            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), *(pa.array(c, t) for c, t in zip(zip(*out, strict=True), RESULT.types[1:], strict=True))], schema=RESULT)
+
+        for now, kind, rows in by_block(batches):
+            if now != block:
+                yield from emit()
+                block, totals, docs, each = now, [], [], []
+            if kind == 0:
+                totals += [unpacked(t, np.uint64) for t in rows.column("totals").to_pylist()]
+                continue
+            docs += rows.column("a").to_pylist()
+            each += [keys((t or "").encode().split(), hashes, order) for t in rows.column("text").to_pylist()]
+        yield from emit()
+
+    return run
+
+
+def _score(levels: list[np.ndarray], counts: list[np.ndarray], every: int) -> tuple[int, int, float]:
+    """Words, words that backed off, and log score of a document from its keys and their counts, by length of n-gram."""
+    rest = []
+    for key, count in zip(levels, counts, strict=True):
+        _, which, own = np.unique(key, return_inverse=True, return_counts=True)
+        rest.append(count - own[which])
+    n = len(levels[0])
+    terms = np.log(np.maximum(rest[0], 1) / (every - n + 1.0))
+    backed = np.zeros(n, bool)
+    for k in range(1, len(levels)):  # the run at j ends with word j + k; its context is the shorter run at j
+        seen = rest[k] > 0
+        terms[k:] = np.where(seen, np.log(np.maximum(rest[k], 1) / np.maximum(rest[k - 1][:-1], 1)), np.log(BACKOFF) + terms[k:])
+        backed[k:] = ~seen
+    return n, int(backed.sum()), float(terms[0] + terms[1:].sum())
+
+
+def scored(docs: DataFrame, block_bytes: int = BLOCK_BYTES, order: int = ORDER) -> DataFrame:
+    """doc_id, n_words, n_backoff (words that backed off from their longest n-gram) and log_score."""
     blocks = max(1, -(-text_bytes(docs) // block_bytes))
     bits = (blocks - 1).bit_length()  # one to two partitions for each block
     block = F.pmod(F.xxhash64("doc_id", F.lit(19)), F.lit(blocks)).cast("int").alias("block")
     texts = docs.select(block, F.lit(1).alias("kind"), F.col("doc_id").cast("long").alias("a"), F.lit(None).cast("binary").alias("totals"), "text")
-    counts = texts.repartition(blocks, "block").sortWithinPartitions("block").mapInArrow(_counts(bits), "part long, block int, keys binary, times binary")
+    counts = texts.repartition(blocks, "block").sortWithinPartitions("block").mapInArrow(_counts(bits, order), "part long, block int, keys binary, times binary")
     sums = staged(counts.groupBy("part").applyInArrow(_totals, "block int, part long, totals binary"))
     release(docs.sparkSession)
     known = sums.select("block", F.lit(0).alias("kind"), F.col("part").alias("a"), "totals", F.lit(None).cast("string").alias("text"))
     rows = known.unionByName(texts).repartition(blocks, "block").sortWithinPartitions("block", "kind", "a")
-    return rows.mapInArrow(_scores, "doc_id long, n_words long, n_backoff long, log_score double")
+    return rows.mapInArrow(_scores(order), "doc_id long, n_words long, n_backoff long, log_score double")
 
 
 def op3_lmscore(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,6 +165,11 @@ def op3_lmscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "n_words", "n_backoff", F.round("log_score", 4).alias("log_score"))
 
 
+def op3_lmscore_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = scored(table(spark, sf_dir, "documents"), order=3)
+    return got.select("doc_id", "n_words", "n_backoff", F.round("log_score", 4).alias("log_score"))
+
+
 def oracle() -> str:
     return rf"""
 with d as (select doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) ws from documents),
@@ -167,3 +181,17 @@ t as (select *, lag(rest) over (partition by doc_id order by i) before from c),
 s as (select doc_id, count(*) n, sum((i > 1 and pair = 0)::int) b,
   sum(case when i = 1 then ln(greatest(rest, 1) / (others + 1.0)) when pair > 0 then ln(pair / before) else ln({BACKOFF}) + ln(greatest(rest, 1) / (others + 1.0)) end) score from t group by doc_id)
 select d.doc_id, coalesce(n, 0)::bigint n_words, coalesce(b, 0)::bigint n_backoff, round(coalesce(score, 0), 4) log_score from d left join s using (doc_id)"""
+
+
+def oracle_triples() -> str:
+    return rf"""
+with d as (select doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) ws from documents),
+w as (select doc_id, unnest(ws) w, generate_subscripts(ws, 1) i from d),
+k as (select *, lag(w) over (partition by doc_id order by i) p, lag(w, 2) over (partition by doc_id order by i) q from w),
+c as (select *, count(*) over (partition by w) - count(*) over (partition by doc_id, w) one, count(*) over (partition by p, w) - count(*) over (partition by doc_id, p, w) two,
+  count(*) over (partition by q, p, w) - count(*) over (partition by doc_id, q, p, w) three, count(*) over () - count(*) over (partition by doc_id) others from k),
+t as (select *, lag(one) over (partition by doc_id order by i) one_before, lag(two) over (partition by doc_id order by i) two_before, ln(greatest(one, 1) / (others + 1.0)) share from c),
+u as (select *, case when two > 0 then ln(two / one_before) else ln({BACKOFF}) + share end pair from t),
+s as (select doc_id, count(*) n, sum(case when i = 1 then 0 when i = 2 then (two = 0)::int else (three = 0)::int end) b,
+  sum(case when i = 1 then share when i = 2 then pair when three > 0 then ln(three / two_before) else ln({BACKOFF}) + pair end) score from u group by doc_id)
+select d.doc_id, coalesce(n, 0)::bigint n_words, coalesce(b, 0)::bigint n_backoff, round(coalesce(score, 0), 4) log_score from d left join s using (doc_id)"""

@@ -8,6 +8,7 @@ QUERIES = {
     "op1_packing": packing.op1_packing,
     "op2_secrets": secrets.op2_secrets,
     "op3_lmscore": lmscore.op3_lmscore,
+    "op3_lmscore_triples": lmscore.op3_lmscore_triples,
     "op4_chat": chat.op4_chat,
     "op5_neardup": neardup.op5_neardup,
     "op6_topk": topk.op6_topk,
@@ -17,4 +18,4 @@ QUERIES = {
     "op10_langid": langid.op10_langid,
 }
 
-ORACLES = {"op3_lmscore": lmscore.oracle, "op4_chat": chat.oracle, "op5_neardup": neardup.oracle, "op6_topk": topk.oracle, "op8_phrases": phrases.oracle, "op9_mixing": mixing.oracle}
+ORACLES = {"op3_lmscore": lmscore.oracle, "op3_lmscore_triples": lmscore.oracle_triples, "op4_chat": chat.oracle, "op5_neardup": neardup.oracle, "op6_topk": topk.oracle, "op8_phrases": phrases.oracle, "op9_mixing": mixing.oracle}
