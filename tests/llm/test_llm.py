@@ -228,6 +228,21 @@ def test_secrets(docs, spark):
     assert secrets.scan(empty(spark)).collect() == []
 
 
+def test_random_tokens_of_each_kind(spark):
+    draw = random.Random(11)
+    kinds = {"lower": secrets.LOWER, "upper": secrets.UPPER, "digits": secrets.DIGITS, "base32": secrets.UPPER + "234567", "alnum62": secrets.UPPER + secrets.LOWER + secrets.DIGITS}
+    uuid = lambda: "-".join("".join(draw.choice("0123456789abcdef") for _ in range(n)) for n in (8, 4, 4, 4, 12))
+    secret = [(k, "".join(draw.choice(a) for _ in range(28 if k == "digits" else 64))) for k, a in kinds.items() for _ in range(20)] + [("uuid", uuid()) for _ in range(20)]
+    words = "internationalization the responsibility of characteristic management where nothing under standing between another government"
+    plain = ["".join(draw.choice(words.split()) for _ in range(4)) for _ in range(60)] + ["_".join(draw.choice(words.split()) for _ in range(4)).upper() for _ in range(20)]
+    plain += ["0" * 28, "12" * 14, "2024-01-02-2024-01-03", "0123456789" * 3]
+    rows = [(i, f"see {t} there") for i, t in enumerate([t for _, t in secret] + plain)]
+    got = {r.doc_id: r.s for r in secrets.scan(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", secrets.joined("_spans").alias("s")).collect()}
+    found = collections.Counter(k for i, (k, t) in enumerate(secret) if got[i] == f"random:4:{4 + len(t)}")
+    assert all(found[k] >= 16 for k in (*kinds, "uuid")), found
+    assert [t for i, t in enumerate(plain, len(secret)) if got[i]] == []
+
+
 def test_chat(spark):
     rows = [
         (1, 0, 0, "message", "user", "hi </s>\\ [INST]"), (1, 1, 1, "message", "assistant", None), (1, 1, 2, "delta", "assistant", "par"), (1, 1, 3, "delta", "assistant", "tial"),

@@ -2,12 +2,16 @@
 
 Positions are code points, ends exclusive. They come from cutting a text at a pattern's matches: gaps and matches alternate.
 
-The battery looks at tokens of 20 and more characters of the encodings' alphabets. For each it infers the encoding (hex, base32, lower-case
-alphanumeric, alphanumeric, base64) and tests the symbols against uniform draws: chi-squared over the alphabet, runs above and below its
-middle, and serial correlation of neighbours. A token that fails a test at level ALPHA is not random. Against the null of names and words,
-where the kind of character (lower, upper, digit, other) changes seldom, the number of changes gives a p-value. These p-values are weighted
-by length, as longer tokens can show more, and Benjamini-Hochberg's rule over all tokens of the corpus holds the share of false discoveries
-at FDR. The rule uses counts in bins of -log10 p, so the driver gets a bounded table. Discoveries that overlap no base span are ``random`` spans.
+The battery looks at tokens of 20 and more characters of the encodings' alphabets. For each it infers the encoding (digits, hex, lower-case
+or upper-case letters, base32, lower-case alphanumeric, alphanumeric, base64; separators in hex are left out) and tests the symbols against
+uniform draws: chi-squared over the alphabet, runs above and below its middle, and serial correlation of neighbours. Their least p-value,
+times three, is the token's p-value against uniform draws. Another p-value is against the null of names and words: the kind of character
+(lower, upper, digit, other) changes seldom, words of one kind have the frequencies of letters in text, and digits come in short runs.
+
+Both kinds of p-value are weighted by length, as longer tokens can show more, and Benjamini-Hochberg's rule runs over all tokens of the
+corpus for each, at FDR: one finds the tokens that are not text, the other those that are not uniform. Only the first without the second are
+discoveries. The rules use counts in bins of -log10 p, so the driver gets a bounded table. Discoveries that overlap no base span are
+``random`` spans.
 
 Null and empty texts have no spans. Repeated rows are scanned one by one; they count in the discovery rule as they occur.
 """
@@ -15,7 +19,7 @@ Null and empty texts have no spans. Repeated rows are scanned one by one; they c
 from __future__ import annotations
 
 import functools
-from math import log10
+from math import log, log10, sqrt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,10 +35,19 @@ BASE = {
 KINDS = (*BASE, "random")
 TOKEN = r"[A-Za-z0-9+/_-]{20,}+={0,2}"
 LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
-ALPHABETS = {"hex": DIGITS + "abcdef", "base32": UPPER + "234567", "alnum36": DIGITS + LOWER, "alnum62": UPPER + LOWER + DIGITS, "base64": UPPER + LOWER + DIGITS + "+/"}
-ALPHA, FDR = 0.001, 0.01
+#: Hex in groups, such as UUIDs; dates and the like have no letter.
+SEPARATED = "^(?=.*[a-fA-F])([0-9a-f]+([-_][0-9a-f]+)+|[0-9A-F]+([-_][0-9A-F]+)+)$"
+ALPHABETS = {"digits": DIGITS, "hex": DIGITS + "abcdef", "lower": LOWER, "upper": UPPER, "base32": UPPER + "234567", "alnum36": DIGITS + LOWER, "alnum62": UPPER + LOWER + DIGITS, "base64": UPPER + LOWER + DIGITS + "+/"}
+FDR = 0.01
 #: Share of neighbours in names and words whose kinds of character differ.
 CHANGES = 0.12
+#: Share of digits in text that another digit follows.
+DIGIT_RUN = 0.6
+#: Letters in names and words of some European languages, per cent, from a to z.
+LETTERS = (8.5, 1.5, 3.0, 4.2, 13.0, 1.8, 2.0, 3.8, 7.4, 0.4, 1.2, 4.4, 2.7, 8.0, 5.8, 2.4, 0.5, 6.6, 6.8, 7.0, 4.4, 1.5, 1.2, 0.3, 1.0, 0.6)
+SURPRISE = [-log(x / 100) for x in LETTERS]
+MEAN_SURPRISE = sum(x / 100 * y for x, y in zip(LETTERS, SURPRISE, strict=True))
+SURPRISE_SPREAD = sqrt(sum(x / 100 * (y - MEAN_SURPRISE) ** 2 for x, y in zip(LETTERS, SURPRISE, strict=True)))
 BINS_PER_UNIT, LAST_BIN = 20, 400
 
 
@@ -81,12 +94,12 @@ def times(text: Column, what: Column) -> Column:
 
 def battery(token: Column) -> Column:
     """encoding, p_uniform, p_runs, p_serial (against uniform draws) and p_text (against names and words) of a token."""
-    return let(F.regexp_replace(token, "=+$", ""), _decoded)
+    return let(F.regexp_replace(token, "=+$", ""), lambda body: let(F.when(body.rlike(SEPARATED), F.translate(body, "-_", "")).otherwise(body), _decoded))
 
 
 def _decoded(body: Column) -> Column:
     encoding = (
-        F.when(body.rlike("^([0-9a-f]+|[0-9A-F]+)$"), "hex").when(body.rlike("^[A-Z2-7]+$"), "base32").when(body.rlike("^[a-z0-9]+$"), "alnum36")
+        F.when(body.rlike("^[0-9]+$"), "digits").when(body.rlike("^([0-9a-f]+|[0-9A-F]+)$"), "hex").when(body.rlike("^[a-z]+$"), "lower").when(body.rlike("^[A-Z]+$"), "upper").when(body.rlike("^[A-Z2-7]+$"), "base32").when(body.rlike("^[a-z0-9]+$"), "alnum36")
         .when(body.rlike("^[A-Za-z0-9]+$"), "alnum62").otherwise("base64")
     )
 
@@ -104,7 +117,9 @@ def _counted(v: Column) -> Column:
     squares = F.aggregate(F.split(v["alphabet"], "(?!^)(?!$)"), F.lit(0.0), lambda s, c: s + F.pow(times(v["symbols"], c), F.lit(2)))
     codes = F.transform(F.split(v["symbols"], "(?!^)(?!$)"), lambda c: F.instr(v["alphabet"], c).cast("double"))
     changes = sum((times(v["kinds"], F.lit(a + b)) for a in "luds" for b in "luds" if a != b), F.lit(0.0))
-    return let(F.struct(v["encoding"].alias("encoding"), F.length(v["symbols"]).cast("double").alias("n"), F.length(v["alphabet"]).cast("double").alias("k"), half.alias("half"), squares.alias("squares"), codes.alias("codes"), changes.alias("changes")), _summed)
+    letters = F.array(*(F.struct(F.lit(c).alias("c"), F.lit(x).alias("x")) for c, x in zip(LOWER, SURPRISE, strict=True)))
+    surprise = F.when(v["encoding"].isin("lower", "upper"), F.aggregate(letters, F.lit(0.0), lambda s, a: s + times(F.lower(v["symbols"]), a["c"]) * a["x"])).otherwise(0.0)
+    return let(F.struct(v["encoding"].alias("encoding"), surprise.alias("surprise"), F.length(v["symbols"]).cast("double").alias("n"), F.length(v["alphabet"]).cast("double").alias("k"), half.alias("half"), squares.alias("squares"), codes.alias("codes"), changes.alias("changes")), _summed)
 
 
 def _summed(v: Column) -> Column:
@@ -114,7 +129,7 @@ def _summed(v: Column) -> Column:
     lagged = F.aggregate(F.zip_with(F.slice(v["codes"], F.lit(1), more), F.slice(v["codes"], F.lit(2), more), lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x) + F.element_at(v["codes"], 1) * F.element_at(v["codes"], -1)
     low, high = times(v["half"], F.lit("l")), times(v["half"], F.lit("h"))
     runs = 1 + times(v["half"], F.lit("lh")) + times(v["half"], F.lit("hl"))
-    figures = F.struct(*(v[n].alias(n) for n in ("encoding", "n", "k", "squares", "changes")), total.alias("total"), power.alias("power"), lagged.alias("lagged"), runs.alias("runs"), (2 * low * high / v["n"] + 1).alias("mean"))
+    figures = F.struct(*(v[n].alias(n) for n in ("encoding", "n", "k", "squares", "changes", "surprise")), total.alias("total"), power.alias("power"), lagged.alias("lagged"), runs.alias("runs"), (2 * low * high / v["n"] + 1).alias("mean"))
     return let(figures, _tested)
 
 
@@ -127,9 +142,12 @@ def _tested(v: Column) -> Column:
     below = n * v["power"] - v["total"] * v["total"]
     z_serial = F.when(below > 0, F.abs((n * v["lagged"] - v["total"] * v["total"]) / below + 1 / (n - 1)) * F.sqrt(n)).otherwise(F.lit(99.0))
     z_text = (v["changes"] - 0.5 - CHANGES * (n - 1)) / F.sqrt(CHANGES * (1 - CHANGES) * (n - 1))
+    z_letters = (v["surprise"] - n * MEAN_SURPRISE) / (SURPRISE_SPREAD * F.sqrt(n))
+    z_text = F.when(v["encoding"].isin("lower", "upper"), z_letters).otherwise(z_text)
+    digits = F.when(v["encoding"] == "digits", F.pow(F.lit(DIGIT_RUN), n - 1))
     return let(
         F.struct(z_chi.alias("chi"), z_runs.alias("runs"), z_serial.alias("serial"), z_text.alias("text")),
-        lambda z: F.struct(v["encoding"].alias("encoding"), n.alias("n"), upper_tail(z["chi"]).alias("p_uniform"), (2 * upper_tail(z["runs"])).alias("p_runs"), (2 * upper_tail(z["serial"])).alias("p_serial"), F.greatest(upper_tail(z["text"]), F.lit(1e-300)).alias("p_text")),
+        lambda z: F.struct(v["encoding"].alias("encoding"), n.alias("n"), upper_tail(z["chi"]).alias("p_uniform"), (2 * upper_tail(z["runs"])).alias("p_runs"), (2 * upper_tail(z["serial"])).alias("p_serial"), F.greatest(F.coalesce(digits, upper_tail(z["text"])), F.lit(1e-300)).alias("p_text")),
     )
 
 
@@ -138,20 +156,31 @@ def candidates(text: Column) -> Column:
     return F.transform(cut(text, TOKEN, "random"), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), battery(s["found"]).alias("tests")))
 
 
-def score(tests: Column, mean_length: float) -> Column:
+def not_uniform(tests: Column) -> Column:
+    """The battery's p-value: the least of its three, times three."""
+    return F.greatest(F.least(F.lit(1.0), 3 * F.least(tests["p_uniform"], tests["p_runs"], tests["p_serial"])), F.lit(1e-300))
+
+
+def score(p: Column, n: Column, mean_length: float) -> Column:
     """Bin of -log10 of the length-weighted p-value; the bin's lower edge is not above it."""
-    return F.least(F.greatest(F.floor(-F.log10(tests["p_text"] * F.lit(mean_length) / tests["n"]) * BINS_PER_UNIT), F.lit(0)), F.lit(LAST_BIN)).cast("int")
+    return F.least(F.greatest(F.floor(-F.log10(p * F.lit(mean_length) / n) * BINS_PER_UNIT), F.lit(0)), F.lit(LAST_BIN)).cast("int")
 
 
-def discovery_rule(texts: DataFrame, fdr: float = FDR) -> tuple[float, int]:
-    """Mean length of all tokens, and the least bin that Benjamini and Hochberg's rule takes (past the last if none)."""
-    tokens = texts.where(F.col("text").rlike(TOKEN)).select(F.explode(candidates(F.col("text"))).alias("t")).select("t.tests.n", "t.tests.p_text")
+def discovery_rule(texts: DataFrame, fdr: float = FDR) -> tuple[float, int, int]:
+    """Mean length of all tokens, and the least bins that Benjamini and Hochberg's rule takes as not text and as not uniform (past the last if none)."""
+    tests = texts.where(F.col("text").rlike(TOKEN)).select(F.explode(candidates(F.col("text"))).alias("t")).select("t.tests.*")
+    pair = F.array(F.struct(F.lit(0).alias("rule"), F.col("p_text").alias("p")), F.struct(F.lit(1).alias("rule"), not_uniform(F.struct("p_uniform", "p_runs", "p_serial")).alias("p")))
+    tokens = tests.select("n", F.explode(pair).alias("r")).select("n", "r.*")
     # the mean length is not known before the scan, so tokens are counted by length and unweighted bin; both are bounded
-    counts = tokens.groupBy(F.least(F.col("n"), F.lit(1000.0)).alias("n"), F.floor(-F.log10("p_text") * BINS_PER_UNIT * 4).alias("bin")).count().collect()
-    total = sum(r["count"] for r in counts)
+    counts = tokens.groupBy("rule", F.least(F.col("n"), F.lit(1000.0)).alias("n"), F.floor(-F.log10("p") * BINS_PER_UNIT * 4).alias("bin")).count().collect()
+    total = sum(r["count"] for r in counts if r["rule"] == 0)
     if not total:
-        return 1.0, LAST_BIN + 1
-    mean = sum(r["n"] * r["count"] for r in counts) / total
+        return 1.0, LAST_BIN + 1, LAST_BIN + 1
+    mean = sum(r["n"] * r["count"] for r in counts if r["rule"] == 0) / total
+    return mean, *(_least_bin([r for r in counts if r["rule"] == rule], total, mean, fdr) for rule in (0, 1))
+
+
+def _least_bin(counts: list, total: int, mean: float, fdr: float) -> int:
     have = [0] * (LAST_BIN + 2)
     for r in counts:
         weighted = r["bin"] / (BINS_PER_UNIT * 4) - log10(mean / r["n"])
@@ -161,16 +190,16 @@ def discovery_rule(texts: DataFrame, fdr: float = FDR) -> tuple[float, int]:
         found += have[b]
         if found and total * 10 ** (-b / BINS_PER_UNIT) <= fdr * found:
             least = b
-    return mean, least
+    return least
 
 
 def scan(docs: DataFrame, fdr: float = FDR) -> DataFrame:
     """The documents with all their columns, and _base and _spans: ordered arrays of (start, rank, end, kind)."""
-    mean, least = discovery_rule(docs.select("text"), fdr)
+    mean, least, uneven = discovery_rule(docs.select("text"), fdr)
     bare = lambda spans: F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"), s["kind"].alias("kind")))
     text = F.coalesce("text", F.lit(""))
     docs = docs.withColumn("_base", F.array_sort(bare(F.concat(*(cut(text, pattern, kind, length) for kind, (pattern, length) in BASE.items())))))
-    random = F.filter(candidates(text), lambda t: (score(t["tests"], mean) >= least) & (F.least(t["tests"]["p_uniform"], t["tests"]["p_runs"], t["tests"]["p_serial"]) >= ALPHA))
+    random = F.filter(candidates(text), lambda t: (score(t["tests"]["p_text"], t["tests"]["n"], mean) >= least) & (score(not_uniform(t["tests"]), t["tests"]["n"], mean) < uneven))
     random = F.transform(random, lambda t: F.struct(t["start"].alias("start"), F.lit(KINDS.index("random")).alias("rank"), t["end"].alias("end"), F.lit("random").alias("kind")))
     docs = docs.withColumn("_random", F.when(text.rlike(TOKEN), random).otherwise(F.filter(bare(F.array().cast("array<struct<start:int,rank:int,end:int,kind:string,found:string>>")), lambda s: F.lit(True))))
     free = F.filter("_random", lambda t: ~F.exists("_base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
