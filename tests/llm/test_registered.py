@@ -73,3 +73,15 @@ def test_pipeline(spark):
         words[r.doc_id] += r.piece_tokens
     assert words == {i: len(re.findall(r"[^\x20\x09-\x0D]+", r.text)) for i, r in mixed.items()}
     assert corpus_pipeline.run(spark, DIR).count() == docs.count()
+
+
+def test_near_duplicates_of_null_and_repeated_ids(spark):
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(60))
+    near = lambda k: text(k) + " end"
+    rows = [(None, text(1)), (None, text(2)), (None, near(2)), (9, text(1)), (5, text(3)), (5, text(3)), (5, text(3))]
+    rows += [(6, None), (6, text(4)), (7, near(4)), (8, text(5)), (8, text(6)), (10, near(5)), (11, near(6))]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = collections.Counter((r.doc_id, r.text and r.text.split("x")[0], (r.text or "").endswith("end")) for r in corpus_pipeline.near_duplicates(spark, docs, DIR).collect())
+    two = [k for k in got if k[0] is None]
+    assert len(two) == 1 and two[0][1] == "w2" and got.pop(two[0]) == 1
+    assert got == collections.Counter([(9, "w1", False), (5, "w3", False), (6, None, False), (6, "w4", False), (8, "w5", False), (8, "w6", False)])
