@@ -105,6 +105,58 @@ def test_passages(docs, texts, spark, block_bytes):
     assert phrases.deduplicated(empty(spark)).collect() == []
 
 
+def test_passages_of_repeated_and_null_ids(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(3, text), (3, text + " x"), (1, "y " + text), (None, text), (None, None), (4, "a " + text + " b " + text)]
+    got = sorted((str(r.doc_id), r.n_words, r.n_removed) for r in phrases.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == sorted([("3", 60, 60), ("3", 61, 60), ("1", 61, 0), ("None", 60, 0), ("None", 0, 0), ("4", 122, 120)])
+
+
+def test_the_automaton_removes_the_words(docs, monkeypatch):
+    class Deaf:
+        def __init__(self, *_):
+            self.known = {}
+
+        def get(self, key, default):
+            return self.known.get(key, default)
+
+        def add_word(self, key, value):
+            self.known[key] = value
+
+        def make_automaton(self):
+            pass
+
+        def iter(self, text):
+            return iter(())
+
+    words = [b"w%d" % i for i in range(70)]
+    low = np.arange(21) * 0 + 5
+    assert phrases.Shard([(words, low)], 50, 20).removed([b"a", *words[3:], b"b"], 9).tolist() == [False, *[True] * 67, False]
+    assert not phrases.Shard([(words, low)], 50, 20).removed(words, 5).any()
+    assert not phrases.Shard([(words, low)], 50, 20).removed(words[:49], 9).any()
+    monkeypatch.setattr(phrases.ahocorasick, "Automaton", Deaf)
+    assert not phrases.Shard([(words, low)], 50, 20).removed(words, 9).any()
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_passages_of_few_words(spark, seed):
+    """Few words and short windows: periods, overlaps, passages within passages."""
+    draw = random.Random(seed)
+    rows = [(i, " ".join(draw.choice("ab" if i % 3 else "a b c d".split()) for _ in range(draw.randint(0, 60)))) for i in range(60)]
+    rows += [(60 + i, rows[draw.randrange(60)][1] + " z " + rows[draw.randrange(60)][1]) for i in range(30)]
+    first = {}
+    for i, t in rows:
+        w = t.split()
+        for k in range(len(w) - 8):
+            first.setdefault(tuple(w[k : k + 9]), i)
+    want = {}
+    for i, t in rows:
+        w = t.split()
+        want[i] = sum(any(k >= 0 and k + 9 <= len(w) and first[tuple(w[k : k + 9])] < i for k in range(j - 8, j + 1)) for j in range(len(w)))
+    got = {r.doc_id: r.n_removed for r in phrases.deduplicated(spark.createDataFrame(rows, "doc_id long, text string"), window=9, phrase=3, piece=4, block_bytes=700).collect()}
+    assert got == want and sum(want.values()) > 500
+
+
 def test_window_hashes():
     h = common.WordHashes().of([str(i).encode() for i in [*range(80), *range(80)]])
     long = common.long_grams(h, 50)
@@ -112,31 +164,13 @@ def test_window_hashes():
     assert common.sliding_min(np.array([5, 3, 4, 1, 2]), 3).tolist() == [3, 1, 1]
 
 
-@pytest.mark.parametrize("block_bytes", [1 << 25, 2000])
-def test_language_model(docs, texts, spark, block_bytes):
-    words = [words_of(t) for t in texts]
-    one, two = collections.Counter(w for x in words for w in x), collections.Counter(p for x in words for p in zip(x, x[1:]))
-    total = sum(one.values())
-    for r in lmscore.scored(docs, block_bytes).collect():
-        w = words[r.doc_id]
-        own, own2 = collections.Counter(w), collections.Counter(zip(w, w[1:]))
-        score = backed = 0
-        for i, x in enumerate(w):
-            share = max(1, one[x] - own[x]) / (total - len(w) + 1)
-            pair = two[w[i - 1], x] - own2[w[i - 1], x] if i else 0
-            backed += i > 0 and pair == 0
-            score += math.log(share if not i else pair / (one[w[i - 1]] - own[w[i - 1]]) if pair else 0.4 * share)
-        assert r.n_words == len(w) and r.n_backoff == backed and r.log_score == pytest.approx(score, rel=1e-9)
-    assert lmscore.scored(empty(spark)).collect() == []
-
-
-@pytest.mark.parametrize(("block_bytes", "order"), [(1 << 25, 3), (2000, 3), (1 << 25, 4)])
-def test_language_model_of_longer_context(docs, texts, spark, block_bytes, order):
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_language_model(docs, texts, spark, order):
     words = [words_of(t) for t in texts]
     count = lambda w, k: collections.Counter(tuple(w[i : i + k]) for i in range(len(w) - k + 1))
     every = [sum((count(w, k) for w in words), collections.Counter()) for k in range(order + 1)]
     total, used = sum(every[1].values()), collections.Counter()
-    for r in lmscore.scored(docs, block_bytes, order).collect():
+    for r in lmscore.scored(docs, order).collect():
         w = words[r.doc_id]
         own = [count(w, k) for k in range(order + 1)]
         score = backed = 0
@@ -153,6 +187,14 @@ def test_language_model_of_longer_context(docs, texts, spark, block_bytes, order
                     break
         assert r.n_words == len(w) and r.n_backoff == backed and r.log_score == pytest.approx(score, rel=1e-9)
     assert all(used[k] > 10 for k in range(1, order + 1)), used
+    assert lmscore.scored(empty(spark)).collect() == []
+
+
+def test_language_model_of_repeated_and_null_ids(spark):
+    rows = [(1, "a b c"), (1, "a b c"), (None, "a b c"), (None, None), (2, "z")]
+    got = sorted(map(str, map(tuple, lmscore.scored(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect())))
+    one = math.log(2 / 8)  # each of the three is scored by the two others; every pair is certain
+    assert got == sorted(map(str, [(1, 3, 0, one), (1, 3, 0, one), (None, 3, 0, one), (None, 0, 0, 0.0), (2, 1, 0, math.log(1 / 10))]))
 
 
 def test_quality(docs, texts, spark):

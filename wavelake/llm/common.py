@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-import gc
+import atexit
+import re
+import shutil
 import tempfile
-import time
 import uuid
 from collections.abc import Iterator
 from pathlib import Path
@@ -22,34 +23,64 @@ CACHED_WORDS = 300_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One input table; Python workers get batches of 500 rows, so long texts stay small in memory."""
-    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))  # for the Python workers
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    """One input table. Python workers find the package where the driver has it, unless the session names a path or it was shipped."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only where the session names none (tests)."""
+    """The cluster's shared folder. Only a local session may do without: it gets a temporary folder, removed at exit."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="wavelake-"))
+        at = spark.conf.get("spark.checkpoint.dir", None)
+        if at is None:
+            if not re.match(r"local(\[|$)", sc.master):
+                raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+            at = tempfile.mkdtemp(prefix="wavelake-")
+            atexit.register(shutil.rmtree, at, ignore_errors=True)
+        sc.setCheckpointDir(at)
     return sc.getCheckpointDir()
 
 
-def staged(df: DataFrame) -> DataFrame:
-    """Writes ``df`` as Parquet in the shared folder and reads it back: later steps don't recompute it, and lost executors don't either."""
-    path = f"{shared_dir(df.sparkSession)}/stage-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def staged(df: DataFrame, *over: DataFrame) -> DataFrame:
+    """Writes ``df`` as Parquet in the shared folder and reads it back: later steps don't recompute it, and lost executors don't either.
+
+    The write's shuffle files go when it ends, by Spark's setting for that. The tables in ``over`` are no longer needed then, so they go too.
+    """
+    spark, name = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    path, before = f"{shared_dir(spark)}/stage-{uuid.uuid4().hex}", spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(name, before)
+    drop(*over)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stage = path
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Removes staged tables that no result needs any more."""
+    for df in tables:
+        _remove(df.sparkSession, df._stage)
+
+
+def clear(spark: SparkSession) -> None:
+    """Removes all staged tables of the session; results that were not written by then can't be computed any more."""
+    _remove(spark, shared_dir(spark))
 
 
-def release(spark: SparkSession) -> None:
-    """Lets Spark's cleaner drop the shuffle files of steps that are done, which else stay until the driver happens to collect its garbage."""
-    for _ in range(2):
-        time.sleep(0.25)  # the end of the last query is told to listeners first
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
+def _remove(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def small(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches cut into slices of a few rows, so that what Python makes of long texts stays small in memory."""
+    for b in batches:
+        for at in range(0, len(b), rows):
+            yield b.slice(at, rows)
 
 
 def text_bytes(df: DataFrame) -> int:
@@ -128,7 +159,7 @@ def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
 
 def rows_of(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple]:
     """Rows of Arrow batches as Python values, column by column."""
-    for b in batches:
+    for b in small(batches):
         yield from zip(*(b.column(b.schema.get_field_index(n)).to_pylist() for n in names), strict=True)
 
 

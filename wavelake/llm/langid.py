@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import small, table
 
 UNKNOWN = "und"
 #: Training texts of each language at most (smallest hashes of doc_id), and order-three contexts kept in the trees (most frequent first).
@@ -48,7 +48,7 @@ def contexts(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in small(batches):
         for lang in b.column("lang").unique().to_pylist():
             data, offsets = raw(b.filter(pa.compute.equal(b.column("lang"), lang)).column("text"))
             c1, c2, c3 = (c.astype(np.int64) for c in contexts(data, offsets))
@@ -168,7 +168,7 @@ def predict(docs: DataFrame, model: dict | None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, trees = shipped.value, None
-        for b in batches:
+        for b in small(batches):
             texts = b.column("text")
             lang, score = np.full(len(b), UNKNOWN, object), np.zeros(len(b))
             if model and len(b):

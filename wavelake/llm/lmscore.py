@@ -4,16 +4,22 @@ A document is scored by the other documents: its own n-grams are taken out of th
 is the most words of an n-gram. A word starts at the longest n-gram that ends with it and has ``order`` words or, near the start of a text,
 all words so far. It scores c(n-gram) / c(n-gram without the word) if that n-gram occurs elsewhere, else 0.4 times its score with one word
 of context less; without context it scores its share of all other words. A word that no other document has counts as one occurrence more.
-Logs are summed per document. ``op3_lmscore`` has pairs, as its SQL has; ``op3_lmscore_triples`` has the chain of three.
+Logs are summed per document.
 
-Documents are dealt to blocks by a hash of doc_id. A block counts its own n-grams and sends them, sorted by hash, to the count tables, which
-are partitioned by ranges of the hash. A partition joins the blocks' n-grams with their sums over all blocks, and sends each block the sums
-in the order of the block's own n-grams. The block, which has the same n-grams in the same order, joins them with its documents'. So an
-n-gram crosses the network once as a hash and once as a number, a word in every document is one entry of each block, and a task holds one
-block or one partition.
+Three relational steps:
+
+1. Each document is exploded to its distinct n-grams of all lengths, as 64-bit hashes with their counts in it.
+2. The count table sums them by hash, partial sums first, and keeps the n-grams of two and more documents: what only one document has
+   is not there when that document is scored. It is written once.
+3. The exploded n-grams are joined to the count table by hash, which leaves the n-grams that other documents have, with their counts there.
+   These go to their document, where the words' scores are summed in one pass over its n-grams.
+
+No step needs the rows of an n-gram together but the join, whose large partitions Spark splits, so a word in every document is dealt out.
+A task that scores holds one document and its n-grams at a time.
 
 Words are taken unchanged. Null and empty texts have no words and score 0. Rows that repeat a doc_id are documents of their own, and so are
-rows with a null one.
+rows with a null one: inside, a document is known by its place in the input. Equal texts score alike. Extra columns are ignored, and an empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -25,139 +31,95 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WordHashes, by_block, grams, mixed, release, staged, table, text_bytes
+from .common import WordHashes, grams, mixed, small, staged, table
+from .packing import word_count
 
-BACKOFF, ORDER = 0.4, 2
-#: Bytes of text of a block on average.
-BLOCK_BYTES = 8 << 20
-#: The last key of each block, under which it counts its words.
-ALL_WORDS = np.uint64(0xFFFFFFFFFFFFFFFF)
+BACKOFF, ORDER = 0.4, 3
 ONE = np.uint64(0xA0761D6478BD642F)
-COUNTS = pa.schema([("part", pa.int64()), ("block", pa.int32()), ("keys", pa.binary()), ("times", pa.binary())])
-TOTALS = pa.schema([("block", pa.int32()), ("part", pa.int64()), ("totals", pa.binary())])
+EXPLODED = pa.schema([("row", pa.int64()), ("gram", pa.int64()), ("n", pa.int32())])
 RESULT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_backoff", pa.int64()), ("log_score", pa.float64())])
 
 
-def packed(x: np.ndarray) -> bytes:
-    """Bytes by significance: sorted keys and small numbers then compress well in a shuffle."""
-    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes()
-
-
-def unpacked(data: bytes, kind) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
-
-
 def keys(words: list[bytes], hashes: WordHashes, order: int = ORDER) -> list[np.ndarray]:
     """Keys of the words, of the pairs of neighbours and so on, to runs of ``order`` words."""
     h = hashes.of(words)
     return [mixed(h ^ ONE), *(grams(h, n) for n in range(2, order + 1))]
 
 
-def _joined(parts: list[np.ndarray]) -> np.ndarray:
-    return np.concatenate([np.empty(0, np.uint64), *parts])
-
-
-def _counts(bits: int, order: int):
-    """Each block's n-grams with their counts, in 2**bits ranges of the key."""
-
-    def emit(block: int, parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        if parts:
-            key, times = np.unique(_joined(parts), return_counts=True)
-            key, times = np.append(key, ALL_WORDS), np.append(times, sum(map(len, parts[::order]))).astype(np.uint64)
-            edges = [0, *np.searchsorted(key, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)), len(key)] if bits else [0, len(key)]
-            rows = [(p, block, packed(key[a:b]), packed(times[a:b])) for p, (a, b) in enumerate(zip(edges, edges[1:], strict=False)) if a < b]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), COUNTS.types, strict=True)], schema=COUNTS)
+def exploded(rows: DataFrame, order: int = ORDER) -> DataFrame:
+    """Takes row and text; returns row, gram and n: each document's distinct n-grams and how often it has them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, block, parts = WordHashes(), None, []
-        for now, _, rows in by_block(batches):
-            if now != block:
-                yield from emit(block, parts)
-                block, parts = now, []
-            for text in rows.column("text").to_pylist():
+        hashes = WordHashes()
+        for b in small(batches, 100):
+            ids, found, times = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int32)]
+            for row, text in zip(b.column("row").to_pylist(), b.column("text").to_pylist(), strict=True):
                 if words := (text or "").encode().split():
-                    parts.extend(keys(words, hashes, order))
-        yield from emit(block, parts)
-
-    return run
-
+                    gram, n = np.unique(np.concatenate(keys(words, hashes, order)), return_counts=True)
+                    ids.append(np.full(len(gram), row, np.int64))
+                    found.append(gram.view(np.int64))
+                    times.append(n.astype(np.int32))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (ids, found, times)], schema=EXPLODED)
 
-def _totals(rows: pa.Table) -> pa.Table:
-    """One partition of the count tables: for each block, the sums over all blocks of its n-grams."""
-    each = [unpacked(k, np.uint64) for k in rows.column("keys").to_pylist()]
-    key, times = np.concatenate(each), np.concatenate([unpacked(t, np.uint64) for t in rows.column("times").to_pylist()])
-    order = np.argsort(key, kind="stable")
-    first = np.concatenate([[True], key[order][1:] != key[order][:-1]])
-    sums = np.add.reduceat(times[order], np.flatnonzero(first))
-    total = np.empty(len(key), np.uint64)
-    total[order] = sums[np.cumsum(first) - 1]
-    blobs = [packed(x) for x in np.split(total, np.cumsum([len(x) for x in each])[:-1])]
-    return pa.table([rows.column("block"), rows.column("part"), pa.array(blobs, pa.binary())], schema=TOTALS)
+    return rows.select("row", "text").mapInArrow(run, "row long, gram long, n int")
 
 
-def _scores(order: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, block, totals, docs, each = WordHashes(), None, [], [], []
-
-        def emit() -> Iterator[pa.RecordBatch]:
-            if not docs:
-                return
-            every, out = 0, [(0, 0, 0.0)] * len(docs)
-            if totals:
-                key, which = np.unique(_joined([k for levels in each for k in levels]), return_inverse=True)
-                total = np.concatenate(totals).astype(np.int64)
-                if len(total) != len(key) + 1:
-                    raise ValueError("a block's n-grams changed between its two readings")
-                every, counts, at = int(total[-1]), total[which], 0
-                for i, levels in enumerate(each):
-                    ends = at + np.cumsum([len(k) for k in levels])
-                    if len(levels[0]):
-                        out[i] = _score(levels, np.split(counts[at : ends[-1]], ends[:-1] - at), every)
-                    at = int(ends[-1])
-            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), *(pa.array(c, t) for c, t in zip(zip(*out, strict=True), RESULT.types[1:], strict=True))], schema=RESULT)
-
-        for now, kind, rows in by_block(batches):
-            if now != block:
-                yield from emit()
-                block, totals, docs, each = now, [], [], []
-            if kind == 0:
-                totals += [unpacked(t, np.uint64) for t in rows.column("totals").to_pylist()]
-                continue
-            docs += rows.column("a").to_pylist()
-            each += [keys((t or "").encode().split(), hashes, order) for t in rows.column("text").to_pylist()]
-        yield from emit()
-
-    return run
+def count_table(grams: DataFrame) -> DataFrame:
+    """gram and total of the n-grams that more than one document has."""
+    return grams.groupBy("gram").agg(F.sum("n").alias("total"), F.count("*").alias("docs")).where("docs > 1").select("gram", "total")
 
 
-def _score(levels: list[np.ndarray], counts: list[np.ndarray], every: int) -> tuple[int, int, float]:
-    """Words, words that backed off, and log score of a document from its keys and their counts, by length of n-gram."""
-    rest = []
-    for key, count in zip(levels, counts, strict=True):
-        _, which, own = np.unique(key, return_inverse=True, return_counts=True)
-        rest.append(count - own[which])
+def _score(levels: list[np.ndarray], gram: np.ndarray, rest: np.ndarray, others: float) -> tuple[int, int, float]:
+    """Words, words that backed off, and log score of a document from its keys and the other documents' counts of them."""
+    order = np.argsort(gram)
+    gram, rest = np.append(gram[order], 0), np.append(rest[order], 0)
+    counts = []
+    for key in levels:
+        at = np.searchsorted(gram[:-1], key.view(np.int64))
+        counts.append(np.where(gram[at] == key.view(np.int64), rest[at], 0))
     n = len(levels[0])
-    terms = np.log(np.maximum(rest[0], 1) / (every - n + 1.0))
+    terms = np.log(np.maximum(counts[0], 1) / (others + 1.0))
     backed = np.zeros(n, bool)
     for k in range(1, len(levels)):  # the run at j ends with word j + k; its context is the shorter run at j
-        seen = rest[k] > 0
-        terms[k:] = np.where(seen, np.log(np.maximum(rest[k], 1) / np.maximum(rest[k - 1][:-1], 1)), np.log(BACKOFF) + terms[k:])
+        seen = counts[k] > 0
+        terms[k:] = np.where(seen, np.log(np.maximum(counts[k], 1) / np.maximum(counts[k - 1][:-1], 1)), np.log(BACKOFF) + terms[k:])
         backed[k:] = ~seen
-    return n, int(backed.sum()), float(terms[0] + terms[1:].sum())
+    return n, int(backed.sum()), float(terms.sum())
 
 
-def scored(docs: DataFrame, block_bytes: int = BLOCK_BYTES, order: int = ORDER) -> DataFrame:
+def _scores(order: int, every: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, gram, rest, out = WordHashes(), [], [], []
+        for b in batches:
+            g, r = np.asarray(b.column("gram").fill_null(0)), np.asarray(b.column("rest").fill_null(0))
+            ends = np.flatnonzero(np.asarray(b.column("last")))  # a document's text follows its n-grams
+            lo = 0
+            for end, doc, text in zip(ends, b.column("doc_id").take(pa.array(ends)).to_pylist(), b.column("text").take(pa.array(ends)).to_pylist(), strict=True):
+                words = (text or "").encode().split()
+                got = (0, 0, 0.0)
+                if words:
+                    got = _score(keys(words, hashes, order), np.concatenate([*gram, g[lo:end]]), np.concatenate([*rest, r[lo:end]]), every - len(words))
+                out.append((doc, *got))
+                gram, rest, lo = [], [], end + 1
+            gram.append(g[lo:])
+            rest.append(r[lo:])
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), RESULT.types, strict=True)], schema=RESULT)
+                out = []
+
+    return run
+
+
+def scored(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """doc_id, n_words, n_backoff (words that backed off from their longest n-gram) and log_score."""
-    blocks = max(1, -(-text_bytes(docs) // block_bytes))
-    bits = (blocks - 1).bit_length()  # one to two partitions for each block
-    block = F.pmod(F.xxhash64("doc_id", F.lit(19)), F.lit(blocks)).cast("int").alias("block")
-    texts = docs.select(block, F.lit(1).alias("kind"), F.col("doc_id").cast("long").alias("a"), F.lit(None).cast("binary").alias("totals"), "text")
-    counts = texts.repartition(blocks, "block").sortWithinPartitions("block").mapInArrow(_counts(bits, order), "part long, block int, keys binary, times binary")
-    sums = staged(counts.groupBy("part").applyInArrow(_totals, "block int, part long, totals binary"))
-    release(docs.sparkSession)
-    known = sums.select("block", F.lit(0).alias("kind"), F.col("part").alias("a"), "totals", F.lit(None).cast("string").alias("text"))
-    rows = known.unionByName(texts).repartition(blocks, "block").sortWithinPartitions("block", "kind", "a")
-    return rows.mapInArrow(_scores(order), "doc_id long, n_words long, n_backoff long, log_score double")
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    every = int(rows.agg(F.sum(word_count())).first()[0] or 0)
+    grams = exploded(rows, order)
+    counts = staged(count_table(grams))
+    known = grams.join(counts, "gram").select("row", F.lit(False).alias("last"), "gram", (F.col("total") - F.col("n")).alias("rest"))
+    texts = rows.select("row", F.lit(True).alias("last"), "doc_id", "text")
+    every_row = known.unionByName(texts, allowMissingColumns=True).repartition("row").sortWithinPartitions("row", "last")
+    return every_row.mapInArrow(_scores(order, every), "doc_id long, n_words long, n_backoff long, log_score double")
 
 
 def op3_lmscore(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,28 +127,10 @@ def op3_lmscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "n_words", "n_backoff", F.round("log_score", 4).alias("log_score"))
 
 
-def op3_lmscore_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    got = scored(table(spark, sf_dir, "documents"), order=3)
-    return got.select("doc_id", "n_words", "n_backoff", F.round("log_score", 4).alias("log_score"))
-
-
 def oracle() -> str:
     return rf"""
 with d as (select doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) ws from documents),
 w as (select doc_id, unnest(ws) w, generate_subscripts(ws, 1) i from d),
-k as (select *, lag(w) over (partition by doc_id order by i) p from w),
-c as (select *, count(*) over (partition by w) - count(*) over (partition by doc_id, w) rest, count(*) over (partition by p, w) - count(*) over (partition by doc_id, p, w) pair,
-  count(*) over () - count(*) over (partition by doc_id) others from k),
-t as (select *, lag(rest) over (partition by doc_id order by i) before from c),
-s as (select doc_id, count(*) n, sum((i > 1 and pair = 0)::int) b,
-  sum(case when i = 1 then ln(greatest(rest, 1) / (others + 1.0)) when pair > 0 then ln(pair / before) else ln({BACKOFF}) + ln(greatest(rest, 1) / (others + 1.0)) end) score from t group by doc_id)
-select d.doc_id, coalesce(n, 0)::bigint n_words, coalesce(b, 0)::bigint n_backoff, round(coalesce(score, 0), 4) log_score from d left join s using (doc_id)"""
-
-
-def oracle_triples() -> str:
-    return rf"""
-with d as (select doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) ws from documents),
-w as (select doc_id, unnest(ws) w, generate_subscripts(ws, 1) i from d),
 k as (select *, lag(w) over (partition by doc_id order by i) p, lag(w, 2) over (partition by doc_id order by i) q from w),
 c as (select *, count(*) over (partition by w) - count(*) over (partition by doc_id, w) one, count(*) over (partition by p, w) - count(*) over (partition by doc_id, p, w) two,
   count(*) over (partition by q, p, w) - count(*) over (partition by doc_id, q, p, w) three, count(*) over () - count(*) over (partition by doc_id) others from k),

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WordHashes, grams, rows_of, staged, table
+from .common import WordHashes, grams, rows_of, small, staged, table
 
 WORDS, SIMILARITY, RECALL, ROWS = 5, 0.8, 0.9999, 4
 #: Members of a block, and of the tasks that small groups share.
@@ -68,7 +68,7 @@ def signed(docs: DataFrame, bands: int, rows: int = ROWS, words: int = WORDS) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, sign = WordHashes(), signer(bands, rows)
-        for b in batches:
+        for b in small(batches):
             out: list[list] = [[], [], [], []]
             for doc, text in rows_of([b], "doc_id", "text"):
                 items, key, found = shingles(text, hashes, words), (None, None), None
@@ -196,7 +196,7 @@ def joined(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECA
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for b in batches:
+        for b in small(batches):
             items = [shingles(t, hashes, words).tobytes() for t in b.column("text").to_pylist()]
             # of a doc_id's several rows, only the one whose set was signed goes on
             same = [np.frombuffer(xxhash.xxh3_128_digest(x), np.int64)[0] == k for x, k in zip(items, b.column("key_a").to_pylist(), strict=True)]

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import MULT, WordHashes, mixed, table
+from .common import MULT, WordHashes, mixed, small, table
 
 DIM = 1 << 18
 #: Labelled rows of each class that the model is fitted on at most, the smallest hashes of doc_id.
@@ -72,7 +72,7 @@ def n_grams(text: bytes, words: list[bytes], hashes: WordHashes) -> tuple[np.nda
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes()
-    for b in batches:
+    for b in small(batches):
         out: list[list] = [[], [], [], []]
         for text, label, fold in zip(*(b.column(n).to_pylist() for n in ("text", "label", "fold")), strict=True):
             raw = (text or "").encode()
@@ -170,7 +170,7 @@ def judge(docs: DataFrame, model: dict | None, threshold: float = THRESHOLD) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for b in batches:
+        for b in small(batches):
             out = verdicts(b, shipped.value, threshold, hashes)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(c, t) for c, t in zip(out, RESULT.types[1:], strict=True))], schema=RESULT)
 
@@ -183,7 +183,7 @@ def kept(docs: DataFrame, model: dict | None, threshold: float = THRESHOLD) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for b in batches:
+        for b in small(batches):
             yield b.filter(pa.array(verdicts(b, shipped.value, threshold, hashes)[at], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
