@@ -8,6 +8,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from wavelake.llm import chat, common, langid, lmscore, mixing, neardup, packing, phrases, quality, secrets, topk
 
@@ -76,7 +77,9 @@ def test_near_duplicates_in_blocks(spark, monkeypatch):
 
 def test_repeated_rows_of_near_duplicates(spark):
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (2, "a b c d e f"), (None, "a b c d e f")]
-    assert sorted(map(tuple, neardup.joined(spark.createDataFrame(rows, "doc_id long, text string")).collect())) == [(1, 1, 1), (2, 1, 1)]
+    rows += [(3, "p q r s t u"), (3, "v w x y z a"), (None, "v w x y z a"), (None, None), (None, "lonely words that are only here")]
+    got = sorted(map(str, map(tuple, neardup.joined(spark.createDataFrame(rows, "doc_id long, text string")).collect())))
+    assert got == sorted(map(str, [(1, 1, 3), (1, 1, 3), (2, 1, 3), (None, 1, 3), (3, 3, 0), (3, 3, 1), (None, 3, 1), (None, None, 0), (None, None, 0)]))
 
 
 def test_components(spark):
@@ -257,7 +260,7 @@ def test_secrets(docs, spark):
         (0, "é token = \"abcdefgh12\" and AKIA" + "Z9" * 8), (1, None), (2, ""), (3, "token:secret:abcdefghijkl"), (4, "PassWord:'x' API_KEY=hunter2hunter2"),
         (5, "0123456789abcdef" * 2 + " tail " + "f" * 31), (6, "AKIAAKIAAKIAAKIA AKIA1"), (7, "key Zk3vQ9xL7mB2tR8nW4yC6pH1sD5gJ0fA plain_words_in_a_snake_case_name"), (8, "token=" * 50 + "x" * 9),
     ]
-    got = {r.doc_id: r for r in secrets.scan(spark.createDataFrame(rows, "doc_id long, text string")).select("*", secrets.joined("_base").alias("b"), secrets.joined("_spans").alias("s"), secrets.redacted(secrets.F.col("text"), secrets.F.col("_spans")).alias("r")).collect()}
+    got = {r.doc_id: r for r in secrets.scan(spark.createDataFrame(rows, "doc_id long, text string")).select("*", secrets.joined(F.col("secrets.base")).alias("b"), secrets.joined(F.col("secrets.spans")).alias("s"), secrets.redacted(F.col("text"), F.col("secrets.spans")).alias("r")).collect()}
     assign = re.compile(r"(?:" + "|".join("".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in w) for w in ("password", "passwd", "secret", "token", "api_?key")) + r")[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
     for i, text in rows:
         found = [(m.start(), 0, m.end(), "assign") for m in assign.finditer(text or "") if len(m[1]) >= 8]
@@ -270,6 +273,82 @@ def test_secrets(docs, spark):
     assert secrets.scan(empty(spark)).collect() == []
 
 
+def test_secrets_of_long_texts(spark):
+    """Many matches over several parts, and as many spans to redact; clashing columns stay."""
+    for n in (63, 64, 65, 700):
+        text = "é" + " - ".join(f"AKIA{k:016d}" if k % 3 else f"short AKIA{k}" for k in range(n)) + " end"
+        rows = secrets.scan(spark.createDataFrame([(1, text, "x")], "doc_id long, text string, secrets string"))
+        got = rows.select("secrets", F.col("secrets_.base").alias("base"), secrets.redacted(F.col("text"), F.col("secrets_.spans")).alias("r")).first()
+        found = [m.span() for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+        assert got.secrets == "x" and [(b.start, b.end) for b in got.base] == found
+        assert got.r == re.sub("AKIA[0-9]{12,}", "[SECRET]", text)
+
+
+def plain_tests(token):
+    """The battery in plain Python: encoding, length, the three p-values against uniform draws, and the one against text."""
+    tail = lambda z: math.erfc(z / math.sqrt(2)) / 2
+    body = token.rstrip("=")
+    if re.fullmatch("([0-9a-f]+([-_][0-9a-f]+)+|[0-9A-F]+([-_][0-9A-F]+)+)", body) and re.search("[a-fA-F]", body):
+        body = re.sub("[-_]", "", body)
+    pattern = {"digits": "[0-9]+", "hex": "[0-9a-f]+|[0-9A-F]+", "lower": "[a-z]+", "upper": "[A-Z]+", "base32": "[A-Z2-7]+", "alnum36": "[a-z0-9]+", "alnum62": "[A-Za-z0-9]+", "base64": ".*"}
+    name = next(k for k, x in pattern.items() if re.fullmatch(x, body))
+    alphabet = secrets.ALPHABETS[name]
+    symbols = body.lower() if name == "hex" else body.replace("-", "+").replace("_", "/") if name == "base64" else body
+    x, n, k = [alphabet.index(c) + 1 for c in symbols], len(symbols), len(alphabet)
+    chi = sum((symbols.count(c) - n / k) ** 2 / (n / k) for c in alphabet)
+    z = ((chi / (k - 1)) ** (1 / 3) - (1 - 2 / (9 * (k - 1)))) / math.sqrt(2 / (9 * (k - 1)))
+    high = [v > k // 2 for v in x]
+    low_n, high_n, runs = high.count(False), high.count(True), 1 + sum(a != b for a, b in zip(high, high[1:]))
+    mean = 2 * low_n * high_n / n + 1
+    spread = (mean - 1) * (mean - 2) / (n - 1)
+    z_runs = abs(runs - mean) / math.sqrt(spread) if spread > 0 else 99
+    over = n * sum(a * b for a, b in zip(x, x[1:] + x[:1])) - sum(x) ** 2
+    under = n * sum(a * a for a in x) - sum(x) ** 2
+    z_serial = abs(over / under + 1 / (n - 1)) * math.sqrt(n) if under > 0 else 99
+    kind = lambda c: "l" if c.islower() else "u" if c.isupper() else "d" if c.isdigit() else "s"
+    if name == "digits":
+        p_text = secrets.DIGIT_RUN ** (n - 1)
+    elif name in ("lower", "upper"):
+        p_text = tail((sum(secrets.SURPRISE[ord(c) - 97] for c in symbols.lower()) - n * secrets.MEAN_SURPRISE) / (secrets.SURPRISE_SPREAD * math.sqrt(n)))
+    else:
+        changes = sum(kind(a) != kind(b) for a, b in zip(body, body[1:]))
+        p_text = tail((changes - 0.5 - secrets.CHANGES * (n - 1)) / math.sqrt(secrets.CHANGES * (1 - secrets.CHANGES) * (n - 1)))
+    return name, n, tail(z), 2 * tail(z_runs), 2 * tail(z_serial), max(p_text, 1e-300)
+
+
+def plain_discoveries(tokens, fdr):
+    """Benjamini and Hochberg's rule over distinct tokens with length weights, on p-values rounded up to bins."""
+    tests = {t: plain_tests(t) for t in tokens}
+    mean = sum(x[1] for x in tests.values()) / len(tests)
+
+    def taken(p_of):
+        bin_of = {t: math.floor((math.log10(x[1]) - math.log10(p_of(x))) * secrets.BINS_PER_UNIT) for t, x in tests.items()}
+        ordered = sorted(bin_of.values(), reverse=True)
+        good = [b for b in set(ordered) if len(ordered) * mean * 10 ** (-b / secrets.BINS_PER_UNIT) <= fdr * sum(x >= b for x in ordered)]
+        return {t for t, b in bin_of.items() if good and b >= min(good)}
+
+    return taken(lambda x: x[5]) - taken(lambda x: max(min(1.0, 3 * min(x[2:5])), 1e-300))
+
+
+def test_battery_and_discovery_rule(spark):
+    draw = random.Random(8)
+    alphabets = [*secrets.ALPHABETS.values(), secrets.DIGITS + "abcdef-", "aeiourst", "ab", secrets.LOWER + "_"]
+    tokens = ["".join(draw.choice(a) for _ in range(draw.choice([20, 24, 32, 40, 64, 128]))) for a in alphabets for _ in range(12)]
+    tokens += ["international_characteristic_management", "x" * 30, "A1" * 20, "the-quick-brown-fox-jumps-over", "0123456789" * 3 + "==", "Zz" * 700]
+    tokens = [t for t in dict.fromkeys(tokens) if re.fullmatch(secrets.TOKEN.replace("}+", "}"), t)]
+    frame = spark.createDataFrame([(t,) for t in tokens], "t string")
+    for r in frame.select("t", secrets.battery(F.col("t")).alias("b")).collect():
+        name, n, *p = plain_tests(r.t)
+        assert (r.b.encoding, r.b.n) == (name, n)
+        assert [r.b.p_uniform, r.b.p_runs, r.b.p_serial, r.b.p_text] == pytest.approx(p, rel=2e-2, abs=1e-6), r.t
+    # copies of a token are one test
+    rows = [(i, f"a {t} b {t}") for i, t in enumerate(tokens)] + [(1000 + i, f"see {tokens[0]}") for i in range(300)]
+    got = secrets.scan(spark.createDataFrame(rows, "doc_id long, text string")).where("doc_id < 1000").select("doc_id", F.size(F.filter("secrets.spans", lambda s: s["kind"] == "random")).alias("n"), F.size("secrets.base").alias("base")).collect()
+    want = plain_discoveries(tokens, secrets.FDR)
+    assert {tokens[r.doc_id] for r in got if r.n} == {t for t in want if not any(tokens[r.doc_id] == t and r.base for r in got)}
+    assert all(r.n in (0, 2) for r in got) and 20 < len(want) < len(tokens) - 20
+
+
 def test_random_tokens_of_each_kind(spark):
     draw = random.Random(11)
     kinds = {"lower": secrets.LOWER, "upper": secrets.UPPER, "digits": secrets.DIGITS, "base32": secrets.UPPER + "234567", "alnum62": secrets.UPPER + secrets.LOWER + secrets.DIGITS}
@@ -279,7 +358,7 @@ def test_random_tokens_of_each_kind(spark):
     plain = ["".join(draw.choice(words.split()) for _ in range(4)) for _ in range(60)] + ["_".join(draw.choice(words.split()) for _ in range(4)).upper() for _ in range(20)]
     plain += ["0" * 28, "12" * 14, "2024-01-02-2024-01-03", "0123456789" * 3]
     rows = [(i, f"see {t} there") for i, t in enumerate([t for _, t in secret] + plain)]
-    got = {r.doc_id: r.s for r in secrets.scan(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", secrets.joined("_spans").alias("s")).collect()}
+    got = {r.doc_id: r.s for r in secrets.scan(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", secrets.joined(F.col("secrets.spans")).alias("s")).collect()}
     found = collections.Counter(k for i, (k, t) in enumerate(secret) if got[i] == f"random:4:{4 + len(t)}")
     assert all(found[k] >= 16 for k in (*kinds, "uuid")), found
     assert [t for i, t in enumerate(plain, len(secret)) if got[i]] == []
@@ -356,22 +435,70 @@ def test_packing(docs, texts, spark):
 
 
 def test_mixing(docs, texts, spark):
-    rows = mixing.sample(docs).collect()
-    assert len(rows) == len(texts) and all(r.prob <= 1 for r in rows) and set(docs.columns) < set(rows[0].asDict())
-    cells = mixing.calibrated(mixing.rake(mixing.keyed(docs))).collect()
+    clashing = docs.withColumns({"mix": F.lit("m"), "prob": F.lit("p"), "kept": F.lit("k"), "n_tokens": F.lit("n"), "_keys": F.lit("x")})
+    rows = mixing.sample(clashing).select("*", "mix_.prob", "mix_.kept").collect()
+    assert len(rows) == len(texts) and all(r[-2] <= 1 for r in rows)
+    assert {(r.mix, r[clashing.columns.index("prob")], r[clashing.columns.index("kept")], r["n_tokens"], r["_keys"]) for r in rows} == {("m", "p", "k", "n", "x")}
+    cells = mixing.calibrated(mixing.rake(docs.select(mixing.keyed(docs).alias("k")).select("k.*"))).collect()
     kept, total = sum(c.prob * c.tokens for c in cells), sum(c.tokens for c in cells)
     assert kept == pytest.approx(total / 2, rel=1e-6) or all(c.prob == 1 for c in cells)
     assert mixing.sample(empty(spark)).collect() == []
 
 
-def test_raking_meets_the_targets(spark):
-    draw = random.Random(4)
-    rows = [(i, " ".join("w" for _ in range(draw.randint(50, 1500))), draw.choice(["en", "de", None]), draw.choice(["s1", "s1", "s2"])) for i in range(200)]
-    cells = mixing.rake(mixing.keyed(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")), rounds=30).toPandas()
-    for d in mixing.DIMS:
-        sums = cells.groupby(f"_{d}")[["tokens", "weight"]].sum()
-        target = sums.tokens ** mixing.POWERS[d]
-        assert (sums.weight / sums.weight.sum() - target / target.sum()).abs().max() < 1e-6
+def plain_raking(cells, target):
+    """Iterative proportional fitting in plain Python: cells by (source, lang, topic), target shares by place of the key."""
+    w = dict(cells)
+    for _ in range(3000):
+        for d in range(3):
+            have = collections.Counter()
+            for k, x in w.items():
+                have[k[d]] += x
+            w = {k: x * target[d][k[d]] / have[k[d]] for k, x in w.items()}
+    return w
+
+
+@pytest.mark.parametrize("given", [None, {"source": {"s1": 0.2, "s3": 0.3}, "lang": {"en": 0.5, "de": 0.25, "(none)": 0.25}}])
+def test_mixing_against_plain_raking(spark, given):
+    """Production settings on a sparse table: some sources have one language only."""
+    draw, rows = random.Random(4), []
+    for i in range(300):
+        source = draw.choice(["s1", "s1", "s2", "s3", None])
+        lang = "de" if source == "s3" and i % 5 else draw.choice(["en", "de", None, ""])
+        rows.append((i, " ".join("w" for _ in range(draw.randint(0, 1500))), lang, source, draw.choice("ab")))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, topic string")
+    cells = collections.Counter()
+    for _, t, lang, source, form in rows:
+        cells[source or "(none)", lang or "(none)", form] += len(t.split())
+    cells = {k: n for k, n in cells.items() if n}
+    target = []
+    for d, name in enumerate(mixing.DIMS):
+        have = collections.Counter()
+        for k, n in cells.items():
+            have[k[d]] += n
+        some = (given or {}).get(name)
+        open_tokens = sum(n for v, n in have.items() if v not in (some or {}))
+        raw = {v: n ** mixing.POWERS[name] if not some else some[v] if v in some else (1 - sum(some.values())) * n / open_tokens for v, n in have.items()}
+        target.append({v: x / sum(raw.values()) for v, x in raw.items()})
+    w = plain_raking(cells, target)
+    total, budget = sum(cells.values()), 0.5 * sum(cells.values())
+    lo, hi = 0.0, 1e9
+    for _ in range(200):  # the scale that spends the budget
+        mid = (lo + hi) / 2
+        lo, hi = (mid, hi) if sum(min(cells[k], x * mid) for k, x in w.items()) < budget else (lo, mid)
+    prob = {k: min(1.0, x * lo / cells[k]) for k, x in w.items()}
+    for r in mixing.sample(docs, given).select("doc_id", "mix.*").collect():
+        k = (r.source, r.lang, r.topic)
+        assert r.prob == pytest.approx(prob.get(k, 0.0), abs=1e-6)
+        share = int(hashlib.md5(f"{r.doc_id}:{mixing.SEED}".encode()).hexdigest()[:8], 16) / 2**32
+        assert r.kept == (share < r.prob)
+    assert total and len(prob) > 12
+
+
+def test_raking_of_contradicting_targets_ends(spark):
+    rows = [(0, "a b", "en", "s1", "x"), (1, "a b", "de", "s2", "x")]  # each source has one language
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, topic string")
+    got = mixing.sample(docs, {"source": {"s1": 0.9, "s2": 0.1}, "lang": {"en": 0.1, "de": 0.9}}).select("mix.prob").collect()
+    assert len(got) == 2 and all(0 <= r.prob <= 1 for r in got)
 
 
 @pytest.mark.parametrize("seed", range(3))

@@ -76,6 +76,14 @@ def _remove(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def free(df: DataFrame, name: str) -> str:
+    """The name, with underscores after it while ``df`` has a column called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def small(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
     """The batches cut into slices of a few rows, so that what Python makes of long texts stays small in memory."""
     for b in batches:

@@ -4,12 +4,15 @@ Two documents are linked if the Jaccard similarity of their sets of five-word sh
 target recall at that similarity. Documents with equal sets form one class member with a weight, so copies are never expanded.
 
 Members that share a band hash are candidates. Candidates are gathered in groups (connected through shared band hashes); a group's sets are
-compared block by block, so a task holds two blocks at most and a large group is dealt over many tasks. Inside a task the common shingles of
-all pairs come from one matrix product, and only each member's number of links and one edge of a spanning forest leave it.
+compared block by block, so a task holds two blocks at most and a large group is dealt over many tasks. Blocks are bounded by members and by
+shingles. Inside a task the common shingles of all pairs come from one matrix product, and only each member's number of links and one edge of a
+spanning forest leave it.
 
 Words are runs of characters other than the six ASCII white-space characters, taken unchanged. A text of fewer than five words has one shingle,
-all its words. Null and empty texts have none: they link to nothing and are classes of their own. A repeated doc_id counts as one document, whose
-text is the smallest of its rows' sets; rows with null doc_id are left out.
+all its words. Null and empty texts have none: they link to nothing and are classes of their own. Each row is a document of its own, known by
+its place in the input, so rows with null and with repeated doc_ids are compared like all others; a class without any doc_id has a null
+class_id. Extra columns are ignored, and an empty table gives no rows. The input is read twice and must give its rows in the same order: a
+table, or a staged one.
 """
 
 from __future__ import annotations
@@ -24,12 +27,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WordHashes, grams, rows_of, small, staged, table
+from .common import WordHashes, free, grams, rows_of, small, staged, table
 
 WORDS, SIMILARITY, RECALL, ROWS = 5, 0.8, 0.9999, 4
-#: Members of a block, and of the tasks that small groups share.
-BLOCK = 1024
-SIGNED = pa.schema([("doc_id", pa.int64()), ("key_a", pa.int64()), ("key_b", pa.int64()), ("bands", pa.list_(pa.int64()))])
+#: Members and shingles of a block, and of the tasks that small groups share.
+BLOCK, ITEMS = 1024, 1 << 19
+#: Candidates at most whose rows are broadcast to find their texts; more are joined by shuffling the texts.
+FEW = 1 << 20
+SIGNED = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("key_a", pa.int64()), ("key_b", pa.int64()), ("items", pa.int64()), ("bands", pa.list_(pa.int64()))])
 
 
 def band_count(similarity: float = SIMILARITY, recall: float = RECALL, rows: int = ROWS) -> int:
@@ -63,41 +68,41 @@ def signer(bands: int, rows: int):
     return sign
 
 
-def signed(docs: DataFrame, bands: int, rows: int = ROWS, words: int = WORDS) -> DataFrame:
-    """doc_id, a 128-bit key of the set and its band hashes; both null for texts without words."""
+def signed(rows: DataFrame, bands: int, per_band: int = ROWS, words: int = WORDS) -> DataFrame:
+    """row, doc_id, a 128-bit key of the set, its size and its band hashes; the last four null for texts without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, sign = WordHashes(), signer(bands, rows)
+        hashes, sign = WordHashes(), signer(bands, per_band)
         for b in small(batches):
-            out: list[list] = [[], [], [], []]
-            for doc, text in rows_of([b], "doc_id", "text"):
-                items, key, found = shingles(text, hashes, words), (None, None), None
+            out: list[list] = [[] for _ in SIGNED.names]
+            for row, doc, text in rows_of([b], "row", "doc_id", "text"):
+                items, key, found = shingles(text, hashes, words), (None, None, None), None
                 if len(items):
-                    key = np.frombuffer(xxhash.xxh3_128_digest(items.tobytes()), np.int64).tolist()
+                    key = (*np.frombuffer(xxhash.xxh3_128_digest(items.tobytes()), np.int64).tolist(), len(items))
                     found = sign(items).view(np.int64)
-                for column, x in zip(out, (doc, *key, found), strict=True):
+                for column, x in zip(out, (row, doc, *key, found), strict=True):
                     column.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, SIGNED.types, strict=True)], schema=SIGNED)
 
-    some = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
-    return some.mapInArrow(run, "doc_id long, key_a long, key_b long, bands array<long>")
+    return rows.mapInArrow(run, "row long, doc_id long, key_a long, key_b long, items long, bands array<long>")
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(id, root): the smallest id of each connected component, for all ids on edges (a, b).
 
     Each round links every id and its neighbours to the smallest of them, first among the larger, then among the smaller neighbours;
-    stars remain. Rounds are written to the shared folder.
+    stars remain. Rounds are written to the shared folder. The smallest ids are dealt anew before they are joined, so Spark can split the
+    join of a star's many edges.
     """
     edges = staged(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
     before = None
     while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
+        low = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low")).repartition("low")
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("low"))
-        small = large.join(low, "a").select(F.explode(F.array(F.struct("a", F.col("low").alias("b")), F.struct(F.col("b").alias("a"), F.col("low").alias("b")))).alias("e")).select("e.a", "e.b").where("a <> b").distinct()
-        edges = staged(small)
+        low = large.groupBy("a").agg(F.min("b").alias("low")).repartition("low")
+        pairs = large.join(low, "a").select(F.explode(F.array(F.struct("a", F.col("low").alias("b")), F.struct(F.col("b").alias("a"), F.col("low").alias("b")))).alias("e")).select("e.a", "e.b").where("a <> b").distinct()
+        edges = staged(pairs, edges)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             break
@@ -154,7 +159,7 @@ def verifier(similarity: float):
         for (_, p, q), some in rows.groupby(["part", "p", "q"], sort=True):
             some = some.drop_duplicates("member").sort_values("member")
             ids, weight = some.member.to_numpy(), some.weight.to_numpy()
-            sets = [np.frombuffer(x, np.uint64) for x in some["items"]]
+            sets = [np.frombuffer(x, np.uint64) for x in some.full]
             size = np.array([len(x) for x in sets])
             left, right = (np.flatnonzero(some.block == b) for b in (p, q))
             both = common_counts([sets[i] for i in left], [sets[i] for i in right])
@@ -174,45 +179,66 @@ def verifier(similarity: float):
     return verify
 
 
-def joined(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL, rows: int = ROWS, words: int = WORDS) -> DataFrame:
-    """One row for each document: doc_id, class_id (smallest doc_id linked with it through links), n_links (documents linked with it)."""
-    bands = band_count(similarity, recall, rows)
-    signs = staged(signed(docs, bands, rows, words).groupBy("doc_id").agg(F.min(F.struct("key_a", "key_b", "bands")).alias("s")).select("doc_id", "s.*"))
-    members = staged(signs.where("key_a is not null").groupBy("key_a", "key_b").agg(F.min("doc_id").alias("member"), F.count("*").alias("weight"), F.first("bands").alias("bands")))
+def grouped(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL, per_band: int = ROWS, words: int = WORDS) -> DataFrame:
+    """row (place in the input), doc_id, class_row (a row of its class), class_id (smallest doc_id of its class), n_links (rows linked with it)."""
+    bands = band_count(similarity, recall, per_band)
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    signs = staged(signed(rows, bands, per_band, words))
+    # a set's member is the first of its rows
+    sets = signs.where("key_a is not null").groupBy("key_a", "key_b").agg(F.min("row").alias("member"), F.min("doc_id").alias("low_doc"), F.count("*").alias("weight"), F.first("items").alias("items"), F.first("bands").alias("bands"))
+    members = staged(sets)
     banded = members.select("member", F.posexplode("bands").alias("band", "hash"))
-    lowest = banded.groupBy("band", "hash").agg(F.min("member").alias("low"), F.max("member").alias("high")).where("low < high")
+    lowest = banded.groupBy("band", "hash").agg(F.min("member").alias("low"), F.max("member").alias("high")).where("low < high").drop("high").repartition("low")
     near = banded.join(lowest, ["band", "hash"]).where("member <> low").select(F.col("member").alias("a"), F.col("low").alias("b"))
-    groups = components(near)
-    sizes = groups.groupBy("root").agg(F.count("*").alias("size"))
-    groups = staged(groups.join(sizes, "root"))
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    shared = max(1, -(-groups.count() // BLOCK))  # tasks that the small groups share
-    placed = groups.join(members.select("member", "weight", "key_a"), groups.id == F.col("member")).select(
-        "member", "weight", "key_a", F.col("root").alias("part"), blocks.alias("blocks"), F.pmod(F.xxhash64("member"), blocks).cast("int").alias("block"),
+    groups = components(near).withColumnRenamed("id", "member").join(members.select("member", "weight", "items"), "member")
+    groups = staged(groups)
+    sizes = groups.groupBy("root").agg(F.count("*").alias("size"), F.sum("items").alias("all_items"))
+    candidates, items = groups.agg(F.count("*"), F.coalesce(F.sum("items"), F.lit(0))).first()
+    blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("all_items") / ITEMS)).cast("int")
+    shared = max(1, -(-candidates // BLOCK), -(-items // ITEMS))  # tasks that the small groups share
+    placed = groups.join(sizes.repartition("size"), "root").select(
+        F.col("member").alias("row"), "weight", F.col("root").alias("part"), blocks.alias("blocks"), F.pmod(F.xxhash64("member"), blocks).cast("int").alias("block"),
         F.when(blocks > 1, F.col("root")).otherwise(-1 - F.pmod(F.xxhash64("root"), F.lit(shared))).alias("task"),
     )
 
-    names = ["member", "weight", "part", "blocks", "block", "task"]
+    names = ["row", "weight", "part", "blocks", "block", "task"]
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for b in small(batches):
-            items = [shingles(t, hashes, words).tobytes() for t in b.column("text").to_pylist()]
-            # of a doc_id's several rows, only the one whose set was signed goes on
-            same = [np.frombuffer(xxhash.xxh3_128_digest(x), np.int64)[0] == k for x, k in zip(items, b.column("key_a").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), pa.array(items, pa.binary())], names=[*names, "items"]).filter(pa.array(same, pa.bool_()))
+            full = [shingles(t, hashes, words).tobytes() for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), pa.array(full, pa.binary())], names=["member", *names[1:], "full"])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("member"), "text").join(placed, "member")
-    full = texts.mapInArrow(sets, "member long, weight long, part long, blocks int, block int, task long, items binary")
+    texts = rows.select("row", "text")
+    if candidates <= FEW:
+        texts = texts.join(F.broadcast(groups.select(F.col("member").alias("row"))), "row", "left_semi")
+    full = texts.join(placed, "row").mapInArrow(full_sets, "member long, weight long, part long, blocks int, block int, task long, full binary")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = full.withColumn("other", other).select("*", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q")).drop("other", "blocks")
-    checked = staged(dealt.groupBy("task", "p", "q").applyInPandas(verifier(similarity), "member long, links long, root long"))
+    checked = staged(dealt.groupBy("task", "p", "q").applyInPandas(verifier(similarity), "member long, links long, root long"), groups)
     links = checked.groupBy("member").agg(F.sum("links").alias("links"))
-    classes = components(checked.where("member <> root").select(F.col("member").alias("a"), F.col("root").alias("b"))).select(F.col("id").alias("member"), F.col("root").alias("class_id"))
-    found = members.select("key_a", "key_b", "member", "weight").join(links, "member", "left").join(classes, "member", "left")
-    return signs.select("doc_id", "key_a", "key_b").join(found, ["key_a", "key_b"], "left").select(
-        "doc_id", F.coalesce("class_id", "member", "doc_id").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.coalesce("weight", F.lit(1)) - 1).cast("long").alias("n_links")
-    )
+    classes = components(checked.where("member <> root").select(F.col("member").alias("a"), F.col("root").alias("b"))).select(F.col("id").alias("member"), "root")
+    named = classes.join(members.select("member", "low_doc"), "member").groupBy("root").agg(F.min("low_doc").alias("class_doc")).repartition("class_doc")
+    classes = classes.join(named, "root")
+    found = members.select("key_a", "key_b", "member", "weight", "low_doc").join(links, "member", "left").join(classes, "member", "left")
+    return signs.select("row", "doc_id", "key_a", "key_b").join(found, ["key_a", "key_b"], "left").select(
+        "row", "doc_id", F.coalesce("root", "member", "row").alias("class_row"), F.when(F.col("root").isNotNull(), F.col("class_doc")).when(F.col("member").isNotNull(), F.col("low_doc")).otherwise(F.col("doc_id")).alias("class_id"),
+        (F.coalesce("links", F.lit(0)) + F.coalesce("weight", F.lit(1)) - 1).cast("long").alias("n_links"),
+    )
+
+
+def joined(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """One row for each document: doc_id, class_id (smallest doc_id linked with it through links), n_links (documents linked with it)."""
+    return grouped(docs, similarity).select("doc_id", "class_id", "n_links")
+
+
+def deduplicated(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The rows of ``docs`` with all their columns, of each class only the row with the smallest doc_id (null last, then the first row)."""
+    linked = staged(grouped(docs, similarity).where("n_links > 0").select("class_row", F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row"))
+    first = linked.groupBy("class_row").agg(F.min(F.struct("unnamed", "doc_id", "row")).alias("first")).select("first.row")
+    gone, row = linked.select("row").join(first, "row", "left_anti"), free(docs, "row")
+    kept = docs.withColumn(row, F.monotonically_increasing_id()).join(gone.withColumnRenamed("row", row), row, "left_anti")
+    return kept.drop(row)
 
 
 def op5_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -222,11 +248,13 @@ def op5_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def oracle() -> str:
     """All pairs that share a shingle, without banding."""
     return rf"""
-with recursive d as (select doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) ws from documents where doc_id is not null),
-g as (select distinct doc_id, md5(array_to_string(ws[i:i + {WORDS - 1}], ' ')) g from (select doc_id, ws, unnest(range(1, greatest(len(ws) - {WORDS - 2}, 2))) i from d where len(ws) > 0)),
-n as (select doc_id, count(*) n from g group by doc_id),
-p as (select a.doc_id x, b.doc_id y, count(*) c from g a join g b on a.g = b.g and a.doc_id < b.doc_id group by all),
-l as (select x, y from p join n a on a.doc_id = x join n b on b.doc_id = y where c >= {SIMILARITY} * (a.n + b.n - c)),
+with recursive d as (select row_number() over () r, doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) ws from documents),
+g as (select distinct r, md5(array_to_string(ws[i:i + {WORDS - 1}], ' ')) g from (select r, ws, unnest(range(1, greatest(len(ws) - {WORDS - 2}, 2))) i from d where len(ws) > 0)),
+n as (select r, count(*) n from g group by r),
+p as (select a.r x, b.r y, count(*) c from g a join g b on a.g = b.g and a.r < b.r group by all),
+l as (select x, y from p join n a on a.r = x join n b on b.r = y where c >= {SIMILARITY} * (a.n + b.n - c)),
 e as (select x, y from l union all select y, x from l),
-r as (select doc_id id, doc_id root from d union select e.y, r.root from r join e on e.x = r.id where r.root < e.y)
-select r.id doc_id, min(root) class_id, (select count(*) from e where e.x = r.id)::bigint n_links from r group by r.id"""
+c as (select r id, r root from d union select e.y, c.root from c join e on e.x = c.id where c.root < e.y),
+m as (select id, min(root) root from c group by id),
+k as (select root, min(doc_id) class_id from m join d on d.r = m.id group by root)
+select doc_id, class_id, (select count(*) from e where e.x = m.id)::bigint n_links from m join d on d.r = m.id join k using (root)"""

@@ -22,7 +22,7 @@ from .common import table
 CAPACITY, PER_SOURCE, SHARD_ROWS = 4096, 4, 4000
 
 
-def word_count(text: str = "text") -> Column:
+def word_count(text: Column | str = "text") -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 

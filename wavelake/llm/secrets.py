@@ -1,6 +1,7 @@
 """Secret scans, native throughout: base patterns, and a randomness test battery over long tokens.
 
-Positions are code points, ends exclusive. They come from cutting a text at a pattern's matches: gaps and matches alternate.
+Positions are code points, ends exclusive. They come from cutting a text at a pattern's matches: gaps and matches alternate. Lengths are
+summed for PART matches at a time, so a text of many matches costs little more for each than one of few.
 
 The battery looks at tokens of 20 and more characters of the encodings' alphabets. For each it infers the encoding (digits, hex, lower-case
 or upper-case letters, base32, lower-case alphanumeric, alphanumeric, base64; separators in hex are left out) and tests the symbols against
@@ -8,12 +9,13 @@ uniform draws: chi-squared over the alphabet, runs above and below its middle, a
 times three, is the token's p-value against uniform draws. Another p-value is against the null of names and words: the kind of character
 (lower, upper, digit, other) changes seldom, words of one kind have the frequencies of letters in text, and digits come in short runs.
 
-Both kinds of p-value are weighted by length, as longer tokens can show more, and Benjamini-Hochberg's rule runs over all tokens of the
-corpus for each, at FDR: one finds the tokens that are not text, the other those that are not uniform. Only the first without the second are
-discoveries. The rules use counts in bins of -log10 p, so the driver gets a bounded table. Discoveries that overlap no base span are
-``random`` spans.
+Both kinds of p-value are weighted by length, as longer tokens can show more: p times the mean length over the token's own. Benjamini and
+Hochberg's rule runs over all distinct tokens of the corpus for each, at FDR: one finds the tokens that are not text, the other those that are
+not uniform. Only the first without the second are discoveries. A token is one test however often it occurs. The rules use counts in bins of
+-log10 of p over length, so the driver gets some thousand rows at most. Discoveries that overlap no base span are ``random`` spans.
 
-Null and empty texts have no spans. Repeated rows are scanned one by one; they count in the discovery rule as they occur.
+Null and empty texts have no spans, and an empty table gives no rows. Repeated rows are scanned one by one and alike. All columns of the input
+stay; what ``scan`` finds is one more column, whose name gets underscores until the input has none like it.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from math import log, log10, sqrt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import free, table
 
 # Fixed values of the base rules: pattern, least length, and whether the length is the second group's.
 BASE = {
@@ -48,29 +50,47 @@ LETTERS = (8.5, 1.5, 3.0, 4.2, 13.0, 1.8, 2.0, 3.8, 7.4, 0.4, 1.2, 4.4, 2.7, 8.0
 SURPRISE = [-log(x / 100) for x in LETTERS]
 MEAN_SURPRISE = sum(x / 100 * y for x, y in zip(LETTERS, SURPRISE, strict=True))
 SURPRISE_SPREAD = sqrt(sum(x / 100 * (y - MEAN_SURPRISE) ** 2 for x, y in zip(LETTERS, SURPRISE, strict=True)))
-BINS_PER_UNIT, LAST_BIN = 20, 400
+BINS_PER_UNIT, PART = 20, 64
+
+
+def in_parts(items: Column, use) -> Column:
+    """``use`` of the array's slices of PART items; nothing for an empty array."""
+    last = F.ceil(F.size(items) / PART).cast("int") - 1
+    slices = F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda k: F.slice(items, k * PART + 1, F.lit(PART)))
+    return let(slices, use)
+
+
+def running(items: Column, more) -> Column:
+    """0 and then, for each item, ``more`` of the value before it and the item."""
+    return F.aggregate(items, F.array(F.lit(0)), lambda have, x: F.concat(have, F.array(more(F.element_at(have, -1), x))))
 
 
 def cut(text: Column, pattern: str, kind: str, least: int = 0) -> Column:
     """Array of (start, rank, end, kind, match) for all non-overlapping matches whose last group has ``least`` characters."""
     group = 1 if kind == "assign" else 0
     gaps, found, values = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-    parts = F.arrays_zip(F.slice(gaps, F.lit(1), F.size(found)).alias("gap"), found.alias("found"), values.alias("value"))
-    rank = KINDS.index(kind)
-    span = "struct<start:int,rank:int,end:int,kind:string,found:string>"
-    begin = F.struct(F.lit(0).alias("at"), F.lit(None).cast(f"array<{span}>").alias("spans"))
+    parts = F.transform(
+        F.arrays_zip(F.slice(gaps, F.lit(1), F.size(found)).alias("gap"), found.alias("found"), values.alias("value")),
+        lambda x: F.struct(F.length(x["gap"]).alias("gap"), F.length(x["found"]).alias("size"), (F.length(x["value"]) >= least).alias("fits"), x["found"].alias("found")),
+    )
+    span = "array<struct<start:int,rank:int,end:int,kind:string,found:string>>"
+    none = F.array().cast(span)
 
     def step(have: Column, x: Column) -> Column:
-        start = have["at"] + F.length(x["gap"])
-        end = start + F.length(x["found"])
-        one = F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(kind).alias("kind"), x["found"].alias("found"))
-        old = F.coalesce(have["spans"], F.array().cast(f"array<{span}>"))
-        return F.struct(end.alias("at"), F.when(F.length(x["value"]) >= least, F.concat(old, F.array(one))).otherwise(old).alias("spans"))
+        start = have["at"] + x["gap"]
+        end = start + x["size"]
+        one = F.struct(start.alias("start"), F.lit(KINDS.index(kind)).alias("rank"), end.alias("end"), F.lit(kind).alias("kind"), x["found"].alias("found"))
+        return F.struct(end.alias("at"), F.when(x["fits"], F.concat(have["spans"], F.array(one))).otherwise(have["spans"]).alias("spans"))
+
+    def placed(slices: Column) -> Column:
+        sizes = F.transform(slices, lambda some: F.aggregate(some, F.lit(0), lambda n, x: n + x["gap"] + x["size"]))
+        starts = running(sizes, lambda n, size: n + size)
+        begin = lambda at: F.struct(at.alias("at"), none.alias("spans"))
+        return let(starts, lambda starts: F.flatten(F.transform(slices, lambda some, k: F.aggregate(some, begin(F.element_at(starts, k + 1)), step, lambda have: have["spans"]))))
 
-    spans = F.aggregate(parts, begin, step, lambda have: F.coalesce(have["spans"], F.array().cast(f"array<{span}>")))
     # plain containment tests are cheap and spare most texts the pattern
     hint = {"access": text.contains("AKIA"), "hex": text.rlike(TOKEN), "random": F.lit(True), "assign": functools.reduce(Column.__or__, (F.lower(text).contains(w) for w in ("passw", "secret", "token", "api")))}[kind]
-    return F.when(hint & text.rlike(pattern), spans).otherwise(F.array().cast(f"array<{span}>"))
+    return F.when(hint & text.rlike(pattern), let(parts, lambda parts: in_parts(parts, placed))).otherwise(none)
 
 
 def upper_tail(z: Column) -> Column:
@@ -161,69 +181,76 @@ def not_uniform(tests: Column) -> Column:
     return F.greatest(F.least(F.lit(1.0), 3 * F.least(tests["p_uniform"], tests["p_runs"], tests["p_serial"])), F.lit(1e-300))
 
 
-def score(p: Column, n: Column, mean_length: float) -> Column:
-    """Bin of -log10 of the length-weighted p-value; the bin's lower edge is not above it."""
-    return F.least(F.greatest(F.floor(-F.log10(p * F.lit(mean_length) / n) * BINS_PER_UNIT), F.lit(0)), F.lit(LAST_BIN)).cast("int")
+def score(p: Column, n: Column) -> Column:
+    """Bin of -log10 of p over length; the bin's lower edge is not above it."""
+    return F.floor((F.log10(n) - F.log10(p)) * BINS_PER_UNIT).cast("int")
 
 
-def discovery_rule(texts: DataFrame, fdr: float = FDR) -> tuple[float, int, int]:
-    """Mean length of all tokens, and the least bins that Benjamini and Hochberg's rule takes as not text and as not uniform (past the last if none)."""
-    tests = texts.where(F.col("text").rlike(TOKEN)).select(F.explode(candidates(F.col("text"))).alias("t")).select("t.tests.*")
+def discovery_rule(texts: DataFrame, fdr: float = FDR) -> tuple[float, float]:
+    """The least bins that Benjamini and Hochberg's rule takes as not text and as not uniform (infinite if it takes none)."""
+    tokens = texts.where(F.col("text").rlike(TOKEN)).select(F.explode(cut(F.col("text"), TOKEN, "random")).alias("t")).select("t.found").distinct()
+    tests = tokens.select(battery(F.col("found")).alias("t")).select("t.*")
     pair = F.array(F.struct(F.lit(0).alias("rule"), F.col("p_text").alias("p")), F.struct(F.lit(1).alias("rule"), not_uniform(F.struct("p_uniform", "p_runs", "p_serial")).alias("p")))
-    tokens = tests.select("n", F.explode(pair).alias("r")).select("n", "r.*")
-    # the mean length is not known before the scan, so tokens are counted by length and unweighted bin; both are bounded
-    counts = tokens.groupBy("rule", F.least(F.col("n"), F.lit(1000.0)).alias("n"), F.floor(-F.log10("p") * BINS_PER_UNIT * 4).alias("bin")).count().collect()
-    total = sum(r["count"] for r in counts if r["rule"] == 0)
-    if not total:
-        return 1.0, LAST_BIN + 1, LAST_BIN + 1
-    mean = sum(r["n"] * r["count"] for r in counts if r["rule"] == 0) / total
-    return mean, *(_least_bin([r for r in counts if r["rule"] == rule], total, mean, fdr) for rule in (0, 1))
-
-
-def _least_bin(counts: list, total: int, mean: float, fdr: float) -> int:
-    have = [0] * (LAST_BIN + 2)
-    for r in counts:
-        weighted = r["bin"] / (BINS_PER_UNIT * 4) - log10(mean / r["n"])
-        have[min(max(int(weighted * BINS_PER_UNIT), 0), LAST_BIN)] += r["count"]
-    least, found = LAST_BIN + 1, 0
-    for b in range(LAST_BIN, -1, -1):
-        found += have[b]
-        if found and total * 10 ** (-b / BINS_PER_UNIT) <= fdr * found:
+    counts = tests.select("n", F.explode(pair).alias("r")).groupBy("r.rule", score(F.col("r.p"), F.col("n")).alias("bin")).agg(F.count("*").alias("tokens"), F.sum("n").alias("length")).collect()
+    total = sum(r["tokens"] for r in counts if r["rule"] == 0)
+    mean = sum(r["length"] for r in counts if r["rule"] == 0) / max(1, total)
+    return tuple(_least_bin({r["bin"]: r["tokens"] for r in counts if r["rule"] == rule}, total, mean, fdr) for rule in (0, 1))
+
+
+def _least_bin(counts: dict[int, int], total: int, mean: float, fdr: float) -> float:
+    least, found = float("inf"), 0
+    for b in sorted(counts, reverse=True):
+        found += counts[b]
+        if total * mean * 10 ** (-b / BINS_PER_UNIT) <= fdr * found:
             least = b
     return least
 
 
 def scan(docs: DataFrame, fdr: float = FDR) -> DataFrame:
-    """The documents with all their columns, and _base and _spans: ordered arrays of (start, rank, end, kind)."""
-    mean, least, uneven = discovery_rule(docs.select("text"), fdr)
+    """The documents with all their columns, and last a struct of base and spans: ordered arrays of (start, rank, end, kind)."""
+    not_text, uneven = (F.lit(float(x)) for x in discovery_rule(docs.select("text"), fdr))
     bare = lambda spans: F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"), s["kind"].alias("kind")))
     text = F.coalesce("text", F.lit(""))
-    docs = docs.withColumn("_base", F.array_sort(bare(F.concat(*(cut(text, pattern, kind, length) for kind, (pattern, length) in BASE.items())))))
-    random = F.filter(candidates(text), lambda t: (score(t["tests"]["p_text"], t["tests"]["n"], mean) >= least) & (score(not_uniform(t["tests"]), t["tests"]["n"], mean) < uneven))
-    random = F.transform(random, lambda t: F.struct(t["start"].alias("start"), F.lit(KINDS.index("random")).alias("rank"), t["end"].alias("end"), F.lit("random").alias("kind")))
-    docs = docs.withColumn("_random", F.when(text.rlike(TOKEN), random).otherwise(F.filter(bare(F.array().cast("array<struct<start:int,rank:int,end:int,kind:string,found:string>>")), lambda s: F.lit(True))))
-    free = F.filter("_random", lambda t: ~F.exists("_base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
-    return docs.withColumn("_spans", F.array_sort(F.concat("_base", free))).drop("_random")
+    base = F.array_sort(bare(F.concat(*(cut(text, pattern, kind, length) for kind, (pattern, length) in BASE.items()))))
+    found = F.filter(candidates(text), lambda t: (score(t["tests"]["p_text"], t["tests"]["n"]) >= not_text) & (score(not_uniform(t["tests"]), t["tests"]["n"]) < uneven))
+    found = F.transform(found, lambda t: F.struct(t["start"].alias("start"), F.lit(KINDS.index("random")).alias("rank"), t["end"].alias("end"), F.lit("random").alias("kind")))
+
+    def both(base: Column) -> Column:
+        # a base span ends before a token starts or starts after its end, and base spans are few next to a token: whole texts of both are rare
+        free_ones = let(found, lambda found: F.filter(found, lambda t: ~F.exists(base, lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"]))))
+        return F.struct(base.alias("base"), F.when(text.rlike(TOKEN), F.array_sort(F.concat(base, free_ones))).otherwise(base).alias("spans"))
+
+    return docs.select("*", let(base, both).alias(free(docs, "secrets")))
 
 
-def joined(spans: str) -> Column:
+def joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
 def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """The text with each run of overlapping spans replaced by ``mark``."""
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    """The text with each run of overlapping spans replaced by ``mark``; PART spans at a time, each time from a piece of the text."""
+
+    def step(piece: Column, begin: Column):
+        def add(have: Column, s: Column) -> Column:
+            more = F.concat(have["out"], F.substring(piece, have["at"] - begin + 1, s["start"] - have["at"]), F.lit(mark))
+            return F.struct(F.greatest(have["at"], s["end"]).alias("at"), F.when(s["start"] < have["at"], have["out"]).otherwise(more).alias("out"))
+
+        return add
+
+    def one(some: Column, begin: Column, end: Column) -> Column:
+        start = F.struct(begin.alias("at"), F.lit("").alias("out"))
+        return let(F.substring(text, begin + 1, end - begin), lambda piece: F.aggregate(some, start, step(piece, begin), lambda have: have["out"]))
 
-    def step(have: Column, s: Column) -> Column:
-        more = F.concat(have["out"], F.substring(text, have["at"] + 1, s["start"] - have["at"]), F.lit(mark))
-        return F.struct(F.greatest(have["at"], s["end"]).alias("at"), F.when(s["start"] < have["at"], have["out"]).otherwise(more).alias("out"))
+    def whole(slices: Column) -> Column:
+        ends = running(slices, lambda at, some: F.greatest(at, F.array_max(F.transform(some, lambda s: s["end"]))))
+        pieces = lambda ends: F.array_join(F.transform(slices, lambda some, k: one(some, F.element_at(ends, k + 1), F.element_at(ends, k + 2))), "")
+        return let(ends, lambda ends: F.concat(pieces(ends), F.substring(text, F.element_at(ends, -1) + 1, F.length(text))))
 
-    whole = F.aggregate(spans, begin, step, lambda have: F.concat(have["out"], F.substring(text, have["at"] + 1, F.length(text))))
-    return F.when(F.size(spans) > 0, whole).otherwise(text)
+    return F.when(F.size(spans) > 0, let(spans, lambda spans: in_parts(spans, whole))).otherwise(text)
 
 
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    got = scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    kinds = F.transform("_base", lambda s: s["kind"])
+    got = scan(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "secrets.*")
+    kinds = F.transform("base", lambda s: s["kind"])
     counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in BASE]
-    return got.select("doc_id", *counts, F.sha2(joined("_base").cast("binary"), 256).alias("base_sha256"), joined("_spans").alias("spans"))
+    return got.select("doc_id", *counts, F.sha2(joined(F.col("base")).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
