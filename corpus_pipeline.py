@@ -16,26 +16,19 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of like texts, the one with the smallest doc_id (null last); texts without words all stay.
-
-    Each row has an identity of its own, written once, so rows with null and with repeated doc_ids are compared and kept like all others.
-    """
-    rows = common.staged(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_row")))
-    classes = neardup.joined(rows.select(F.col("_row").alias("doc_id"), "text")).select(F.col("doc_id").alias("_row"), "class_id")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")).alias("first")
-    kept = classes.join(rows.select("_row", "doc_id"), "_row").groupBy("class_id").agg(first).select("first._row")
-    return rows.join(kept, "_row", "left_semi").select(*COLUMNS)
+    """One row of each group of like texts, the one with the smallest doc_id (null last); texts without words all stay."""
+    return neardup.deduplicated(docs.select(*COLUMNS))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with a mark in place of each secret."""
-    text = secrets.redacted(F.col("text"), F.col("_spans"))
-    return secrets.scan(docs).withColumn("text", text).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+    text = secrets.redacted(F.col("text"), F.col("secrets.spans"))
+    return secrets.scan(docs.select(*COLUMNS)).withColumn("text", text).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents drawn at their cells' calibrated probabilities."""
-    return mixing.sample(docs).where("kept").select(*COLUMNS)
+    return mixing.sample(docs.select(*COLUMNS)).where("mix.kept").select(*COLUMNS)
 
 
 def pack_bins(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
