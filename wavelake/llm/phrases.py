@@ -38,6 +38,7 @@ from .common import WordHashes, by_block, grams, long_grams, mixed, rows_of, sli
 WINDOW, PHRASE, PIECE = 50, 8, 20
 #: Text of a block on average, and the most shuffle partitions that blocks are dealt to.
 BLOCK_BYTES, PARTITIONS = 8 << 20, 20_000
+BASE = 90
 SALT = np.uint64(0xD6E8FEB86659FD93)
 RESULT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string())])
 
@@ -122,8 +123,17 @@ def _windows(window: int, phrase: int):
     return run
 
 
+def spelled(number: int, width: int) -> str:
+    """A number in ``width`` characters of BASE: few, as an automaton looks through the characters that can follow."""
+    out = []
+    for _ in range(width):
+        number, digit = divmod(number, BASE)
+        out.append(chr(33 + digit))
+    return "".join(out)
+
+
 class Shard:
-    """A block's part of the passages as an automaton of their pieces, each word a number."""
+    """A block's part of the passages as an automaton of their pieces, each word a number in as many characters."""
 
     def __init__(self, passages: list[tuple[list[bytes], np.ndarray]], window: int, piece: int):
         """passages: words, and the smallest doc_id of each window."""
@@ -131,11 +141,17 @@ class Shard:
         self.number: dict[bytes, int] = {}
         self.words = [np.fromiter((self.number.setdefault(w, len(self.number) + 1) for w in words), np.int64, len(words)) for words, _ in passages]
         self.low = [low for _, low in passages]
-        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
+        self.least, self.most = [int(low.min()) for low in self.low], [int(low.max()) for low in self.low]
+        self.width = 1
+        while BASE**self.width <= len(self.number):
+            self.width += 1
+        spellings = [spelled(n, self.width) for n in range(len(self.number) + 1)]
+        self.spelling, self.unknown = {w: spellings[n] for w, n in self.number.items()}, spellings[0]
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
         self.places: list[list[tuple[int, int]]] = []  # of each piece, the passages and offsets that have it
         for k, words in enumerate(self.words):
             for at in range(0, len(words) - piece + 1, window - piece + 1):
-                key = tuple(words[at : at + piece].tolist())
+                key = "".join([spellings[n] for n in words[at : at + piece].tolist()])
                 if (which := self.automaton.get(key, -1)) < 0:
                     which = len(self.places)
                     self.places.append([])
@@ -149,18 +165,28 @@ class Shard:
         n, window = len(words), self.window
         mark = np.zeros(n + 1, np.int64)
         if n >= window and self.places:
-            text = tuple([self.number.get(w, 0) for w in words])
-            found = {(k, end + 1 - self.piece - at) for end, which in self.automaton.iter(text) for k, at in self.places[which]}
-            text = np.array(text) if found else None
+            text, found = "".join([self.spelling.get(w, self.unknown) for w in words]), set()
+            for end, which in self.automaton.iter(text):
+                end, part = divmod(end + 1, self.width)
+                if not part:  # else it is across words
+                    found.update((k, end - self.piece - at) for k, at in self.places[which] if self.least[k] < doc)
+            text = np.fromiter((self.number.get(w, 0) for w in words), np.int64, n) if found else None
             for k, shift in found:
                 passage = self.words[k]
                 lo, hi = max(0, -shift), min(len(passage), n - shift)
-                if hi - lo >= window:
-                    same = np.concatenate([[0], np.cumsum(passage[lo:hi] == text[lo + shift : hi + shift])])
-                    whole = lo + np.flatnonzero(same[window:] - same[:-window] == window)
-                    gone = whole[self.low[k][whole] < doc] + shift
-                    mark[gone] += 1  # a passage has a window once
-                    mark[gone + window] -= 1
+                other = np.flatnonzero(passage[lo:hi] != text[lo + shift : hi + shift]) + lo
+                if hi - lo - len(other) < window:
+                    continue
+                edges = np.concatenate([[lo - 1], other, [hi]])
+                for j in np.flatnonzero(np.diff(edges) > window).tolist():
+                    x, y = int(edges[j]) + 1, int(edges[j + 1])
+                    if self.most[k] < doc:
+                        mark[x + shift] += 1
+                        mark[y + shift] -= 1
+                    else:
+                        gone = x + shift + np.flatnonzero(self.low[k][x : y - window + 1] < doc)
+                        mark[gone] += 1  # a passage has a window once
+                        mark[gone + window] -= 1
         return np.cumsum(mark[:n]) > 0
 
 
