@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -137,6 +138,8 @@ def test_the_automaton_removes_the_words(docs, monkeypatch):
     assert phrases.Shard([(words, low)], 50, 20).removed([b"a", *words[3:], b"b"], 9).tolist() == [False, *[True] * 67, False]
     assert not phrases.Shard([(words, low)], 50, 20).removed(words, 5).any()
     assert not phrases.Shard([(words, low)], 50, 20).removed(words[:49], 9).any()
+    monkeypatch.setattr(phrases, "BASE", 3)  # words of several characters
+    assert phrases.Shard([(words, low)], 50, 20).removed([b"a", *words[3:], b"b"], 9).tolist() == [False, *[True] * 67, False]
     monkeypatch.setattr(phrases.ahocorasick, "Automaton", Deaf)
     assert not phrases.Shard([(words, low)], 50, 20).removed(words, 9).any()
 
@@ -223,6 +226,59 @@ def test_quality_model_learns(spark):
     assert {r.doc_id for r in quality.kept(docs, model).collect()} == set(range(1, 120, 2))
 
 
+def test_quality_fit_against_plain_regression(spark):
+    """The same features and steps in plain Python; the calibration is a minimum of its loss."""
+    draw = random.Random(7)
+    vocabulary = [f"w{k}" for k in range(30)]
+    rows = [(i, " ".join(draw.choice(vocabulary[: 20 if i % 3 else 30]) for _ in range(draw.randint(3, 40)))) for i in range(60)]
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(60)], "doc_id long, quality int")
+    folds = {r.doc_id: r.f for r in docs.select("doc_id", F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(5)).alias("f")).collect()}
+    features, hashes = {}, common.WordHashes()
+    for i, t in rows:
+        word, char = quality.n_grams(t.encode(), t.encode().split(), hashes)
+        f = collections.Counter()
+        for part in (word.tolist(), char.tolist()):
+            for x in part:
+                f[x] += quality.SCALE / len(part)
+        features[i] = f
+    fit = [i for i in folds if folds[i] != 0]
+    size = collections.Counter(i % 3 > 0 for i in fit)
+    w, speed, b, b_speed = collections.Counter(), collections.Counter(), 0.0, 1e-8
+    score = lambda i: b + sum(w[x] * v for x, v in features[i].items())
+    for _ in range(quality.EPOCHS):
+        gap = {i: (1 / (1 + math.exp(-score(i))) - (i % 3 > 0)) * 0.5 / size[i % 3 > 0] for i in fit}
+        g = collections.Counter({x: 1e-7 * w[x] for x in w})
+        for i in fit:
+            for x, v in features[i].items():
+                g[x] += gap[i] * v
+        b_g = sum(gap.values())
+        for x, v in g.items():
+            speed[x] += v * v
+            w[x] -= quality.RATE * v / math.sqrt(speed[x] + 1e-8)
+        b_speed += b_g**2
+        b -= quality.RATE * b_g / math.sqrt(b_speed)
+    model = quality.fit(docs, labels)
+    for i in folds:
+        plain = sum(model["w"][x] * v for x, v in features[i].items()) + model["b"]
+        assert plain == pytest.approx(score(i), abs=0.02)
+    held = [i for i in folds if folds[i] == 0]
+    z = {i: sum(model["w"][x] * v for x, v in features[i].items()) + model["b"] for i in held}
+    parts = collections.Counter(i % 3 > 0 for i in held)
+
+    def loss(slope, shift):
+        out = 5e-4 * (slope - 1) ** 2
+        for i in held:
+            p = 1 / (1 + math.exp(-(slope * z[i] + shift)))
+            out -= (40 if i % 3 else 20) / 60 / parts[i % 3 > 0] * math.log(p if i % 3 else 1 - p)
+        return out
+
+    best = loss(model["slope"], model["shift"])
+    assert all(best <= loss(model["slope"] + x, model["shift"] + y) + 1e-9 for x in (-0.05, 0, 0.05) for y in (-0.05, 0, 0.05))
+    for r in quality.judge(docs, model).collect():
+        zi = sum(model["w"][x] * v for x, v in features[r.doc_id].items()) + model["b"]
+        assert r.p_good == pytest.approx(1 / (1 + math.exp(-(model["slope"] * zi + model["shift"]))), abs=1e-4)
+
+
 def test_language(spark):
     draw = random.Random(3)
     kinds = {"aa": ["lorem", "ipsum", "dolor"], "bb": ["zwei", "drei", "vier"]}
@@ -234,25 +290,62 @@ def test_language(spark):
     assert all(got[i].lang_pred == k for i, _, k in rows[:100]) and got[204].lang_pred == "bb"
     assert [(got[i].lang_pred, got[i].score) for i in (200, 201, 202)] == [("und", 0.0)] * 3 and got[203].lang_pred in kinds
     assert all(0 <= r.score <= 1 for r in got.values())
-    import zlib
-
     assert all(r.held_out == (zlib.crc32(str(i).encode()) % 5 == 0) for i, r in got.items())
     assert {r.lang_pred for r in langid.predict(docs, None).collect()} == {"und"}
 
 
-def test_code_lengths_are_of_a_distribution():
-    """In each context the probabilities of all 256 bytes sum to 1, and a text's length is the sum over its bytes."""
-    text = b"abracadabra, abacus"
-    padded = bytes(3) + text
-    code = collections.Counter(int.from_bytes(padded[i : i + 4], "big") for i in range(len(text)))
-    model = {"langs": ["x"], "code": np.array(list(code), np.uint32), "times": np.array(list(code.values())), "which": np.zeros(len(code), np.int32), "kept": 5}
-    trees = langid.Trees(model)
-    for context in (b"", b"a", b"ab", b"abr", b"zzz", b"bra"):
-        data = b"".join(context + bytes([s]) for s in range(1, 256))
-        both = trees.lengths(np.frombuffer(data, np.uint8), np.arange(256) * (len(context) + 1))
-        alone = trees.lengths(np.frombuffer(context, np.uint8), np.array([0, len(context)]))
-        assert np.exp2(-(both - alone)).sum() == pytest.approx(1, abs=0.03)
-    assert trees.lengths(np.frombuffer(text, np.uint8), np.array([0, 0, len(text), len(text)]))[[0, 2]].tolist() == [[0], [0]]
+class PlainTree:
+    """Prediction by partial matching in plain Python: method C with exclusions."""
+
+    def __init__(self, texts):
+        self.counts = collections.defaultdict(collections.Counter)
+        for t in texts:
+            padded = bytes(3) + t
+            for i in range(len(t)):
+                for k in range(4):
+                    self.counts[padded[i + 3 - k : i + 3]][padded[i + 3]] += 1
+
+    def probability(self, context, byte):
+        below = (lambda b: self.probability(context[1:], b)) if context else (lambda b: 1 / 256)
+        seen = self.counts.get(context)
+        if not seen:
+            return below(byte)
+        total, left = sum(seen.values()), 1 - sum(below(b) for b in seen)
+        escape = len(seen) / (total + len(seen)) if len(seen) < 256 and left > 1e-12 else 0
+        return (1 - escape) * seen[byte] / total if byte in seen else escape * below(byte) / left
+
+    def length(self, text):
+        padded = bytes(3) + text
+        return -sum(math.log2(self.probability(padded[i : i + 3], padded[i + 3])) for i in range(len(text)))
+
+
+def test_code_lengths_against_plain_trees(spark, monkeypatch):
+    draw = random.Random(6)
+    kinds = {"aa": "lorem ipsum dolor sit".split(), "bb": "zwei drei vier größer".split(), "cc": ["сто", "лес"]}
+    rows = [(i, " ".join(draw.choice(kinds[k]) for _ in range(draw.randint(1, 30))), k) for i in range(90) for k in [draw.choice(list(kinds))]]
+    rows += [(200, "zwei ipsum", None), (201, "", None), (202, "Ärger über größere \u4e2d\u6587 lorem", None), (None, "vier", "aa")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    held = lambda i: zlib.crc32(str(i).encode()) % 5 == 0
+    plain = {k: PlainTree([t.encode() for i, t, x in rows if x == k and i is not None and not held(i)]) for k in kinds}
+    model = langid.learn(langid.training_rows(docs))
+    assert model["langs"] == sorted(kinds)
+    texts = [t.encode() for _, t, _ in rows]
+    data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+    want = np.array([[plain[k].length(t) for k in sorted(kinds)] for t in texts])
+    for chunk, memory in ((1 << 19, 1 << 22), (7, 40)):  # texts across chunks, and a worker that forgets
+        monkeypatch.setattr(langid, "CHUNK", chunk)
+        monkeypatch.setattr(langid, "REMEMBERED", memory)
+        assert langid.Trees(model).lengths(data, offsets) == pytest.approx(want, rel=1e-9, abs=1e-6)
+    for r in langid.predict(docs, model).collect():
+        if r.doc_id is not None:
+            t = next(t for i, t, _ in rows if i == r.doc_id)
+            bits = {k: plain[k].length(t.encode()) for k in sorted(kinds)}
+            best = min(bits, key=bits.get) if t else "und"
+            share = 1 / sum(2 ** (bits[best] - b) for b in bits.values()) if t else 0.0
+            assert r.lang_pred == best and r.score == pytest.approx(share, abs=1e-9) and r.held_out == held(r.doc_id)
+    some = plain["bb"]
+    for context in (b"", b"z", b"zw", b"zwe", b"qqq"):
+        assert sum(some.probability(context, b) for b in range(256)) == pytest.approx(1)
 
 
 def test_secrets(docs, spark):
@@ -380,6 +473,21 @@ def test_chat(spark):
     assert chat.format_chats(events.limit(0)).collect() == []
 
 
+def test_streamed_events_fold_to_their_messages(spark):
+    """Rows as the registered query has them: all ways of arriving, ties, repeats, nulls."""
+    draw = random.Random(12)
+    rows = [(c, t, draw.choice(["user", "assistant", None]), draw.choice([None, "", "é", "ab", "</s>\\x[INST]", f"text {c} {t} " * draw.randint(0, 9)])) for c in range(40) for t in range(draw.randint(1, 9))]
+    rows += [(1, 0, "user", "tie b"), (1, 0, "user", "tie a"), (1, 0, "user", "tie a"), (None, None, "user", "lost")]
+    events = chat.streamed(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    assert {r.kind for r in events.select("kind").distinct().collect()} == set(chat.KINDS)
+    key = lambda x: (x is not None, x)
+    want = collections.defaultdict(list)
+    for c, t, role, text in sorted(rows, key=lambda r: [key(x) if x is not None else (False, 0 if i < 2 else "") for i, x in enumerate(r)]):
+        want[c].append((role or "", text or ""))
+    got = {r.conv_id: chat.parse(r.formatted) for r in chat.format_chats(events).collect()}
+    assert got == want
+
+
 @pytest.mark.parametrize("seed", range(30))
 def test_escape(seed):
     draw = random.Random(seed)
@@ -416,12 +524,49 @@ def test_best_fit(seed):
     assert packing.best_fit(*map(list, zip(*items)), 100, 2) == plain_best_fit(items, 100, 2)
 
 
+@pytest.mark.parametrize(("capacity", "per_source", "shard_rows"), [(100, 4, 8), (60, 1, 1000), (100, 2, 30)])
+def test_packing_against_plain_packing(spark, capacity, per_source, shard_rows):
+    """Whole shards: order, pieces, bins, offsets and conflicts, with null and repeated rows."""
+    draw = random.Random(capacity + per_source)
+    rows = [(i if i % 9 else None, draw.choice([None, 0, *[draw.randint(1, 250)] * 3]), draw.choice([None, "a", "a", "b"]), draw.choice([None, *"uvwxyz"]), "x") for i in range(120)]
+    rows += [(7, 30, "a", "u", "x"), (7, 30, "a", "u", "x")]
+    got = collections.defaultdict(list)
+    items = spark.createDataFrame(rows, "doc_id long, n_tokens long, source string, cluster string, shard string")
+    shards = collections.defaultdict(list)
+    for r in packing.pack(items, capacity, per_source, shard_rows).collect():
+        shards[r.shard].append(r)
+    for shard, found in shards.items():
+        assert all(r.bin_id is None or r.bin_id >> 32 == shard for r in found)
+        if any(r.doc_id is None for r in found) or 7 in {r.doc_id for r in found}:
+            continue  # which of the rows without a name are here can't be told from the result
+        mine = [(i, n or 0, s, c) for i, n, s, c, _ in rows if i in {r.doc_id for r in found}]
+        mine.sort(key=lambda x: (-(x[1] % capacity), x[0]))
+        want, bins = [], 0
+        for i, n, _, _ in mine:
+            for piece in range(n // capacity):
+                want.append((i, piece, capacity, bins, 0))
+                bins += 1
+        some = [x for x in mine if x[1] % capacity]
+        for (i, n, _, _), (k, at) in zip(some, plain_best_fit([(n % capacity, c, s) for _, n, s, c in some], capacity, per_source)):
+            want.append((i, n // capacity, n % capacity, bins + k, at))
+        want += [(i, 0, 0, None, None) for i, n, _, _ in mine if n == 0]
+        have = [(r.doc_id, r.piece, r.piece_tokens, r.bin_id if r.bin_id is None else r.bin_id & 0xFFFFFFFF, r.bin_offset) for r in found]
+        assert sorted(map(str, have)) == sorted(map(str, want))
+        got[shard] = have
+    assert got or shard_rows == 1000
+    total = collections.Counter()
+    for found in shards.values():
+        for r in found:
+            total[r.doc_id] += r.piece_tokens
+    assert all(total[i] == sum(n or 0 for j, n, _, _, _ in rows if j == i) for i in total)
+
+
 def test_packing(docs, texts, spark):
     got = packing.pack(packing.with_clusters(docs), capacity=100, shard_rows=8).collect()
     n = collections.Counter()
     for r in got:
         n[r.doc_id] += r.piece_tokens
-    assert n == {i: len(words_of(t)) for i, t in enumerate(texts)} or all(n[i] == len(words_of(t)) for i, t in enumerate(texts))
+    assert all(n[i] == len(words_of(t)) for i, t in enumerate(texts))
     by_bin = collections.defaultdict(list)
     for r in got:
         assert (r.bin_id is None) == (not words_of(texts[r.doc_id]))
@@ -521,6 +666,23 @@ def test_top_k(spark, seed, monkeypatch):
     assert got == want
 
 
+def test_top_k_of_dimensions_and_repeats(spark):
+    """Two dimensions, each searched; repeated ids with other vectors; extra columns."""
+    draw = np.random.default_rng(9)
+    rows = [(i, draw.normal(size=4 if i % 3 else 2).round(2).tolist(), 1, 2) for i in range(90)]
+    rows += [(0, [3.0, -1.0], 1, 2), (0, [-2.0, 1.0], 1, 2), (7, [0.5] * 4, 1, 2), (7, [0.5] * 4, 1, 2)]
+    ints = [(i, tuple(int(np.floor(1024 * x)) for x in v)) for i, v, _, _ in rows]
+    got = collections.defaultdict(list)
+    vectors = topk.integers(spark.createDataFrame(rows, "vec_id long, embedding array<double>, block int, kind int"))
+    for r in topk.search(vectors, topk.asked(vectors, 10)).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, r.score))
+    for q in range(0, 90, 10):
+        v = min(x for i, x in ints if i == q)
+        want = sorted(((-sum(a * b for a, b in zip(v, x)), i) for i, x in ints if i != q and len(x) == len(v)))[:10]
+        assert got.pop(q) == [(i, -s) for s, i in want]
+    assert not got
+
+
 def test_top_k_of_few(spark):
     vectors = topk.integers(spark.createDataFrame([(0, [1.0, 2.0]), (7, [0.5, 0.0])], "vec_id long, embedding array<double>"))
     assert list(map(tuple, topk.search(vectors, vectors.where("vec_id = 0")).collect())) == [(0, 1, 7, 524288)]

@@ -3,9 +3,14 @@
 An event is (conv_id, turn, seq, kind, role, text). ``message`` opens a message of a turn, ``delta`` appends to the turn's latest message,
 ``edit`` replaces its text and ``regenerate`` empties it for the deltas that follow; an event without an open message opens one.
 Null texts and roles are empty, nulls in conv_id, turn and seq sort first, and equal events keep the order of kind, role and text.
-Repeated rows of kind ``message`` are messages of their own. Unknown kinds raise an error.
+Repeated rows of kind ``message`` are messages of their own. Unknown kinds raise an error. Extra columns are ignored, and an empty table gives
+no rows.
 
-Tasks stream sorted rows, so a conversation of any length needs the memory of one message and one part of formatted text.
+A conversation is one task's, as its turns have an order; tasks stream sorted rows, so a conversation of any length needs the memory of one
+message and one part of formatted text.
+
+The table of the registered query has final messages, so ``streamed`` first makes the events that a serving log would hold of them: by a hash
+of the text a message comes whole, in deltas, as a draft that is regenerated in deltas, or as a draft that is edited.
 """
 
 from __future__ import annotations
@@ -15,7 +20,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import rows_of, table
@@ -129,10 +134,26 @@ def read_back(formatted: DataFrame) -> DataFrame:
     return formatted.mapInArrow(_read_back, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
+def streamed(messages: DataFrame) -> DataFrame:
+    """Events whose fold is the given messages (conv_id, turn, role, text), in their order: rows of one turn by role and text."""
+    text = F.coalesce("text", F.lit(""))
+    third, half = F.ceil(F.length(text) / 3).cast("int"), F.ceil(F.length(text) / 2).cast("int")
+    rest = lambda at: F.substring(text, at + 1, F.length(text))
+    event = lambda kind, what: F.struct(F.lit(kind).alias("kind"), what.alias("text"))
+    whole = F.array(event("message", text))
+    deltas = F.array(event("message", F.substring(text, F.lit(1), third)), event("delta", F.substring(text, third + 1, third)), event("delta", rest(2 * third)))
+    again = F.array(event("message", F.reverse(text)), event("regenerate", F.lit("")), event("delta", F.substring(text, F.lit(1), half)), event("delta", rest(half)))
+    edited = F.array(event("message", F.reverse(text)), event("edit", text))
+    way = F.pmod(F.xxhash64(text), F.lit(4))
+    place = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "role", "text"))
+    rows = messages.select("conv_id", "turn", "role", place.alias("place"), F.posexplode(F.when(way == 0, whole).when(way == 1, deltas).when(way == 2, again).otherwise(edited)).alias("step", "e"))
+    return rows.select("conv_id", "turn", (F.col("place").cast("long") * 4 + F.col("step")).alias("seq"), "e.kind", "role", "e.text")
+
+
 def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
     hard = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
-    return read_back(format_chats(rows.unionByName(hard).select("*", F.col("turn").alias("seq"), F.lit("message").alias("kind"))))
+    return read_back(format_chats(streamed(rows.unionByName(hard))))
 
 
 def oracle() -> str:

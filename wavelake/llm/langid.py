@@ -1,8 +1,14 @@
 """Language identification by prediction by partial matching over bytes.
 
-Each language has a byte context tree of order three at most, with escapes (method C, with exclusions) to shorter contexts.
-Statistics are frozen after training, so a text's code length is a sum of table entries.
-Null and empty texts, and texts without a letter, get ``und`` with score 0. Without training rows every text gets ``und``.
+Each language has a byte context tree of order three, with escapes (method C, with exclusions) to shorter contexts and at last to even
+chances of the 256 bytes. A text begins in a context of zero bytes. Statistics are frozen after training, so a text's code length is a sum of
+the same figures wherever it is scored. The trees are sparse: they hold what training saw, all of it, and nothing else, so their size is
+bounded by the training texts, of which each language has DOCS_PER_LANG at most, whatever the alphabets.
+
+The language with the shortest code wins, of equal ones the first by name; its score is its share of the probabilities at equal priors.
+Null and empty texts, and texts without a letter, get ``und`` with score 0. Without training rows every text gets ``und``. Texts of any length
+are scored whole, CHUNK bytes at a time. Rows are predicted one by one, repeated ones alike; rows with a null doc_id are predicted and train
+nothing. Extra columns are ignored, and an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -17,9 +23,11 @@ from pyspark.sql import functions as F
 from .common import small, table
 
 UNKNOWN = "und"
-#: Training texts of each language at most (smallest hashes of doc_id), and order-three contexts kept in the trees (most frequent first).
-DOCS_PER_LANG, CONTEXTS = 1500, 8192
-CHUNK = 1 << 19
+#: Training texts of each language at most, the smallest hashes of doc_id.
+DOCS_PER_LANG = 1500
+#: Bytes of a text that are scored together, and figures that a worker remembers.
+CHUNK, REMEMBERED = 1 << 19, 1 << 22
+ORDER = 3
 RESULT = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64())])
 LETTER = np.zeros(256, bool)
 LETTER[[*range(65, 91), *range(97, 123)]] = True
@@ -65,7 +73,7 @@ def held_out() -> F.Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def learn(rows: DataFrame, docs_per_lang: int = DOCS_PER_LANG, kept: int = CONTEXTS) -> dict | None:
+def learn(rows: DataFrame, docs_per_lang: int = DOCS_PER_LANG) -> dict | None:
     """Frozen counts from at most ``docs_per_lang`` texts of each language; None without rows."""
     sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     if not sizes:
@@ -83,82 +91,73 @@ def learn(rows: DataFrame, docs_per_lang: int = DOCS_PER_LANG, kept: int = CONTE
     code, times = np.array([r["code"] for r in got], np.int64), np.array([r["times"] for r in got], np.int64)
     which = np.array([langs.index(r["lang"]) for r in got], np.int64)
     order = np.lexsort((code, which))
-    return {"langs": langs, "which": which[order].astype(np.int32), "code": code[order].astype(np.uint32), "times": times[order].astype(np.int32), "kept": kept}
-
-
-def _level(counts: np.ndarray, below: np.ndarray) -> np.ndarray:
-    """Probabilities of symbols in each context: escape method C; what escapes is dealt as the shorter context deals it among unseen symbols."""
-    seen = counts > 0
-    total, kinds = counts.sum(-1, keepdims=True, dtype=np.float32), seen.sum(-1, keepdims=True, dtype=np.float32)
-    rest = np.where(seen, np.float32(0), below)
-    left = rest.sum(-1, keepdims=True)
-    escape = np.where(left > 1e-12, kinds / np.maximum(total + kinds, 1), 0).astype(np.float32)
-    p = counts * ((1 - escape) / np.maximum(total, 1)) + rest * (escape / np.maximum(left, 1e-12))
-    return np.where(total > 0, p, below).astype(np.float32)
+    return {"langs": langs, "which": which[order].astype(np.int32), "code": code[order].astype(np.uint32), "times": times[order]}
+
+
+class Tree:
+    """One language's tree: for each length of context the seen (context, byte) codes with their probabilities, and the contexts with the
+    factor by which the shorter context's probability of an unseen byte is multiplied."""
+
+    def __init__(self, code: np.ndarray, times: np.ndarray):
+        self.levels: list[tuple[np.ndarray, ...]] = []
+        for k in range(ORDER + 1):
+            seen, which = np.unique(code & ((1 << 8 * (k + 1)) - 1), return_inverse=True)
+            count = np.bincount(which, times)
+            shorter = self.probabilities(seen)
+            context, of = np.unique(seen >> 8, return_inverse=True)
+            total, kinds = np.bincount(of, count), np.bincount(of).astype(float)
+            left = np.maximum(1 - np.bincount(of, shorter), 0)
+            escape = np.where((kinds < 256) & (left > 1e-12), kinds / (total + kinds), 0)
+            self.levels.append((seen, count / total[of] * (1 - escape[of]), context, escape / np.maximum(left, 1e-12)))
+
+    def probabilities(self, code: np.ndarray) -> np.ndarray:
+        """Probability of the last byte of each code after the bytes before it, by the levels there are."""
+        p = np.full(len(code), 1 / 256)
+        for k, (seen, known, context, factor) in enumerate(self.levels):
+            part = code & ((1 << 8 * (k + 1)) - 1)
+            at = np.minimum(np.searchsorted(seen, part), len(seen) - 1)
+            over = np.minimum(np.searchsorted(context, part >> 8), len(context) - 1)
+            p = np.where(seen[at] == part, known[at], np.where(context[over] == part >> 8, factor[over] * p, p))
+        return p
 
 
 class Trees:
-    """The languages' trees as tables of bits: a row for each two-byte context, then for each kept three-byte context.
-
-    Bytes that training never met all cost the same in every context, so they share one class, 0, which stands for ``others`` bytes;
-    class 1 is the padding before a text.
-    """
+    """The trees of all languages."""
 
     def __init__(self, model: dict):
-        code, which, times = model["code"].astype(np.int64), model["which"], model["times"]
-        met = np.unique(np.concatenate([code >> 24, code >> 16 & 255, code >> 8 & 255, code & 255]))
-        met = met[met > 0]
-        self.cls = np.zeros(256, np.int32)
-        self.cls[met] = np.arange(len(met)) + 2
-        self.cls[0] = 1
-        a = self.width = len(met) + 2
-        c3, c2, c1, s = (self.cls[code >> k & 255].astype(np.int64) for k in (24, 16, 8, 0))
-        tri, back = np.unique((c3 * a + c2) * a + c1, return_inverse=True)
-        weight = np.bincount(back, times)
-        top = np.sort(np.argsort(-weight, kind="stable")[: model["kept"]])
-        place = np.full(len(tri), -1)
-        place[top] = np.arange(len(top))
-        self.map3 = np.zeros(a**3, np.int32)
-        self.map3[tri[top]] = a * a + np.arange(len(top))
-        self.bits = np.empty((a * a + len(top), a, len(model["langs"])), np.float32)
-        others = 256 - len(met) - 1
-        for k in range(len(model["langs"])):
-            of = which == k
-            n2 = np.bincount(((c2 * a + c1) * a + s)[of], times[of], a**3).reshape(a, a, a).astype(np.float32)
-            flat = np.full(a, 1 / 256, np.float32)
-            flat[0] = max(1, others) / 256
-            p0 = _level(n2.sum((0, 1)), flat)
-            p1 = _level(n2.sum(0), np.broadcast_to(p0, (a, a)))
-            p2 = _level(n2, np.broadcast_to(p1, (a, a, a)))
-            at = of & (place[back] >= 0)
-            n3 = np.bincount(place[back[at]] * a + s[at], times[at], len(top) * a).reshape(len(top), a).astype(np.float32)
-            p3 = _level(n3, p2.reshape(a * a, a)[tri[top] % (a * a)])
-            p = np.concatenate([p2.reshape(a * a, a), p3])
-            p[:, 0] /= max(1, others)
-            self.bits[:, :, k] = -np.log2(np.maximum(p, 1e-12))
-        self.bits = self.bits.reshape(-1, len(model["langs"]))
+        code = model["code"].astype(np.int64)
+        self.trees = [Tree(code[model["which"] == k], model["times"][model["which"] == k]) for k in range(len(model["langs"]))]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.codes, self.bits = np.empty(0, np.uint32), np.empty((len(self.trees), 0))
+
+    def _remember(self, codes: np.ndarray) -> None:
+        """Adds the figures of codes that are not yet known."""
+        new = np.setdiff1d(codes, self.codes, assume_unique=True)
+        if len(new):
+            if (len(self.codes) + len(new)) * len(self.trees) > REMEMBERED:
+                self._forget()
+                new = codes
+            bits = np.stack([-np.log2(t.probabilities(new.astype(np.int64))) for t in self.trees])
+            both = np.concatenate([self.codes, new])
+            order = np.argsort(both)
+            self.codes, self.bits = both[order], np.concatenate([self.bits, bits], 1)[:, order]
 
     def lengths(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Code length in bits of each text under each language."""
-        n, a = len(data), self.width
-        out = np.zeros((len(offsets) - 1, self.bits.shape[1]))
-        pads = contexts(data, offsets)
-        first = 0
-        while first < len(offsets) - 1:  # texts of about CHUNK bytes together
-            last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + CHUNK)) - 1)
-            total, lo, hi = np.zeros(self.bits.shape[1]), int(offsets[first]), int(offsets[last])
-            run = [np.zeros((1, self.bits.shape[1]))]
-            for at in range(lo, hi, CHUNK):
-                to = min(hi, at + CHUNK)
-                s, c1, c2, c3 = (self.cls[x[at:to]] for x in (data, *pads))
-                ctx = c2 * a + c1
-                deep = self.map3[c3 * (a * a) + ctx]
-                cost = np.cumsum(self.bits[np.where(deep > 0, deep, ctx) * a + s], axis=0, dtype=np.float64)
-                run.append(cost + total)
-                total = run[-1][-1]
-            run = np.concatenate(run)
-            out[first:last] = np.diff(run[offsets[first : last + 1] - lo], axis=0)
-            first = last
+        out = np.zeros((len(offsets) - 1, len(self.trees)))
+        c1, c2, c3 = contexts(data, offsets)
+        for lo in range(0, len(data), CHUNK):
+            hi = min(len(data), lo + CHUNK)
+            s, x1, x2, x3 = (x[lo:hi].astype(np.uint32) for x in (data, c1, c2, c3))
+            code = x3 << np.uint32(24) | x2 << np.uint32(16) | x1 << np.uint32(8) | s
+            self._remember(np.unique(code))
+            at = np.searchsorted(self.codes, code)
+            first, last = np.searchsorted(offsets, lo, "right") - 1, np.searchsorted(offsets, hi)  # the texts of this chunk
+            edges = np.clip(offsets[first : last + 1], lo, hi) - lo
+            for k in range(len(self.trees)):
+                out[first:last, k] += np.diff(np.concatenate([[0.0], np.cumsum(self.bits[k][at])])[edges])
         return out
 
 
@@ -179,7 +178,7 @@ def predict(docs: DataFrame, model: dict | None) -> DataFrame:
                 for i in np.flatnonzero(~spoken & (np.diff(offsets) > 0)):
                     spoken[i] = any(map(str.isalpha, texts[int(i)].as_py() or ""))
                 bits = trees.lengths(data, offsets)
-                best = bits.argmin(1)
+                best = bits.argmin(1)  # languages are in the order of their names
                 share = 1 / np.exp2(np.maximum(bits.min(1, keepdims=True) - bits, -1000)).sum(1)
                 lang[spoken], score[spoken] = np.array(model["langs"], object)[best][spoken], share[spoken]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), pa.array(lang.tolist(), pa.string()), pa.array(score)], schema=RESULT)

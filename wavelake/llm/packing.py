@@ -1,12 +1,13 @@
 """Best-fit packing with conflicts: bins hold sequences of tokens for training.
 
-Documents go to shards by a hash of doc_id, about SHARD_ROWS each, so a hot source or a large group of copies is dealt over all shards.
+Documents go to shards by a hash of doc_id (of their place in the input, if it is null), about SHARD_ROWS each, so a hot source or a large group of copies is dealt over all shards.
 In a shard, items are placed largest first into the fullest bin that still fits and does not conflict: a bin holds one document of a
 duplicate cluster, and at most ``per_source`` of a source. Bins are kept ordered by what they have left; each has a bitmap of
 clusters and one of sources, and the search goes on from the tightest bin to its successors until one is compatible.
 
 A text longer than a bin is cut into full pieces, each a bin of its own, and a rest. Documents without tokens (null, empty) get a row
-with null bin. A null source or cluster conflicts with nothing. Equal sizes go by doc_id; repeated rows are items of their own.
+with null bin. A null source or cluster conflicts with nothing. Equal sizes go by doc_id (null last), then by tokens, cluster and source;
+repeated rows are items of their own. Extra columns are ignored, and an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -64,10 +65,11 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOURCE
     """Takes doc_id, n_tokens, source, cluster; returns doc_id, piece, piece_tokens, shard, bin_id (null without tokens), bin_offset."""
     shards = max(1, -(-docs.count() // shard_rows))
     items = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("n_tokens").cast("long"), F.lit(0)).alias("n_tokens"), F.col("source").cast("string"), F.col("cluster").cast("string"))
-    items = items.withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(shards)))
+    items = items.withColumn("shard", F.pmod(F.xxhash64(F.coalesce("doc_id", F.monotonically_increasing_id()), F.lit(5)), F.lit(shards)))
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.assign(rest=rows.n_tokens % capacity, text=rows.cluster.fillna(""), name=rows.source.fillna("")).sort_values(["rest", "doc_id", "n_tokens", "text", "name"], ascending=[False, True, False, True, True])
+        rows["doc_id"] = rows.doc_id.astype("Int64")  # whole numbers beside nulls
         shard, out, bins = int(rows.shard.iloc[0]), [], 0
         for doc, n in zip(rows.doc_id, rows.n_tokens, strict=True):
             for piece in range(n // capacity):
@@ -85,7 +87,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOURCE
 
 
 def with_clusters(docs: DataFrame) -> DataFrame:
-    """Words as tokens, and equal texts as a duplicate cluster."""
+    """Words as tokens, and equal texts as a duplicate cluster: only exact copies conflict, near copies are another operator's work."""
     return docs.select("doc_id", word_count().alias("n_tokens"), "source", F.when(F.length("text") > 0, F.xxhash64("text")).alias("cluster"))
 
 

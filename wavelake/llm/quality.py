@@ -1,7 +1,10 @@
 """Quality rules: base word rules, then a calibrated logistic regression over hashed n-grams.
 
-Nulls and empty texts have no words, so the base rule rejects them; the model sees only texts with words.
-Repeated rows are judged one by one and alike. Extra columns of the input are ignored.
+Nulls and empty texts have no words, so the base rule rejects them; the model sees only texts with words. Texts are read whole, one at a time.
+Repeated rows are judged one by one and alike; of a doc_id's several labels the worst counts, and null labels and doc_ids teach nothing. Extra
+columns of the input are ignored (``kept`` keeps them), and an empty table gives no rows.
+
+The driver holds the features of the sample: SAMPLE_PER_CLASS rows of each class, none with more than DIM figures (2 MB).
 """
 
 from __future__ import annotations

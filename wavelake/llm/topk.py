@@ -9,21 +9,23 @@ bounded size, so a vector that many rows share is dealt over many tasks. A query
 score that its k-th result reaches at least. Then it goes to all other blocks that could hold a better score. Inside a block the vectors
 are sorted by distance and the search goes outward from the query's own distance until the bound falls under the k-th best score.
 
-Vectors that are null, empty, of another dimension than most, or that hold null or non-finite components take no part, nor do rows with
-null vec_id. Ties go to the smaller vec_id; repeated rows are candidates of their own, though never for a query of the same vec_id.
+Vectors that are null, empty, or that hold null or non-finite components take no part, nor do rows with null vec_id. Vectors of other
+dimensions have no inner product, so each dimension is an index of its own. Ties go to the smaller vec_id; repeated rows are candidates of
+their own, though never for a query of the same vec_id. Of the vectors of a query's vec_id the smallest, by its components in order, is asked.
+Extra columns are ignored, and an empty table gives no rows. A task holds one block; queries stream past it.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import staged, table
+from .common import by_block, small, staged, table
 
 K, EVERY, SCALE = 10, 100, 1024
 #: Pivots are chosen by farthest-first traversal of a sample of this many rows, the smallest hashes of vec_id; all rows are indexed.
@@ -33,12 +35,15 @@ RING, RINGS, BLOCK, FIRST = 1000, 64, 4000, 2
 
 
 def integers(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
-    """vec_id and integer components, for valid rows of the most common dimension."""
+    """vec_id and integer components, for valid rows."""
     v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("e")).where("vec_id is not null and size(e) > 0")
     v = v.where(~F.exists("e", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))))
-    v = v.select("vec_id", F.transform("e", lambda x: F.floor(x * scale).cast("long")).alias("v"))
-    common = v.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    return v.where(F.size("v") == common["n"]) if common else v
+    return v.select("vec_id", F.transform("e", lambda x: F.floor(x * scale).cast("long")).alias("v"))
+
+
+def asked(vectors: DataFrame, every: int = EVERY) -> DataFrame:
+    """The queries: one vector for each vec_id that ``every`` divides."""
+    return vectors.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
 
 
 def choose_pivots(sample: np.ndarray, count: int) -> np.ndarray:
@@ -85,53 +90,72 @@ def best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((ids, -scores))[:k]
 
 
+def _outward(ids: np.ndarray, x: np.ndarray, dist: np.ndarray, pivot: np.ndarray, top: float, k: int, query: int, q: np.ndarray, bound: float) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and scores of a query's k best vectors of a block that reach its bound, by sorted annuli outward from its own distance."""
+    norm = float((q * q).sum())
+    own = float(distances(q[None].astype(np.float64), np.zeros(1), pivot[None])[0, 0])
+    found_ids, found = np.empty(0, np.int64), np.empty(0, np.int64)
+    lo = hi = int(np.searchsorted(dist, own))
+    step = 256
+    while lo > 0 or hi < len(dist):
+        # the annuli on both sides, as far as a score of the bound can still be met
+        reach = np.sqrt(max(0.0, norm + top - 2 * (bound - 1))) + 1e-3
+        first, last = max(lo - step, int(np.searchsorted(dist, own - reach))), min(hi + step, int(np.searchsorted(dist, own + reach, "right")))
+        first, last = min(first, lo), max(last, hi)
+        if first == lo and last == hi:
+            break
+        at = np.r_[first:lo, hi:last]
+        at = at[ids[at] != query]
+        found_ids, found = np.concatenate([found_ids, ids[at]]), np.concatenate([found, x[at] @ q])
+        keep = best(found_ids, found, k)
+        found_ids, found = found_ids[keep], found[keep]
+        if len(found) == k:
+            bound = max(bound, float(found[-1]))
+        lo, hi, step = first, last, step * 2
+    keep = found >= bound
+    return found_ids[keep], found[keep]
+
+
 def searcher(pivots: np.ndarray, top: float, k: int):
-    """Searches one block for all queries sent to it; emits each query's k best rows of the block that reach its bound."""
-
-    def search(rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"query_id": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="int64")})
-        if rows.empty or queries.empty:
-            return empty
-        rows = rows.sort_values(["dist", "vec_id"])
-        x, ids, dist = np.stack(rows.v.to_numpy()).astype(np.int64), rows.vec_id.to_numpy(), rows.dist.to_numpy()
-        pivot = pivots[int(rows["pivot"].iloc[0])]
-        out = []
-        for query, v, bound in zip(queries.query_id, queries.q, queries.bound, strict=True):
-            q = np.asarray(v, np.int64)
-            norm = float((q * q).sum())
-            own = float(distances(q[None].astype(np.float64), np.zeros(1), pivot[None])[0, 0])
-            found_ids, found = np.empty(0, np.int64), np.empty(0, np.int64)
-            lo = hi = int(np.searchsorted(dist, own))
-            step = 256
-            while lo > 0 or hi < len(dist):
-                # the sorted annuli on both sides, as far as a score of the bound can still be met
-                reach = np.sqrt(max(0.0, norm + top - 2 * (bound - 1))) + 1e-3
-                first, last = max(lo - step, int(np.searchsorted(dist, own - reach))), min(hi + step, int(np.searchsorted(dist, own + reach, "right")))
-                first, last = min(first, lo), max(last, hi)
-                if first == lo and last == hi:
-                    break
-                at = np.r_[first:lo, hi:last]
-                at = at[ids[at] != query]
-                found_ids, found = np.concatenate([found_ids, ids[at]]), np.concatenate([found, x[at] @ q])
-                keep = best(found_ids, found, k)
-                found_ids, found = found_ids[keep], found[keep]
-                if len(found) == k:
-                    bound = max(bound, float(found[-1]))
-                lo, hi, step = first, last, step * 2
-            keep = found >= bound if len(found) else slice(0)
-            out.append(pd.DataFrame({"query_id": query, "vec_id": found_ids[keep], "score": found[keep]}))
-        return pd.concat([empty, *out])
-
-    return search
+    """Searches blocks for the queries sent to them: a block's vectors come first, then its queries."""
+    names = ["query_id", "vec_id", "score"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held, ready = None, [], None
+        for now, kind, rows in by_block(batches):
+            if now != block:
+                block, held, ready = now, [], None
+            if kind == 0:
+                held.append(rows)
+                continue
+            if not held:
+                continue
+            if ready is None:
+                x, ids, dist = (np.concatenate(c) for c in zip(*((_matrix(r.column("v")), np.asarray(r.column("id")), np.asarray(r.column("x"))) for r in held), strict=True))
+                order = np.lexsort((ids, dist))
+                ready = (ids[order], x[order], dist[order], pivots[held[0].column("pivot")[0].as_py()])
+            for some in small([rows]):
+                out: list[list] = [[np.empty(0, np.int64)] for _ in names]
+                for query, q, bound in zip(some.column("id").to_pylist(), _matrix(some.column("v")), some.column("x").to_pylist(), strict=True):
+                    ids, scores = _outward(*ready, top, k, query, q, bound)
+                    for column, values in zip(out, (np.full(len(ids), query, np.int64), ids, scores), strict=True):
+                        column.append(values)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], names=names)
+
+    return run
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
-    """query_id, rank, vec_id, score: each query's k best vectors. Both inputs come from ``integers``."""
+    """query_id, rank, vec_id, score: each query's k best vectors. ``vectors`` come from ``integers``, and ``queries`` are rows like them, one for each vec_id."""
     vectors, queries = staged(vectors), staged(queries)
+    widths = sorted(r["n"] for r in vectors.select(F.size("v").alias("n")).distinct().collect())
+    none = vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    each = [_search(vectors.where(F.size("v") == n), queries.where(F.size("v") == n), k) for n in widths]
+    return functools.reduce(DataFrame.union, each) if each else none
+
+
+def _search(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     wide = vectors.agg(F.max(F.aggregate("v", F.lit(0).cast("long"), lambda s, x: s + x * x))).first()[0]
-    schema = "query_id long, rank int, vec_id long, score long"
-    if wide is None:
-        return vectors.sparkSession.createDataFrame([], schema)
     top = float(wide)
     some = vectors.orderBy(F.xxhash64("vec_id", F.lit(9)), "vec_id").limit(SAMPLE).collect()
     sample = np.array([r["v"] for r in some], np.float64)
@@ -158,7 +182,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
 
     def routes(batches: Iterator[pa.RecordBatch], later: bool) -> Iterator[pa.RecordBatch]:
         """Sends queries to the blocks whose bound reaches theirs: the FIRST with the best bounds, or the others."""
-        for b in batches:
+        for b in small(batches):
             if not len(b):
                 continue
             q = _matrix(b.column("q")).astype(np.float64)
@@ -181,12 +205,14 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
 
     def visit(q: DataFrame, later: bool) -> DataFrame:
         sent = q.mapInArrow(lambda batches: routes(batches, later), "query_id long, q array<long>, bound double, block int")
-        return index.groupBy("block").cogroup(sent.groupBy("block")).applyInPandas(searcher(pivots, top, k), "query_id long, vec_id long, score long")
+        rows = index.select("block", F.lit(0).alias("kind"), F.col("vec_id").alias("id"), "v", F.col("dist").alias("x"), "pivot")
+        rows = rows.union(sent.select("block", F.lit(1), "query_id", "q", "bound", F.lit(None).cast("int")))
+        return rows.repartition("block").sortWithinPartitions("block", "kind").mapInArrow(searcher(pivots, top, k), "query_id long, vec_id long, score long")
 
-    asked = queries.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"), F.lit(-1e300).alias("bound"))
-    found = staged(visit(asked, False))
+    first_round = queries.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"), F.lit(-1e300).alias("bound"))
+    found = staged(visit(first_round, False))
     kth = found.groupBy("query_id").agg(F.sort_array(F.collect_list("score"), False).alias("s")).where(F.size("s") >= k).select("query_id", F.element_at("s", k).cast("double").alias("kth"))
-    bounded = asked.drop("bound").join(kth, "query_id", "left").select("query_id", "q", F.coalesce("kth", F.lit(-1e300)).alias("bound"))
+    bounded = first_round.drop("bound").join(kth, "query_id", "left").select("query_id", "q", F.coalesce("kth", F.lit(-1e300)).alias("bound"))
     every = found.union(visit(bounded, True))
     # Spark keeps each task's k best of a query before the shuffle
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
@@ -195,7 +221,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
 
 def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = integers(table(spark, sf_dir, "embeddings"))
-    return search(vectors, vectors.where(F.col("vec_id") % EVERY == 0).dropDuplicates(["vec_id"]))
+    return search(vectors, asked(vectors))
 
 
 def oracle() -> str:
@@ -203,6 +229,6 @@ def oracle() -> str:
 with v as (select vec_id, list_transform(embedding, lambda x: floor({SCALE}::double * x::double)::bigint) v from embeddings
   where vec_id is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
 s as (select q.vec_id query_id, x.vec_id vec_id, list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * x.v[i]))::bigint score
-  from v q join v x on q.vec_id % {EVERY} = 0 and x.vec_id <> q.vec_id)
+  from (select vec_id, min(v) v from v where vec_id % {EVERY} = 0 group by vec_id) q join v x on x.vec_id <> q.vec_id and len(x.v) = len(q.v))
 select query_id, (row_number() over (partition by query_id order by score desc, vec_id))::integer rank, vec_id, score from s
 qualify rank <= {K}"""
