@@ -10,7 +10,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from wavelake.functions import names, solver, timeline, vectors
+from wavelake.functions import names, numbers, solver, timeline, vectors
 from wavelake.models import hooks, layers
 from wavelake.operators import alignment, filters, ranking, reports, scheduling, segments
 from wavelake.sources import audio, files
@@ -23,8 +23,8 @@ def one(spark, column):
 def test_nearest_takes_the_lower_index_on_ties(spark):
     probes = spark.createDataFrame([(i, float(i)) for i in range(5)], "probe_id long, at double")
     frames = spark.createDataFrame([(0, 0.4), (1, 1.5), (2, 2.5)], "frame_id long, at double")
-    for bucket in (None, F.floor("at")):
-        got = dict(alignment.nearest(probes, frames, bucket).select("probe_id", "frame_id").collect())
+    for bucket_rows in (100, 2):
+        got = dict(alignment.nearest(probes, frames, bucket_rows).select("probe_id", "frame_id").collect())
         assert got == {0: 0, 1: 0 if abs(1 - 0.4) < abs(1.5 - 1) else 1, 2: 1, 3: 2, 4: 2}
 
 
@@ -33,7 +33,7 @@ def test_nearest_against_brute_force(spark, seed):
     draw = random.Random(seed)
     frames = [(i, draw.randrange(60) / 2) for i in range(25)]
     probes = [(i, draw.randrange(-10, 80) / 2) for i in range(60)]
-    got = dict(alignment.nearest(spark.createDataFrame(probes, "probe_id long, at double"), spark.createDataFrame(frames, "frame_id long, at double"), F.floor(F.col("at") / 4)).select("probe_id", "frame_id").collect())
+    got = dict(alignment.nearest(spark.createDataFrame(probes, "probe_id long, at double"), spark.createDataFrame(frames, "frame_id long, at double"), 20).select("probe_id", "frame_id").collect())
     for i, t in probes:
         best = min(abs(a - t) for _, a in frames)
         assert abs(dict(frames)[got[i]] - t) == best
@@ -246,3 +246,81 @@ def test_schedule(spark):
     started = next(k for k, x in enumerate(log) if 3 in x["batch"])
     assert started < next(k for k, x in enumerate(log) if 2 in x["finished"]) and {r for x in log for r in x["finished"]} == {1, 2, 3}
     assert scheduling.next_batch(requests, 4).select("request").collect()[0].request == 1
+
+
+def test_rounding_is_that_of_the_binary_value(spark):
+    draw = random.Random(3)
+    values = [2.675, 1.005, 0.5, 1.5, 2.5, -0.5, -2.5, 0.125, 0.375, -1.0005, 0.0, -0.0, 1e15 + 0.3, 1e300, 4503599627370497.5, float("inf"), 0.0005, 0.0015, 5e-324]
+    values += [draw.uniform(-1000, 1000) for _ in range(500)] + [k / 16 for k in range(-100, 100)] + [draw.randint(0, 10**7) / 1000 + 0.0005 for _ in range(300)]
+    for digits in (0, 1, 3, 4):
+        got = spark.createDataFrame([(v,) for v in values], "v double").select("v", numbers.rounded(F.col("v"), digits).alias("r")).collect()
+        assert [(r.v, r.r) for r in got if r.r != (round(r.v, digits) if abs(r.v) < 1e16 else r.v)] == []
+    assert spark.range(1).select(numbers.rounded(F.lit(float("nan")), 3), numbers.rounded(F.lit(None).cast("double"), 3)).first()[1] is None
+
+
+def test_place_in_bounds(spark):
+    bounds = [1, 3, 3, 7, 20]
+    got = spark.range(25).select("id", numbers.place(F.array(*map(F.lit, bounds)), F.col("id"), len(bounds)).alias("p")).collect()
+    assert all(r.p == sum(b <= r.id for b in bounds) for r in got)
+
+
+@pytest.mark.parametrize("accuracy", [10_000, 50])
+def test_percentiles_of_skewed_groups(spark, monkeypatch, accuracy):
+    """An outlier, many equal values, a hot group: exact places; with a coarse sketch most values are counted, not sorted."""
+    monkeypatch.setattr(reports, "ACCURACY", accuracy)
+    draw = random.Random(1)
+    groups = {"hot": [draw.random() for _ in range(5000)] + [1e18, -1e18], "same": [2.0] * 700 + [3.0], "one": [5.0], "few": [3.0, 1.0, 2.0], "ties": [float(draw.randrange(5)) for _ in range(900)]}
+    rows = [(k, v) for k, x in groups.items() for v in x] + [("few", None), ("few", float("nan")), ("none", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r.g: r for r in reports.ranked(df, ["g"], "v", {"lo": (0.0, lambda n: F.lit(0)), "mid": (0.5, lambda n: F.floor((n - 1) / 2)), "p95": (0.95, lambda n: F.floor(F.lit(0.95) * (n - 1))), "hi": (1.0, lambda n: n - 1)}).collect()}
+    for k, x in groups.items():
+        x = sorted(x)
+        assert (got[k].lo, got[k].mid, got[k].p95, got[k].hi) == (x[0], x[(len(x) - 1) // 2], x[int(0.95 * (len(x) - 1))], x[-1])
+    assert set(got) == set(groups)
+
+
+def test_batches_of_a_hot_group(spark):
+    rows = [(i, "a" if i % 3 else "b", float(i % 7), [i] * (i % 4)) for i in range(500)]
+    df = spark.createDataFrame(rows, "request long, group string, admitted_ms double, payload array<long>")
+    dealt = scheduling.batched(df, 16)
+    sizes = dealt.groupBy("group", "batch").count().collect()
+    assert max(r["count"] for r in sizes) <= 16 and sum(r["count"] for r in sizes) == 500
+    back = scheduling.parted(scheduling.merged(dealt, "payload"), "payload").collect()
+    assert {r.request: r.payload for r in back} == {i: p for i, _, _, p in rows}
+
+
+@pytest.mark.parametrize("bucket_rows", [1 << 18, 40])
+def test_nearest_in_buckets(spark, bucket_rows):
+    """Many frames and probes at one time, and far outliers."""
+    draw = random.Random(2)
+    frames = [(i, draw.choice([draw.randrange(1000), 500, 10**12])) for i in range(300)]
+    probes = [(i, draw.choice([draw.randrange(-5, 1100), 500, -(10**12)])) for i in range(400)]
+    got = alignment.nearest(spark.createDataFrame(probes, "probe_id long, at long"), spark.createDataFrame(frames, "frame_id long, at long"), bucket_rows).collect()
+    want = {p: min((abs(a - t), f) for f, a in frames) for p, t in probes}
+    assert {r.probe_id: (r.gap, r.frame_id) for r in got} == want
+
+
+def test_shared_time_of_many_overlaps(spark):
+    draw = random.Random(5)
+    some = lambda n: [(draw.randrange(3), s, s + draw.choice([0, 1, 5, 40])) for s in (draw.randrange(0, 100) / 2 for _ in range(n))]
+    a, b = some(80), some(60)
+    make = lambda rows: spark.createDataFrame(rows, "request long, start_s double, end_s double")
+    a, b = [(r, float(s), float(e)) for r, s, e in a], [(r, float(s), float(e)) for r, s, e in b]
+    got = {r.request: r.both for r in alignment.shared_time(make(a), make(b), 7.0).collect()}
+    for q in range(3):
+        want = sum(max(0.0, min(x[2], y[2]) - max(x[1], y[1])) for x in a for y in b if x[0] == y[0] == q)
+        assert got[q] == pytest.approx(want)
+
+
+@pytest.mark.parametrize("few", [100, 0])
+def test_paired(spark, few):
+    rows, single = spark.createDataFrame([(i, i % 3) for i in range(200)], "id long, k long"), spark.createDataFrame([(0, "a"), (1, "b")], "k long, v string")
+    got = sorted((r.id, r.v) for r in ranking.paired(rows, single, "k", few).collect())
+    assert got == [(i, "ab"[i % 3]) for i in range(200) if i % 3 < 2]
+
+
+def test_clip_spans_and_chunks(spark):
+    rows = spark.createDataFrame([(1.0, 0), (2.0, 1), (10.0, 300), (10.0, 601)], "duration double, frames int")
+    got = rows.select(segments.clip_spans(F.col("duration"), 3, 2.0).alias("s"), segments.frame_chunks(F.col("frames")).alias("c")).collect()
+    assert [[(x.start_s, x.end_s) for x in r.s] for r in got[:3]] == [[(0.0, 2.0)] * 3, [(0.0, 2.0)] * 3, [(0.0, 2.0), (4.0, 6.0), (8.0, 10.0)]]
+    assert [[(x.first, x.frames) for x in r.c] for r in got] == [[], [(0, 1)], [(0, 300)], [(0, 300), (300, 300), (600, 1)]]

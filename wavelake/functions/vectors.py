@@ -9,6 +9,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from .numbers import let
+
 
 def doubles(x: Column) -> Column:
     return x.cast("array<double>")
@@ -46,6 +48,21 @@ def rms_norm(x: Column, eps: float = 1e-5) -> Column:
     return F.transform(x, lambda v: v / scale)
 
 
+def layer_norm(x: Column, eps: float = 1e-5) -> Column:
+    return let(x, lambda x: let(total(x) / F.size(x), lambda mean: let(F.sqrt(total(F.transform(x, lambda v: (v - mean) * (v - mean))) / F.size(x) + eps), lambda spread: F.transform(x, lambda v: (v - mean) / spread))))
+
+
+def projected(x: Column, weight: list[list[float]]) -> Column:
+    """Product with a matrix, by its rows: a convolution of width one at one place."""
+    rows = F.array(*[F.array(*map(F.lit, row)) for row in weight])
+    return F.transform(rows, lambda row: dot(row, x))
+
+
+def fused(anchor: Column, other: Column, weight: list[list[float]], gate: Column) -> Column:
+    """``anchor`` plus the other modality: projected, normalised, and let through by the tangent of the gate."""
+    return F.zip_with(anchor, layer_norm(projected(other, weight)), lambda a, y: a + F.tanh(gate) * y)
+
+
 def modulated(x: Column, scale: Column, shift: Column) -> Column:
     return F.transform(x, lambda v: v * (1 + scale) + shift)
 

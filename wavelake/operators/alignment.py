@@ -6,21 +6,33 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import timeline
+from ..functions.numbers import place
 
 # Ids of span tokens; fixed values.
 TOKENS = {"<null>": 0, "+": 1, "-": 2, "<pad>": 3}
 
 
-def nearest(probes: DataFrame, frames: DataFrame, bucket: Column | None = None) -> DataFrame:
+#: Rows of a bucket of time on average, and buckets at most.
+BUCKET_ROWS, BUCKETS = 1 << 18, 1 << 14
+
+
+def nearest(probes: DataFrame, frames: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """As-of join: the frame (frame_id, at) nearest in time to each probe (probe_id, at); ties go to the smaller frame_id.
 
-    Both sides are put in order of time once and each probe looks at its neighbours before and after, so no pairs are made. Time is cut at
-    ``bucket`` values (a coarse key of ``at``), and buckets hand over their last and first frames, so the order is never one task's work.
+    Times of both sides are put in order once and each probe's time looks at its neighbours before and after, so no pairs are made. Time is cut
+    into buckets of about as many rows by a quantile sketch, and buckets hand over their last and first frames, so the order is never one task's
+    work. Many frames or probes at one time are one row of the order.
     """
     # of several frames at one time only the first can win
     frames = frames.groupBy("at").agg(F.min("frame_id").alias("frame_id"))
-    rows = frames.select("at", "frame_id", F.lit(None).cast("long").alias("probe_id")).unionByName(probes.select("at", F.lit(None).cast("long").alias("frame_id"), "probe_id"))
-    rows = rows.withColumn("bucket", F.lit(0) if bucket is None else bucket)
+    times = probes.groupBy("at").agg(F.lit(True).alias("asked"))
+    rows = frames.select("at", "frame_id", F.lit(None).cast("boolean").alias("asked")).unionByName(times.select("at", F.lit(None).cast("long").alias("frame_id"), "asked"))
+    buckets = min(BUCKETS, 1 + rows.count() // bucket_rows)
+    bucket = F.lit(0)
+    if buckets > 1:
+        bounds = sorted(set(rows.agg(F.percentile_approx("at", [k / buckets for k in range(1, buckets)], 10 * buckets)).first()[0]))
+        bucket = place(F.array(*map(F.lit, bounds)), F.col("at"), len(bounds))
+    rows = rows.withColumn("bucket", bucket)
     edge = F.struct("at", "frame_id")
     edges = rows.groupBy("bucket").agg(F.min(F.when(F.col("frame_id").isNotNull(), edge)).alias("first"), F.max(F.when(F.col("frame_id").isNotNull(), edge)).alias("last"))
     # one row for each bucket
@@ -29,10 +41,11 @@ def nearest(probes: DataFrame, frames: DataFrame, bucket: Column | None = None)
     order = Window.partitionBy("bucket").orderBy("at")
     own = F.when(F.col("frame_id").isNotNull(), edge)
     rows = rows.withColumns({"left": F.last(own, True).over(order.rangeBetween(Window.unboundedPreceding, 0)), "right": F.first(own, True).over(order.rangeBetween(0, Window.unboundedFollowing))})
-    rows = rows.where("probe_id is not null").join(edges, "bucket")
+    rows = rows.where("asked").join(edges, "bucket")
     left, right = F.coalesce("left", "before"), F.coalesce("right", "after")
     gap = lambda side: F.when(side.isNotNull(), F.struct(F.abs(side["at"] - F.col("at")).alias("gap"), side["frame_id"].alias("frame_id")))
-    return rows.select("probe_id", F.least(gap(left), gap(right)).alias("near")).select("probe_id", F.col("near.frame_id").alias("frame_id"), F.col("near.gap").alias("gap"))
+    found = rows.select("at", F.least(gap(left), gap(right)).alias("near"))
+    return probes.join(found, "at").select("probe_id", F.col("near.frame_id").alias("frame_id"), F.col("near.gap").alias("gap"))
 
 
 def spans_on_frames(spans: DataFrame, sizes: DataFrame, hop: int = timeline.HOP, rate: int = timeline.RATE) -> DataFrame:
@@ -55,24 +68,41 @@ def token_id(token: Column) -> Column:
     return F.coalesce(F.try_element_at(known, token), F.raise_error(F.concat(F.lit("unknown token: "), token)).cast("int"))
 
 
+def _cut(df: DataFrame, width: float) -> DataFrame:
+    """Intervals (request, start_s, end_s) in pieces that lie in one slot of ``width`` seconds each: (request, slot, start, end)."""
+    slots = F.sequence(F.floor(F.col("start_s") / width), F.floor(F.col("end_s") / width))
+    rows = df.where("start_s < end_s").select("request", F.explode(slots).alias("slot"), "start_s", "end_s")
+    return rows.select("*", F.greatest("start_s", F.col("slot") * width).alias("start"), F.least("end_s", (F.col("slot") + 1) * width).alias("end"))
+
+
 def overlaps(left: DataFrame, right: DataFrame, width: float) -> DataFrame:
     """Pairs of overlapping intervals of one request (request, start_s, end_s on both sides), with the overlap's length.
 
-    Intervals are cut to slots of ``width`` seconds, which makes the join an equi-join; each slot gives its part of the overlap.
+    Intervals are cut to slots of ``width`` seconds, which makes the join an equi-join; each slot gives its part of the overlap. Where only
+    sums are wanted, ``shared_time`` makes no pairs.
     """
-    def cut(df: DataFrame, a: str, b: str) -> DataFrame:
-        slots = F.sequence(F.floor(F.col("start_s") / width), F.floor(F.col("end_s") / width))
-        return df.where("start_s < end_s").select("request", F.explode(slots).alias("slot"), F.col("start_s").alias(a), F.col("end_s").alias(b))
+    named = lambda df, a: _cut(df, width).select("request", "slot", F.col("start_s").alias(f"{a}s"), F.col("end_s").alias(f"{a}e"), F.col("start").alias(f"{a}a"), F.col("end").alias(f"{a}b"))
+    both = named(left, "l").join(named(right, "r"), ["request", "slot"])
+    overlap = F.greatest(F.least("lb", "rb") - F.greatest("la", "ra"), F.lit(0.0))
+    return both.select("request", "ls", "le", "rs", "re", overlap.alias("overlap")).where("overlap > 0")
+
+
+def shared_time(left: DataFrame, right: DataFrame, width: float) -> DataFrame:
+    """Summed overlap of all pairs of a request's intervals, as ``both``, by a sweep: between two neighbouring times it is the product of the open intervals."""
+    def changes(df: DataFrame, a: int, b: int) -> DataFrame:
+        ends = F.array(F.struct(F.col("start").alias("at"), F.lit(1).alias("d")), F.struct(F.col("end").alias("at"), F.lit(-1).alias("d")))
+        return _cut(df, width).select("request", "slot", F.explode(ends).alias("e")).select("request", "slot", "e.at", (F.col("e.d") * a).alias("a"), (F.col("e.d") * b).alias("b"))
 
-    both = cut(left, "ls", "le").join(cut(right, "rs", "re"), ["request", "slot"])
-    low, high = F.greatest("ls", "rs", F.col("slot") * width), F.least("le", "re", (F.col("slot") + 1) * width)
-    return both.select("request", "ls", "le", "rs", "re", F.greatest(high - low, F.lit(0.0)).alias("overlap")).where("overlap > 0")
+    times = changes(left, 1, 0).unionByName(changes(right, 0, 1)).groupBy("request", "slot", "at").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    order = Window.partitionBy("request", "slot").orderBy("at")
+    upto = order.rowsBetween(Window.unboundedPreceding, 0)
+    pieces = times.select("request", (F.sum("a").over(upto) * F.sum("b").over(upto) * (F.lead("at").over(order) - F.col("at"))).alias("both"))
+    return pieces.groupBy("request").agg(F.coalesce(F.sum("both"), F.lit(0.0)).alias("both"))
 
 
 def span_scores(found: DataFrame, wanted: DataFrame, width: float = 3600.0) -> DataFrame:
     """Intersection over union, recall and precision by request, from summed lengths; overlaps inside one list count twice. 0 where nothing divides."""
     lengths = lambda df, name: df.groupBy("request").agg(F.sum(F.col("end_s") - F.col("start_s")).alias(name))
-    shared = overlaps(found, wanted, width).groupBy("request").agg(F.sum("overlap").alias("both"))
-    rows = lengths(found, "found").join(lengths(wanted, "wanted"), "request", "full").join(shared, "request", "left").na.fill(0.0, ["found", "wanted", "both"])
+    rows = lengths(found, "found").join(lengths(wanted, "wanted"), "request", "full").join(shared_time(found, wanted, width), "request", "left").na.fill(0.0, ["found", "wanted", "both"])
     share = lambda d: F.when(d > 0, F.col("both") / F.nullif(d, F.lit(0.0))).otherwise(0.0)
     return rows.select("request", share(F.col("found") + F.col("wanted") - F.col("both")).alias("iou"), share(F.col("wanted")).alias("recall"), share(F.col("found")).alias("precision"))

@@ -47,9 +47,11 @@ def trimmed(x: Column, frames: Column, hop: int) -> Column:
     return F.slice(x, F.lit(1), (frames * hop).cast("int"))
 
 
+def setting_error() -> Column:
+    """What is wrong with a request's settings, null if they are sound."""
+    return unsupported({"bad steps": F.col("steps") < 1, "bad candidates": F.col("candidates") < 1, "bad max_candidates": F.col("max_candidates") < F.col("candidates"), "bad margin": F.col("margin") < 0})
+
+
 def valid_settings(rows: DataFrame) -> DataFrame:
     """Rows whose request settings are sound; others are an error that says which setting is not."""
-    checks = [("steps", F.col("steps") >= 1), ("candidates", F.col("candidates") >= 1), ("max_candidates", F.col("max_candidates") >= F.col("candidates")), ("margin", F.col("margin") >= 0)]
-    for name, check in checks:
-        rows = rows.where(F.assert_true(check, F.lit(f"bad {name}")).isNull())
-    return rows
+    return rows.where(F.assert_true(setting_error().isNull(), F.coalesce(setting_error(), F.lit(""))).isNull())

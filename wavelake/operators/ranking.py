@@ -21,6 +21,19 @@ def collapsed(candidates: DataFrame) -> DataFrame:
     return candidates.where("cand_idx = 0").drop("cand_idx")
 
 
+#: Rows at most of a side that is broadcast, and the parts that a key is dealt to beyond.
+FEW, SALTS = 10_000, 64
+
+
+def paired(rows: DataFrame, single: DataFrame, key: str, few: int = FEW) -> DataFrame:
+    """Joins ``rows`` to ``single``, which has one row for each key: broadcast if it is small, else each key is dealt to SALTS tasks."""
+    if single.limit(few + 1).count() <= few:
+        return rows.join(F.broadcast(single), key)
+    salted = rows.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))
+    copies = single.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return salted.join(copies, [key, "_salt"]).drop("_salt")
+
+
 def in_chunks(rows: DataFrame, order: Column, size: int, *keys: str) -> DataFrame:
     """Consecutive chunks of ``size`` rows in order, for each key."""
     position = F.row_number().over(Window.partitionBy(*keys).orderBy(order)) - 1

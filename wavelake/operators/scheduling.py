@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 GROUP = ("stage", "candidates", "max_candidates", "steps", "step_index", "shape")
@@ -39,18 +39,30 @@ def admitted(waiting: DataFrame, active: DataFrame, cancelled: DataFrame, most:
     return waiting.join(cancelled.select("request"), "request", "left_anti").orderBy("arrived_ms", "request").limit(free)
 
 
+def batched(rows: DataFrame, most: int) -> DataFrame:
+    """Deals each group's requests to batches of ``most`` at most, numbered in ``batch``.
+
+    A group is first dealt by hash to as many parts as it needs, and only a part is put in order, so a group of any size is many tasks' work.
+    """
+    sizes = rows.groupBy("group").agg(F.greatest(F.ceil(F.count(F.lit(1)) / most), F.lit(1)).alias("_parts"))
+    dealt = rows.join(sizes, "group").withColumn("_part", F.pmod(F.xxhash64("request"), F.col("_parts")))
+    place = F.row_number().over(Window.partitionBy("group", "_part").orderBy("admitted_ms", "request")) - 1
+    return dealt.withColumn("batch", F.col("_part") + F.col("_parts") * F.floor(place / most)).drop("_parts", "_part")
+
+
 def merged(batch: DataFrame, payload: str) -> DataFrame:
-    """One row for each group: the requests' payloads one after another, with offsets to part them again."""
-    rows = batch.groupBy("group").agg(F.array_sort(F.collect_list(F.struct("admitted_ms", "request", payload))).alias("_rows"))
+    """One row for each group and batch: the requests' payloads one after another, with offsets to part them again."""
+    rows = batch.groupBy("group", "batch").agg(F.array_sort(F.collect_list(F.struct("admitted_ms", "request", payload))).alias("_rows"))
     sizes = F.transform("_rows", lambda r: F.size(r[payload]))
-    return rows.select("group", F.transform("_rows", lambda r: r["request"]).alias("requests"), sizes.alias("sizes"), F.flatten(F.transform("_rows", lambda r: r[payload])).alias(payload))
+    return rows.select("group", "batch", F.transform("_rows", lambda r: r["request"]).alias("requests"), sizes.alias("sizes"), F.flatten(F.transform("_rows", lambda r: r[payload])).alias(payload))
 
 
 def parted(merged_rows: DataFrame, payload: str) -> DataFrame:
-    """The requests' own payloads again."""
-    upto = lambda n: F.aggregate(F.slice("sizes", F.lit(1), n), F.lit(0), lambda s, x: s + x)
-    rows = merged_rows.select("group", "sizes", payload, F.posexplode("requests").alias("_i", "request"))
-    return rows.select("group", "request", F.slice(F.col(payload), upto(F.col("_i")) + 1, F.get("sizes", F.col("_i"))).alias(payload))
+    """The requests' own payloads again; offsets are summed once for a batch, and a request takes its own slice only."""
+    starts = F.aggregate("sizes", F.array(F.lit(0)), lambda have, n: F.concat(have, F.array(F.element_at(have, -1) + n)))
+    own = F.transform("requests", lambda r, i: F.struct(r.alias("request"), F.slice(F.col(payload), F.get("_starts", i) + 1, F.get("sizes", i)).alias(payload)))
+    rows = merged_rows.withColumn("_starts", starts).select("group", "batch", F.explode(own).alias("_own"))
+    return rows.select("group", "batch", "_own.request", f"_own.{payload}")
 
 
 def simulate(requests: DataFrame, most_active: int, batch_size: int) -> list[dict]:

@@ -49,3 +49,23 @@ def clip_frames(frames: Column, rate: float, clips: int = 5, seconds: float = 2.
     step = F.greatest(length - seconds, F.lit(0.0)) / (clips - 1)
     picks = [F.least(F.floor((step * c + seconds * p / per_clip) * rate), frames - 1).cast("long") for c in range(clips) for p in range(per_clip)]
     return F.array(*picks)
+
+
+def concatenated(*lists: Column | str) -> Column:
+    """Lists of spans one after another; null lists are empty, duplicates stay."""
+    each = [F.col(x) if isinstance(x, str) else x for x in lists]
+    return F.flatten(F.filter(F.array(*each), lambda x: x.isNotNull()))
+
+
+def clip_spans(duration_s: Column, clips: int, length_s: float) -> Column:
+    """Start and end of ``clips`` spans of ``length_s`` seconds at even distances from a medium's start to its end; a shorter medium gives whole spans from 0."""
+    free = F.greatest(duration_s - length_s, F.lit(0.0))
+    starts = F.transform(F.sequence(F.lit(0), F.lit(clips - 1)), lambda k: free * k / max(1, clips - 1))
+    return F.transform(starts, lambda s: F.struct(s.alias("start_s"), (s + length_s).alias("end_s")))
+
+
+def frame_chunks(frames: Column, size: int = 300) -> Column:
+    """First frame and number of frames of each chunk that an encoder takes at once."""
+    chunks = F.ceil(frames / size).cast("int")
+    each = F.transform(F.sequence(F.lit(0), F.greatest(chunks - 1, F.lit(0))), lambda k: F.struct((k * size).alias("first"), F.least(F.lit(size), frames - k * size).cast("int").alias("frames")))
+    return F.when(frames > 0, each).otherwise(F.filter(each, lambda x: F.lit(False)))

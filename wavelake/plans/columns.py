@@ -163,3 +163,15 @@ def win7(spark, d):
     found = F.array(F.struct(F.col("value").alias("start_s"), (F.col("value") + 1).alias("end_s")))
     anchors = segments.spans_to_anchors(found, F.when(F.col("event_id") % 3 == 0, F.array(span("-"))))
     return parquet(spark, d, "events").select("event_id", anchors.alias("a")).select("event_id", F.col("a")[0]["token"].alias("token"), F.round(F.col("a")[0]["start_s"], 6).alias("start_s"))
+
+
+@query("win3_clip_spans", "select p_partkey, i::int as clip, round(greatest(p_size / 4.0 - 2, 0) * i / 2, 6) as start_s, round(greatest(p_size / 4.0 - 2, 0) * i / 2 + 2, 6) as end_s from part, range(3) r(i)")
+def win3(spark, d):
+    spans = segments.clip_spans(F.col("p_size") / 4.0, 3, 2.0)
+    rows = parquet(spark, d, "part").select("p_partkey", F.posexplode(spans).alias("clip", "s"))
+    return rows.select("p_partkey", "clip", F.round("s.start_s", 6).alias("start_s"), F.round("s.end_s", 6).alias("end_s"))
+
+
+@query("win6_frame_chunks", "select p_partkey, (i * 300)::int as \"first\", least(300, p_size * 20 - i * 300)::int as frames from part, range(4) r(i) where i * 300 < p_size * 20")
+def win6(spark, d):
+    return parquet(spark, d, "part").select("p_partkey", F.explode(segments.frame_chunks(F.col("p_size") * 20)).alias("c")).select("p_partkey", "c.first", "c.frames")

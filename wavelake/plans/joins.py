@@ -11,9 +11,6 @@ from ..operators import alignment, ranking
 from ..sources.files import parquet
 from . import E_SQL, V_SQL, events, query, vectors
 
-HOUR = 3_600_000_000
-
-
 @query("join1_nearest_time", f"""
 with f as (select us, min(event_id) frame_id from {E_SQL} where event_type = 'view' group by us), p as (select event_id probe_id, us from {E_SQL} where event_type = 'error'),
 c as (select probe_id, p.us, a.frame_id l, a.us la from p asof left join f a on p.us >= a.us),
@@ -23,7 +20,7 @@ def join1(spark, d):
     rows = events(spark, d)
     probes = rows.where("event_type = 'error'").select(F.col("event_id").alias("probe_id"), "at")
     frames = rows.where("event_type = 'view'").select(F.col("event_id").alias("frame_id"), "at")
-    return alignment.nearest(probes, frames, F.floor(F.col("at") / (24 * HOUR))).select("probe_id", "frame_id")
+    return alignment.nearest(probes, frames, 1 << 13).select("probe_id", "frame_id")
 
 
 @query("join2_uniform_resample", """
@@ -73,12 +70,14 @@ def join4(spark, d):
 
 
 @query("join5_token_lookup", """
-with t(event_type, id, w) as (values ('view', 0, 0.1), ('click', 1, 0.2), ('purchase', 2, 0.3), ('signup', 3, 0.4), ('error', 4, 0.5))
-select event_id, id, round(value + tanh(0.25) * w, 6) fused from events join t using (event_type)""")
+with t(token, id) as (values ('<null>', 0), ('+', 1), ('-', 2), ('<pad>', 3)),
+e as (select *, case event_type when 'view' then '+' when 'click' then '-' when 'error' then '<pad>' else '<null>' end token from events)
+select event_id, id::int id, round(value + tanh(0.25) * (id * 0.1 + 0.05 * id * id), 6) fused from e join t using (token)""")
 def join5(spark, d):
-    vocabulary = spark.createDataFrame([("view", 0, 0.1), ("click", 1, 0.2), ("purchase", 2, 0.3), ("signup", 3, 0.4), ("error", 4, 0.5)], "event_type string, id int, w double")
-    rows = parquet(spark, d, "events").join(F.broadcast(vocabulary), "event_type")  # five rows
-    return rows.select("event_id", "id", F.round(F.col("value") + F.tanh(F.lit(0.25)) * F.col("w"), 6).alias("fused"))
+    token = F.when(F.col("event_type") == "view", "+").when(F.col("event_type") == "click", "-").when(F.col("event_type") == "error", "<pad>").otherwise("<null>")
+    rows = parquet(spark, d, "events").withColumn("id", alignment.token_id(token))
+    table = F.array(*[F.array(F.lit(k * 0.1), F.lit(0.05 * k * k)) for k in range(len(alignment.TOKENS))])
+    return rows.select("event_id", "id", F.round(F.col("value") + F.tanh(F.lit(0.25)) * X.total(F.get(table, F.col("id"))), 6).alias("fused"))
 
 
 @query("join6_positional_zip", f"select vec_id, i::bigint place, round(v[i + 1] * v[i + 33], 9) product from {V_SQL}, range(32) r(i) where i < 8 + vec_id % 16")
@@ -100,10 +99,9 @@ def join8(spark, d):
     return ranking.in_chunks(rows, F.col("cand_idx"), 4, "item_id").select("item_id", F.col("cand_idx").alias("prompt_no"), "chunk", "place")
 
 
-@query("join9_description_fan_out", "select item_id as request, c::int as cand_idx, substr(text, 1, 20) as description from benchmark, range(2) r(c)")
+@query("join9_description_fan_out", "select item_id as request, c::int as cand_idx, text as description from benchmark, range(2) r(c)")
 def join9(spark, d):
-    items = parquet(spark, d, "benchmark")
-    return ranking.fan_out(items.select(F.col("item_id").alias("request")), 2).join(items.select(F.col("item_id").alias("request"), F.substring("text", 1, 20).alias("description")), "request")
+    return ranking.fan_out(parquet(spark, d, "benchmark").select(F.col("item_id").alias("request"), F.col("text").alias("description")), 2).select("request", "cand_idx", "description")
 
 
 _PAIR = "(select a.vec_id, a.v x, b.v y from {v} a join (select label, arg_min(v, vec_id) v from {v} group by label) b using (label))".format(v=V_SQL)
@@ -112,7 +110,7 @@ _PAIR = "(select a.vec_id, a.v x, b.v y from {v} a join (select label, arg_min(v
 def _with_query(spark, d):
     rows = vectors(spark, d)
     first = rows.groupBy("label").agg(F.min_by("v", "vec_id").alias("q"))
-    return rows.join(first, "label")
+    return ranking.paired(rows, first, "label")
 
 
 @query("join10_batched_similarity", f"select vec_id, round(list_dot_product(x, y), 9) score from {_PAIR}")
@@ -127,9 +125,7 @@ def join11(spark, d):
 
 @query("join12_diagonal_similarity", f"select vec_id, round(list_dot_product(v[1:32], v[33:64]), 9) score from {V_SQL}")
 def join12(spark, d):
-    rows = vectors(spark, d)
-    audio, text = rows.select("vec_id", F.slice("v", 1, 32).alias("a")), rows.select("vec_id", F.slice("v", 33, 32).alias("t"))
-    return audio.join(text, "vec_id").select("vec_id", F.round(X.dot(F.col("a"), F.col("t")), 9).alias("score"))
+    return vectors(spark, d).select("vec_id", F.round(X.dot(F.slice("v", 1, 32), F.slice("v", 33, 32)), 9).alias("score"))
 
 
 @query("join13_setting_lookup", "select c_custkey, n_name, r_name from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey")
@@ -138,9 +134,13 @@ def join13(spark, d):
     return parquet(spark, d, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).join(region, F.col("n_regionkey") == F.col("r_regionkey")).select("c_custkey", "n_name", "r_name")
 
 
-@query("join14_gated_fuse", f"select vec_id, round(list_sum(list_transform(range(1, 33), lambda i: v[i] + tanh(0.5) * v[i + 32])), 9) fused from {V_SQL}")
+@query("join14_gated_fuse", f"""
+with p as (select vec_id, v, list_transform(range(8), lambda i: 0.5 * v[33 + i] - 0.25 * v[41 + i] + 0.125 * v[49 + i]) y from {V_SQL}),
+m as (select *, list_avg(y) mean from p), n as (select *, list_avg(list_transform(y, lambda x: (x - mean) * (x - mean))) var from m)
+select vec_id, round(list_sum(list_transform(range(1, 9), lambda i: i * (v[i] + tanh(0.5) * (y[i] - mean) / sqrt(var + 1e-5)))), 7) fused from n""")
 def join14(spark, d):
-    rows = vectors(spark, d)
-    anchor, other = rows.select("vec_id", F.slice("v", 1, 32).alias("a")), rows.select("vec_id", F.slice("v", 33, 32).alias("x"))
-    fused = F.zip_with("a", X.gated(F.col("x"), F.tanh(F.lit(0.5))), lambda a, x: a + x)
-    return anchor.join(other, "vec_id").select("vec_id", F.round(X.total(fused), 9).alias("fused"))
+    # eight outputs of sixteen inputs and eight more: a convolution of width one, normalised, gated and added
+    weight = [[0.5 if j == i else -0.25 if j == i + 8 else 0.125 if j == i + 16 else 0.0 for j in range(24)] for i in range(8)]
+    fused = X.fused(F.slice("v", 1, 8), F.slice("v", 33, 24), weight, F.lit(0.5))
+    place = F.transform(fused, lambda x, i: x * (i + 1))
+    return vectors(spark, d).select("vec_id", F.round(X.total(place), 7).alias("fused"))

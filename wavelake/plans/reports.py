@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.numbers import rounded
 from ..operators import reports
 from ..sources.files import parquet
 from . import query
@@ -50,7 +51,7 @@ def agg5(spark, d):
 @query("agg6_pool_summary", f"select user_id % 8 as worker, {_STATS.format(v='value')}, sum((event_type = 'error')::int)::bigint as failed from events group by 1")
 def agg6(spark, d):
     rows = parquet(spark, d, "events").withColumn("worker", F.col("user_id") % 8)
-    return _rounded(reports.summary(rows, ["worker"], "value", {"failed": F.count_if(F.col("event_type") != "ok") - F.count_if(F.col("event_type") != "error")}))
+    return _rounded(reports.summary(rows, ["worker"], "value", {"failed": F.count_if(F.col("event_type") == "error")}))
 
 
 @query("agg7_ladder_summary", f"select l_linenumber as lane, {_STATS.format(v='l_quantity')}, count(distinct l_suppkey)::bigint as workers, sum((l_tax > 0.05)::int)::bigint as expanded from lineitem group by 1")
@@ -82,16 +83,28 @@ def agg10(spark, d):
     return rows.select("s_suppkey", F.round(F.element_at(got, "quantity"), 2).alias("quantity"), F.round(F.element_at(got, "balance"), 2).alias("balance"))
 
 
-@query("agg11_share_of_total", "select event_type, user_id, round(100 * v / sum(v) over (partition by event_type), 6) as percent from (select event_type, user_id, sum(value) v from events group by 1, 2)")
+@query("agg11_share_of_total", "select event_type, user_id, round(100 * v / sum(v) over (partition by event_type), 1) as percent from (select event_type, user_id, sum(value) v from events group by 1, 2)")
 def agg11(spark, d):
     sums = parquet(spark, d, "events").groupBy("event_type", "user_id").agg(F.sum("value").alias("v"))
-    return reports.shares(sums, ["event_type"], "v").select("event_type", "user_id", F.round("percent", 6).alias("percent"))
+    return reports.shares(sums, ["event_type"], "v").select("event_type", "user_id", "percent")
 
 
-@query("agg14_masked_mean", "select user_id, round(avg(value) filter (where event_type <> 'error') * 1.7 + 0.3, 6) as overall from events group by 1")
+@query("agg14_masked_mean", """
+select user_id, round(avg(value) filter (live) * 1.7 + 0.3, 6) as overall, round(avg(value * 2) filter (live) * 0.5 + 0.1, 6) as faithfulness, round(avg(value - user_id) filter (live) * 1.1, 6) as recall,
+  round(avg(event_id) filter (live) * 0.001 - 1, 6) as "precision" from (select *, event_type <> 'error' live from events) group by 1""")
 def agg14(spark, d):
-    frames = F.when(F.col("event_type") != "error", F.col("value"))
-    return parquet(spark, d, "events").groupBy("user_id").agg(F.round(F.avg(frames) * 1.7 + 0.3, 6).alias("overall"))
+    frames = [F.col("value"), F.col("value") * 2, F.col("value") - F.col("user_id"), F.col("event_id")]
+    scores = reports.judged(frames, F.col("event_type") != "error", [1.7, 0.5, 1.1, 0.001], [0.3, 0.1, 0.0, -1.0])
+    return parquet(spark, d, "events").groupBy("user_id").agg(*[F.round(c, 6).alias(n) for c, n in zip(scores, ("overall", "faithfulness", "recall", "precision"), strict=True)])
+
+
+@query("fn11_rounding", """
+with k as (select o_orderkey, 625 * (o_custkey * 7 + o_orderkey % 16) as n, case when o_orderkey % 2 = 0 then 1 else -1 end as s from orders)
+select o_orderkey, (s * (n // 10 + (n % 10 > 5 or (n % 10 = 5 and (n // 10) % 2 = 1))::int)) / 1000.0::double as rounded from k""")
+def fn11(spark, d):
+    """Sixteenths to three places: every fourth is a tie."""
+    sixteenths = (F.col("o_custkey") * 7 + F.col("o_orderkey") % 16) * F.when(F.col("o_orderkey") % 2 == 0, 1).otherwise(-1)
+    return parquet(spark, d, "orders").select("o_orderkey", rounded(sixteenths / 16, 3).alias("rounded"))
 
 
 @query("agg21_throughput", "select l_shipmonth, count(*)::bigint as chunks, round(count(*) / (sum(l_quantity) / 1000.0), 6) as per_s from (select month(l_shipdate)::int l_shipmonth, l_quantity from lineitem) group by 1")

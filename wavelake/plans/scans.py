@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import names
-from ..operators import filters, reports
+from ..operators import filters, reports, segments
 from ..sources import files
 from ..sources.files import parquet
 from . import E_SQL, events, query
@@ -25,9 +25,12 @@ def src9(spark, d):
     return parquet(spark, d, "documents").where("lang = 'fr' and n_chars > 1000").select("doc_id", "source")
 
 
-@query("src10_extension_filter", "select page_id, url from pages where lower(regexp_extract(url, '/([a-z]+)/[0-9]+', 1)) in ('fr', 'de')")
+@query("src10_extension_filter", """
+with f as (select page_id, url || (['.WAV', '.mp3', '.txt', '.Flac', '', '.wav.bak'])[(page_id % 6)::int + 1] as path from pages)
+select page_id, path from f where regexp_matches(lower(path), '[.](wav|mp3|flac|ogg|m4a|aac)$')""")
 def src10(spark, d):
-    return parquet(spark, d, "pages").where(F.lower(F.regexp_extract("url", "/([a-z]+)/[0-9]+", 1)).isin("fr", "de")).select("page_id", "url")
+    ending = F.get(F.array(*map(F.lit, (".WAV", ".mp3", ".txt", ".Flac", "", ".wav.bak"))), (F.col("page_id") % 6).cast("int"))
+    return files.with_extension(parquet(spark, d, "pages").select("page_id", F.concat("url", ending).alias("path")))
 
 
 @query("src11_warm_up_split", "select s_suppkey, s_name, case when row_number() over (order by s_name) = 1 then 'warmup' else 'benchmark' end as phase from supplier")
@@ -36,32 +39,39 @@ def src11(spark, d):
 
 
 @query("src12_prompt_manifest", """
-select item_id, i::int as place, [substr(text, 1, 12), substr(text, 13, 8)][i + 1] as prompt from benchmark, range(2) r(i) where trim([substr(text, 1, 12), substr(text, 13, 8)][i + 1]) <> ''""")
+select item_id, i::int as place, trim(case when i = 0 then text when i = 1 and item_id % 2 = 0 then reverse(text) when i = 1 then upper(text) else '' end) as prompt from benchmark, range(3) r(i) where i < 2 and trim(text) <> ''""")
 def src12(spark, d):
-    one, two = F.substring("text", 1, 12), F.substring("text", 13, 8)
-    listed = F.to_json(F.struct(F.array(F.struct(one.alias("prompt"), F.lit("x").alias("description")), F.struct(F.lit("").alias("prompt"), two.alias("description"))).alias("items")))
-    rows = parquet(spark, d, "benchmark").select("item_id", "text", listed.alias("manifest"))
-    got = files.prompts(rows, F.col("manifest"))
-    return got.select("item_id", F.col("place").cast("int").alias("place"), F.when(F.col("place") == 0, one).otherwise(two).alias("prompt"))
+    """Whole texts as prompts: even items have an object with items, odd ones a list; the third prompt is empty."""
+    item = lambda prompt, description: F.struct(prompt.alias("prompt"), description.alias("description"))
+    text, none = F.col("text"), F.lit("")
+    listed = F.to_json(F.struct(F.array(item(F.concat(F.lit(" "), text), F.lit("x")), item(none, F.reverse(text)), item(none, none)).alias("items")))
+    plain = F.to_json(F.array(text, F.upper(text), F.lit("  ")))
+    rows = parquet(spark, d, "benchmark").select("item_id", F.when(F.col("item_id") % 2 == 0, listed).otherwise(plain).alias("manifest"))
+    return files.prompts(rows, F.col("manifest")).select("item_id", F.col("place").cast("int").alias("place"), "prompt")
 
 
 @query("src16_summary_scan", "select l_returnflag as run_name, count(*)::bigint as runs, 'lineitem' as source from lineitem group by 1 union all select o_orderstatus, count(*)::bigint, 'orders' from orders group by 1")
 def src16(spark, d):
-    a = parquet(spark, d, "lineitem").groupBy(F.col("l_returnflag").alias("run_name")).agg(F.count(F.lit(1)).alias("runs")).withColumn("source", F.lit("lineitem"))
-    b = parquet(spark, d, "orders").groupBy(F.col("o_orderstatus").alias("run_name")).agg(F.count(F.lit(1)).alias("runs")).withColumn("source", F.lit("orders"))
-    return reports.stacked([a, b])
+    folder = files.scratch(spark)
+    for name, run in (("lineitem", "l_returnflag"), ("orders", "o_orderstatus")):
+        files.write_summary(parquet(spark, d, name).groupBy(F.col(run).alias("run_name")).agg(F.count(F.lit(1)).alias("runs")), f"{folder}/{name}/summary.csv")
+    got = files.read_summaries(spark, f"{folder}/*/summary.csv", "run_name string, runs long")
+    return got.select("run_name", "runs", F.element_at(F.split("source_path", "/"), -3).alias("source"))
 
 
 @query("snk3_json_lines", "select n_nationkey, n_name, n_regionkey from nation")
 def snk3(spark, d):
-    rows = parquet(spark, d, "nation")
-    return rows.select(F.from_json(files.manifest(*map(F.col, sorted(rows.columns))), rows.schema).alias("r")).select("r.*")
+    rows, folder = parquet(spark, d, "nation"), f"{files.scratch(spark)}/rows"
+    for part in (rows.where("n_nationkey % 2 = 0"), rows.where("n_nationkey % 2 = 1")):  # appended
+        files.write_rows(part, folder)
+    return files.read_rows(spark, folder, rows.schema)
 
 
 @query("snk4_csv_rows", "select o_orderkey, o_orderstatus, o_orderpriority from orders")
 def snk4(spark, d):
-    rows = parquet(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
-    return rows.select(F.from_csv(F.to_csv(F.struct(*rows.columns)), rows.schema.simpleString()[7:-1].replace(":", " ")).alias("r")).select("r.*")
+    rows, folder = parquet(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority"), f"{files.scratch(spark)}/rows.csv"
+    files.write_summary(rows, folder)
+    return files.read_summaries(spark, folder, rows.schema).drop("source_path")
 
 
 @query("snk5_manifest", """select c_custkey, '{"customer":"' || c_name || '","nation":' || c_nationkey || ',"segment":"' || c_mktsegment || '"}' as manifest from customer""")
@@ -129,10 +139,12 @@ def flt12(spark, d):
     return parquet(spark, d, "events").select("event_id", F.element_at(got, "k").alias("k"), F.element_at(got, "other").alias("other"))
 
 
-@query("flt14_validation", "select p_partkey, p_size as steps from part where p_size >= 1")
+@query("flt14_validation", """
+select p_partkey, case when p_size % 10 < 1 then 'bad steps' when p_size % 7 < 1 then 'bad candidates' when p_size % 5 < p_size % 7 then 'bad max_candidates' when p_size % 3 - 1 < 0 then 'bad margin' end as reason from part""")
 def flt14(spark, d):
-    rows = parquet(spark, d, "part").where("p_size >= 1").select("p_partkey", F.col("p_size").alias("steps"), F.lit(4).alias("candidates"), F.lit(8).alias("max_candidates"), F.lit(0.05).alias("margin"))
-    return filters.valid_settings(rows).select("p_partkey", "steps")
+    size = F.col("p_size")
+    rows = parquet(spark, d, "part").select("p_partkey", (size % 10).alias("steps"), (size % 7).alias("candidates"), (size % 5).alias("max_candidates"), (size % 3 - 1).alias("margin"))
+    return rows.select("p_partkey", filters.setting_error().alias("reason"))
 
 
 @query("flt15_failures", """
@@ -149,16 +161,25 @@ def set1(spark, d):
     return reports.stacked([parquet(spark, d, "region").select(F.col("r_name").alias("name")), parquet(spark, d, "nation").select(F.col("n_name").alias("name"))])
 
 
-@query("set4_span_concat", "select user_id, count(*)::bigint * 2 as spans from events group by user_id")
+@query("set4_span_concat", """
+select user_id, count(*) filter (event_type = 'click') + count(*) filter (event_type in ('click', 'view')) as spans,
+  round(coalesce(sum(value) filter (event_type = 'click'), 0) + coalesce(sum(value) filter (event_type in ('click', 'view')), 0), 6) as total from events group by user_id""")
 def set4(spark, d):
-    spans = parquet(spark, d, "events").groupBy("user_id").agg(F.collect_list("value").alias("a"))
-    return spans.select("user_id", F.size(F.concat("a", "a")).cast("bigint").alias("spans"))
+    value = lambda *kinds: F.collect_list(F.when(F.col("event_type").isin(*kinds), F.col("value")))
+    lists = parquet(spark, d, "events").groupBy("user_id").agg(value("click").alias("a"), value("click", "view").alias("b"))
+    both = segments.concatenated("a", "b")  # clicks are in both lists and stay twice
+    return lists.select("user_id", F.size(both).cast("bigint").alias("spans"), F.round(F.aggregate(both, F.lit(0.0), lambda s, v: s + v), 6).alias("total"))
 
 
-@query("set6_key_sets", "select event_id, 'a' as missing, 'k' as unexpected from events")
+@query("set6_key_sets", """
+select event_id, case when event_id % 2 = 0 then 'a,b' else 'a' end as missing,
+  case when event_id % 3 = 0 then array_to_string(list_sort([event_type, 'k']), ',') when event_id % 2 = 0 then '' else 'k' end as unexpected from events""")
 def set6(spark, d):
-    keys = F.map_keys(F.from_json("props", "map<string,int>"))
-    got = filters.key_differences(keys, F.array(F.lit("a")))
+    own = F.map_keys(F.from_json("props", "map<string,int>"))  # each has the key k
+    keys = F.when(F.col("event_id") % 3 == 0, F.concat(own, F.array("event_type"))).otherwise(own)
+    even = F.col("event_id") % 2 == 0
+    wanted = F.when(even & (F.col("event_id") % 3 != 0), F.array(*map(F.lit, "kab"))).when(even, F.array(F.lit("b"), F.lit("a"))).otherwise(F.array(F.lit("a")))
+    got = filters.key_differences(keys, wanted)
     return parquet(spark, d, "events").select("event_id", F.array_join(got["missing"], ",").alias("missing"), F.array_join(got["unexpected"], ",").alias("unexpected"))
 
 

@@ -40,16 +40,19 @@ def str6(spark, d):
 
 
 @query("str4_admission", """
-select o_orderkey as request from orders where o_custkey % 7 <> 0 order by o_orderdate, o_orderkey limit 64""")
+select o_orderkey as request from orders where o_custkey % 7 <> 0 and o_orderkey % 5 <> 0 order by o_orderdate, o_orderkey
+limit (select greatest(0, 4096 - count(*)) from orders where o_orderkey % 5 = 0 and o_custkey % 3 = 0)""")
 def str4(spark, d):
-    waiting = parquet(spark, d, "orders").select(F.col("o_orderkey").alias("request"), F.col("o_orderdate").alias("arrived_ms"), "o_custkey")
-    active = waiting.limit(0)
-    return scheduling.admitted(waiting, active, waiting.where("o_custkey % 7 = 0"), 64).select("request")
+    rows = parquet(spark, d, "orders").select(F.col("o_orderkey").alias("request"), F.col("o_orderdate").alias("arrived_ms"), "o_custkey")
+    active, waiting = rows.where("request % 5 = 0 and o_custkey % 3 = 0"), rows.where("request % 5 <> 0")
+    return scheduling.admitted(waiting, active, waiting.where("o_custkey % 7 = 0"), 4096).select("request")
 
 
 @query("set3_merge_and_part", "select l_orderkey as request, count(*)::bigint as n, sum(l_linenumber)::bigint as total from lineitem group by 1")
 def set3(spark, d):
     rows = parquet(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("request")).agg(F.collect_list("l_linenumber").alias("payload"))
-    batch = rows.select("request", F.pmod(F.xxhash64("request"), F.lit(64)).alias("group"), F.col("request").alias("admitted_ms"), "payload")
+    # one group has a third of the requests
+    group = F.when(F.col("request") % 3 == 0, 0).otherwise(1 + F.col("request") % 50)
+    batch = scheduling.batched(rows.select("request", group.alias("group"), F.col("request").alias("admitted_ms"), "payload"), 64)
     back = scheduling.parted(scheduling.merged(batch, "payload"), "payload")
     return back.select("request", F.size("payload").cast("long").alias("n"), F.aggregate("payload", F.lit(0).cast("long"), lambda s, x: s + x).alias("total"))

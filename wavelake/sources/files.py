@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -18,7 +23,24 @@ def parquet(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def listing(spark: SparkSession, folder: str, extensions: tuple[str, ...] = AUDIO, recursive: bool = True) -> DataFrame:
     """Paths, sizes and times of a folder's files with these extensions in any case; contents are not read."""
     rows = spark.read.format("binaryFile").option("recursiveFileLookup", recursive).load(folder).select("path", "length", "modificationTime")
-    return rows.where(F.lower(F.element_at(F.split("path", r"\."), -1)).isin(*extensions))
+    return with_extension(rows, extensions)
+
+
+def with_extension(rows: DataFrame, extensions: tuple[str, ...] = AUDIO) -> DataFrame:
+    """Rows whose path ends with one of the extensions, in any case."""
+    name = F.element_at(F.split("path", "/"), -1)
+    return rows.where(name.contains(".") & F.lower(F.element_at(F.split(name, r"\."), -1)).isin(*extensions))
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder in the one that the session shares (spark.checkpoint.dir); only a local session may do without."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        shared = tempfile.mkdtemp(prefix="wavelake-")
+        atexit.register(shutil.rmtree, shared, ignore_errors=True)
+    return f"{shared}/scratch-{uuid.uuid4().hex}"
 
 
 def first_files(files: DataFrame, limit: int | None = None) -> DataFrame:
