@@ -6,6 +6,7 @@ to target and residual. They run in Arrow batches on the executors; a factory ma
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator, Mapping
 from typing import Any, Protocol
 
@@ -25,6 +26,22 @@ class Model(Protocol):
     def __call__(self, signal: np.ndarray, description: str, seed: int) -> tuple[np.ndarray, np.ndarray]: ...
 
 
+class StepModel(Protocol):
+    """A model whose work is done in steps: states are arrays of floats, and a step takes a whole batch."""
+
+    def begin(self, signal: np.ndarray, description: str, seed: int) -> np.ndarray: ...
+
+    def step(self, states: list[np.ndarray], signals: list[np.ndarray], descriptions: list[str], index: int, steps: int) -> list[np.ndarray]: ...
+
+    def end(self, state: np.ndarray, signal: np.ndarray, description: str) -> tuple[np.ndarray, np.ndarray]: ...
+
+
+class Encoder(Protocol):
+    """Text, vision or audio encoder: one array of floats for each row of a frame."""
+
+    def __call__(self, rows: pd.DataFrame) -> list[np.ndarray]: ...
+
+
 class Codec(Protocol):
     def encode(self, samples: np.ndarray) -> np.ndarray: ...
 
@@ -32,7 +49,7 @@ class Codec(Protocol):
 
 
 RANKERS: dict[str, Callable[[Mapping[str, Any]], Any]] = {}
-_LIVE: dict[Any, Any] = {}  # filled by ``once`` in factories that load weights
+_LIVE: dict[Any, Any] = {}
 
 
 def ranker(kind: str):
@@ -89,11 +106,27 @@ def _sound_activity(config: Mapping[str, Any]):
     return score
 
 
-def once(key: Any, factory: Callable[[], Any]) -> Any:
-    """A worker's own instance of what the factory makes."""
-    if key not in _LIVE:
-        _LIVE[key] = factory()
-    return _LIVE[key]
+@ranker("judge")
+def _judge(config: Mapping[str, Any]):
+    """A figure of an injected judge, which maps a frame to named columns; the overall one unless another is asked for."""
+    model, column = config["model"], config.get("column", "JudgeOverall")
+    return lambda rows: pd.Series(model(rows)[column], rows.index, float)
+
+
+class Shared:
+    """A factory whose product each worker makes once and keeps for later tasks, such as a model with its weights."""
+
+    def __init__(self, factory: Callable[[], Any]):
+        self.factory, self.key = factory, uuid.uuid4().hex
+
+    def __call__(self) -> Any:
+        if self.key not in _LIVE:
+            _LIVE[self.key] = self.factory()
+        return _LIVE[self.key]
+
+
+def shared(factory: Callable[[], Any]) -> Shared:
+    return factory if isinstance(factory, Shared) else Shared(factory)
 
 
 def ranked(candidates: DataFrame, config: Mapping[str, Any]) -> DataFrame:
@@ -118,10 +151,56 @@ def measured(rows: DataFrame, metrics: Mapping[str, Callable[[pd.DataFrame], Map
     return rows.mapInPandas(run, schema)
 
 
+def encoded(rows: DataFrame, factory: Callable[[], Encoder], inputs: list[str], output: str, chunk: int = 0) -> DataFrame:
+    """The rows with an encoder's array as column ``output``; it sees ``inputs``, ``chunk`` rows at a time (0: an Arrow batch)."""
+    make = shared(factory)
+    schema = ", ".join([f"`{n}` {t}" for n, t in rows.dtypes if n != output] + [f"`{output}` array<double>"])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        encoder = make()
+        for some in batches:
+            for at in range(0, len(some), chunk or max(1, len(some))):
+                part = some.iloc[at : at + (chunk or len(some))]
+                yield part.drop(columns=output, errors="ignore").assign(**{output: [np.asarray(x, float) for x in encoder(part[inputs])]})
+
+    return rows.mapInPandas(run, schema)
+
+
+STEP = "request long, cand_idx int, description string, signal array<double>, seed long, state array<double>, index int, steps int"
+
+
+def advanced(rows: DataFrame, factory: Callable[[], Model | StepModel]) -> DataFrame:
+    """One step of each row of STEP: its next state and, after the last step, target and residual. A model without steps does all in the last."""
+    make = shared(factory)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = make()
+        for some in batches:
+            out: list[list] = [[None] * len(some) for _ in range(3)]
+            signals = [np.asarray(x, float) for x in some.signal]
+            last = [i + 1 >= n for i, n in zip(some["index"], some.steps, strict=True)]
+            if hasattr(model, "step"):
+                states = [model.begin(x, d, int(s)) if i == 0 else np.asarray(old, float) for x, d, s, i, old in zip(signals, some.description, some.seed, some["index"], some.state, strict=True)]
+                for (index, steps), part in some.reset_index(drop=True).groupby(["index", "steps"]):
+                    at = part.index.tolist()
+                    for k, state in zip(at, model.step([states[k] for k in at], [signals[k] for k in at], part.description.tolist(), int(index), int(steps)), strict=True):
+                        out[0][k] = np.asarray(state, float)
+                        if last[k]:
+                            out[1][k], out[2][k] = (np.asarray(y, float) for y in model.end(out[0][k], signals[k], some.description.iloc[k]))
+            else:
+                for k in np.flatnonzero(last):
+                    out[1][k], out[2][k] = (np.asarray(y, float) for y in model(signals[k], some.description.iloc[k], int(some.seed.iloc[k])))
+            yield pd.DataFrame({"request": some.request.to_numpy(), "cand_idx": some.cand_idx.to_numpy(), "state": out[0], "target": out[1], "residual": out[2]})
+
+    return rows.mapInPandas(run, "request long, cand_idx int, state array<double>, target array<double>, residual array<double>")
+
+
 def separated(requests: DataFrame, factory: Callable[[], Model]) -> DataFrame:
     """Target and residual of each (request, cand_idx, description, signal, seed), by the injected model."""
+    make = shared(factory)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = factory()
+        model = make()
         for rows in batches:
             both = [model(np.asarray(x, float), d, int(s)) for x, d, s in zip(rows.signal, rows.description, rows.seed, strict=True)]
             yield pd.DataFrame({"request": rows.request, "cand_idx": rows.cand_idx, "target": [np.asarray(t, float) for t, _ in both], "residual": [np.asarray(r, float) for _, r in both]})
