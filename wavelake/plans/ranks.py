@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import vectors as X
-from ..operators import ranking
+from ..operators import prepared, ranking
 from ..sources.files import parquet
 from . import V_SQL, query, vectors
 
@@ -119,3 +119,22 @@ def top3(spark, d):
 @query("top4_sorted_limit", "select page_id, url from pages order by url, page_id limit 100")
 def top4(spark, d):
     return parquet(spark, d, "pages").orderBy("url", "page_id").limit(100).select("page_id", "url")
+
+
+@query("gen2_prepare", """
+select p_partkey request, p_brand, 3 as candidates, length(p_brand) * 1.5::double as brand_figure, p_size % 7 as type_figure from part""")
+def gen2(spark, d):
+    """The brand is encoded once for each distinct brand, the size's remainder once for each remainder."""
+    requests = parquet(spark, d, "part").select(F.col("p_partkey").alias("request"), "p_brand", F.col("p_brand").alias("brand_figure"), (F.col("p_size") % 7).alias("type_figure"))
+    brand = lambda rows: rows.withColumn("brand_figure", F.length("brand_figure") * 1.5)
+    same = lambda rows: rows
+    return prepared.prepare(requests, 3, {"brand_figure": brand, "type_figure": same})
+
+
+@query("gen3_separate_prepared", """
+select p_partkey request, c::int cand_idx, round(p_size + (c + 1 - p_size) * pow(1 - 0.125 + 0.125 * 0.125 / 2, 8), 7) as latent from part, range(3) r(c)""")
+def gen3(spark, d):
+    """The field draws the noise (candidate + 1) to the prepared figure."""
+    ready = prepared.prepare(parquet(spark, d, "part").select(F.col("p_partkey").alias("request"), F.col("p_size").alias("figure")), 3)
+    made = prepared.separate(ready, F.col("cand_idx") + 1, lambda t, y: F.col("figure") - y, 8, 3)
+    return made.select("request", "cand_idx", F.round("latent", 7).alias("latent"))
