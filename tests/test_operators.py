@@ -258,6 +258,17 @@ def test_rounding_is_that_of_the_binary_value(spark):
     assert spark.range(1).select(numbers.rounded(F.lit(float("nan")), 3), numbers.rounded(F.lit(None).cast("double"), 3)).first()[1] is None
 
 
+def test_error_function():
+    x = np.array([0.0, -0.0, 1e-9, 0.1, -0.5, 1.0, 2.0, -3.0, 4.5, 5.9, 6.5, -40.0, np.inf])
+    assert vectors.erf(x) == pytest.approx([math.erf(v) for v in x], rel=1e-13, abs=1e-16)
+    assert np.isnan(vectors.erf(np.array([np.nan])))[0]
+
+
+def test_stretched_rates():
+    plain, slow = layers.rates(64), layers.rates(64, stretch=8.0)
+    assert slow[0] == plain[0] and slow[-1] == pytest.approx(plain[-1] / 8) and (np.diff(slow / plain) <= 1e-12).all()
+
+
 def test_place_in_bounds(spark):
     bounds = [1, 3, 3, 7, 20]
     got = spark.range(25).select("id", numbers.place(F.array(*map(F.lit, bounds)), F.col("id"), len(bounds)).alias("p")).collect()

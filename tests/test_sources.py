@@ -121,3 +121,13 @@ def test_models_are_made_once(tmp_path):
     shared = hooks.Shared(lambda: made.append(1) or "model")
     assert [shared(), shared()] == ["model"] * 2 and made == [1] and hooks.shared(shared) is shared
     assert io.BytesIO(audio.encode_wav(np.zeros(3), 8000)).read(4) == b"RIFF"
+
+
+def test_evaluation_reads_media_ranges(spark, media, tmp_path):
+    from wavelake import evaluate
+
+    rows = spark.createDataFrame([(0, "a.wav", 0.25, 0.5), (1, "b.wav", 0.0, None)], "request long, path string, start_s double, end_s double")
+    got = {r.request: len(r.signal) for r in evaluate.with_signals(rows, str(tmp_path), 8000).collect()}
+    assert got == {0: 2000, 1: 16000}
+    with pytest.raises(Exception, match="bad.wav"):
+        evaluate.with_signals(spark.createDataFrame([(0, "bad.wav", 0.0, 1.0)], rows.schema), str(tmp_path)).collect()

@@ -1,6 +1,7 @@
 """Evaluation of an injected model over a benchmark table: ``python -m wavelake.evaluate -s sfx -p my_models:make``.
 
-The table under --cache-path is ``<dataset>.parquet`` with request, description, signal, paper_eval_sets and whatever the metrics read. The
+The table under --cache-path is ``<dataset>.parquet`` with request, description, signal, paper_eval_sets and whatever the metrics read; or,
+in place of signal, the path of a media file under --cache-path with start_s and end_s, of which only that range is decoded. The
 checkpoint names a Python function that makes the model; an optional second one, after a comma, makes the metrics (name to function).
 """
 
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from .models import hooks
 from .operators import filters, reports
+from .sources import audio
 
 #: Settings: dataset, span prompts, visual prompts, subset; fixed values.
 SETTINGS = {
@@ -48,6 +50,18 @@ def rows_of(table: DataFrame, setting: str) -> DataFrame:
     return table if subset is None else table.where(filters.in_subset(F.col("paper_eval_sets"), subset, is_list))
 
 
+def with_signals(rows: DataFrame, folder: str, rate: int = 48000, decode: audio.Decoder = audio.decode_wav) -> DataFrame:
+    """The rows with mono samples of their media ranges; an unreadable one is an error."""
+    if "signal" in rows.columns:
+        return rows
+    # only files that the rows name are read
+    files = rows.sparkSession.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.wav").load(folder)
+    files = files.withColumn("path", F.substring_index("path", "/", -1))
+    got = audio.sliced(rows.withColumn("path", F.substring_index("path", "/", -1)), files, rate, decode)
+    sound = F.assert_true(F.col("error").isNull(), F.concat(F.col("path"), F.lit(": "), F.col("error")))
+    return got.where(sound.isNull()).drop("error").withColumnRenamed("samples", "signal")
+
+
 def evaluated(rows: DataFrame, factory, metrics: dict, columns: list[str], candidates: int = 8, scorer=None) -> DataFrame:
     """One row: the mean of each figure over the setting's rows."""
     results = rows.join(hooks.separate(rows.select("request", "description", "signal"), factory, scorer, candidates), "request")
@@ -88,7 +102,7 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> di
     out = {}
     for setting in opt.setting:
         table = spark.read.parquet(f"{opt.cache_path}/{SETTINGS[setting][0]}.parquet").repartition(max(1, opt.num_workers))
-        got = evaluated(rows_of(table, setting), _named(model), metrics, list(metrics), opt.candidates).first().asDict()
+        got = evaluated(with_signals(rows_of(table, setting), opt.cache_path), _named(model), metrics, list(metrics), opt.candidates).first().asDict()
         out[setting] = {k: f"{v:.3f}" if v is not None else "" for k, v in got.items()}
         os.makedirs("results", exist_ok=True)
         with open(f"results/{setting}.json", "w") as f:

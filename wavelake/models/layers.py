@@ -6,6 +6,8 @@ import math
 
 import numpy as np
 
+from ..functions.vectors import erf
+
 
 def rms_norm(x: np.ndarray, weight: np.ndarray | None = None, eps: float = 1e-5) -> np.ndarray:
     out = x / np.sqrt((x * x).mean(-1, keepdims=True) + eps)
@@ -17,7 +19,7 @@ def silu(x: np.ndarray) -> np.ndarray:
 
 
 def gelu(x: np.ndarray) -> np.ndarray:
-    return 0.5 * x * (1 + np.vectorize(math.erf)(x / math.sqrt(2)))
+    return 0.5 * x * (1 + erf(x / math.sqrt(2)))
 
 
 def swiglu(x: np.ndarray, gate: np.ndarray, up: np.ndarray, down: np.ndarray) -> np.ndarray:
@@ -45,9 +47,20 @@ def attention(q: np.ndarray, k: np.ndarray, v: np.ndarray, heads: int, key_mask:
     return join_heads(weight / np.where(total > 0, total, 1) @ v)
 
 
-def rotate(x: np.ndarray, theta: float = 10000.0) -> np.ndarray:
+def rates(width: int, theta: float = 10000.0, stretch: float = 1.0, low: float = 1.0, high: float = 4.0, span: float = 8192.0) -> np.ndarray:
+    """Angles by position of each pair. With ``stretch`` over 1, rates that turn less than ``low`` times in ``span`` positions are slowed by it,
+    those that turn more than ``high`` times are not, and those between are mixed in proportion."""
+    rate = theta ** (-np.arange(0, width, 2) / width)
+    if stretch == 1.0:
+        return rate
+    turns = span * rate / (2 * math.pi)
+    keep = np.clip((turns - low) / (high - low), 0, 1)
+    return rate * (keep + (1 - keep) / stretch)
+
+
+def rotate(x: np.ndarray, theta: float = 10000.0, stretch: float = 1.0) -> np.ndarray:
     """Rotary positions over (time, channels), neighbours paired."""
-    angle = np.arange(len(x))[:, None] * theta ** (-np.arange(0, x.shape[1], 2) / x.shape[1])
+    angle = np.arange(len(x))[:, None] * rates(x.shape[1], theta, stretch)
     even, odd = x[:, 0::2], x[:, 1::2]
     out = np.empty_like(x)
     out[:, 0::2] = even * np.cos(angle) - odd * np.sin(angle)

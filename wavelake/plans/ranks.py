@@ -10,20 +10,21 @@ from ..operators import prepared, ranking
 from ..sources.files import parquet
 from . import V_SQL, query, vectors
 
-# each request is a label and a group of ten vectors, so candidates stay few whatever the size
-_C_SQL = f"""(select request, cand_idx, vec_id, v, q from (select label * 100000 + vec_id // 100 as request, (row_number() over (partition by label, vec_id // 100 order by vec_id) - 1)::int cand_idx, vec_id, v,
-  first(v) over (partition by label, vec_id // 100 order by vec_id) q from {V_SQL}))"""
-_S_SQL = f"(select request, cand_idx, round(list_dot_product(v, q), 9) score from {_C_SQL} where cand_idx > 0)"
+# two labels are one request each, with a tenth of the vectors; the others are cut into groups of a hundred ids; the first vector asks
+_C_SQL = f"""(select request, vec_id::int cand_idx, vec_id, v, first(v) over w q, first(vec_id) over w asker from (select case when label < 2 then label::bigint else label * 100000 + vec_id // 100 end request, vec_id, v from {V_SQL})
+  window w as (partition by request order by vec_id))"""
+_S_SQL = f"(select request, cand_idx, round(list_dot_product(v, q), 9) score from {_C_SQL} where vec_id > asker)"
 
 
 def _candidates(spark, d):
-    rows = vectors(spark, d).withColumn("request", F.col("label") * F.lit(100000).cast("long") + F.floor(F.col("vec_id") / 100))
-    order = Window.partitionBy("request").orderBy("vec_id")
-    return rows.select("request", (F.row_number().over(order) - 1).alias("cand_idx"), "vec_id", "v", F.first("v").over(order).alias("q"))
+    request = F.when(F.col("label") < 2, F.col("label").cast("long")).otherwise(F.col("label") * F.lit(100000).cast("long") + F.floor(F.col("vec_id") / 100))
+    rows = vectors(spark, d).select(request.alias("request"), F.col("vec_id").cast("int").alias("cand_idx"), "vec_id", "v")
+    asking = rows.groupBy("request").agg(F.min_by("v", "vec_id").alias("q"), F.min("vec_id").alias("asker"))
+    return ranking.paired(rows, asking, "request")
 
 
 def _scores(spark, d):
-    return _candidates(spark, d).where("cand_idx > 0").select("request", "cand_idx", F.round(X.dot(F.col("v"), F.col("q")), 9).alias("score"))
+    return _candidates(spark, d).where("vec_id > asker").select("request", "cand_idx", F.round(X.dot(F.col("v"), F.col("q")), 9).alias("score"))
 
 
 @query("agg13_arg_max_candidate", f"select request, cand_idx, score from {_S_SQL} qualify row_number() over (partition by request order by score desc, cand_idx) = 1")
