@@ -6,10 +6,11 @@ import wave
 import zipfile
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from wavelake.models import checkpoints, hooks
+from wavelake.models import checkpoints, hooks, judge, layers
 from wavelake.operators import prepared
 from wavelake.sources import audio, download, video
 
@@ -131,3 +132,30 @@ def test_evaluation_reads_media_ranges(spark, media, tmp_path):
     assert got == {0: 2000, 1: 16000}
     with pytest.raises(Exception, match="bad.wav"):
         evaluate.with_signals(spark.createDataFrame([(0, "bad.wav", 0.0, 1.0)], rows.schema), str(tmp_path)).collect()
+
+
+def test_judges_take_paths_and_arrays(tmp_path):
+    (tmp_path / "a.wav").write_bytes(audio.encode_wav(np.linspace(0, 0.5, 10), 8000))
+    batch, mask = judge.ingested([str(tmp_path / "a.wav"), np.arange(4.0), np.arange(3.0)[None]], 8000, 4)
+    assert batch.shape == (3, 12) and mask.sum(1).tolist() == [12, 4, 4] and batch[2, :4].tolist() == [0.0, 1.0, 2.0, 1.0]
+    assert batch[0, 10] == pytest.approx(batch[0, 8]) and judge.ingested(str(tmp_path / "a.wav"), 8000, 5)[0].shape == (1, 10)
+    with pytest.raises(ValueError, match="8000"):
+        judge.ingested([np.zeros(4)], 8000, 4, given_rate=44100)
+    with pytest.raises(ValueError, match="one channel"):
+        judge.ingested([np.zeros((2, 4))], 8000, 4)
+    tokens = lambda texts: {"ids": np.array([[len(t)] * 600 for t in texts])}
+    model = judge.ranker_model(judge.processor(8000, 4, tokens), lambda b: {"JudgeOverall": b["ids"].sum(1) + b["separated_values"].sum(1)})
+    rows = pd.DataFrame({"description": ["ab", "c"], "input": [np.zeros(4), np.zeros(8)], "separated": [np.ones(4), np.ones(8)]})
+    assert hooks.create({"kind": "judge", "model": model})(rows).tolist() == [512 * 2 + 4, 512 + 8]
+
+
+def test_patches_and_context():
+    draw = np.random.default_rng(0)
+    x = draw.normal(size=(6, 3))
+    w = {"norm1": np.ones(3), "norm1_bias": np.zeros(3), "conv1": draw.normal(size=(4, 3, 3)), "conv1_bias": np.ones(4), "norm2": np.ones(4), "norm2_bias": np.zeros(4), "conv2": draw.normal(size=(4, 4, 3)), "conv2_bias": np.zeros(4), "skip": draw.normal(size=(4, 3)), "skip_bias": np.zeros(4)}
+    y = layers.centred(x, w["conv1"], w["conv1_bias"])
+    at = lambda t: x[t] if 0 <= t < 6 else np.zeros(3)
+    assert y[0] == pytest.approx(sum(w["conv1"][:, :, k] @ at(k - 1) for k in range(3)) + 1)
+    got = layers.patch(x, w, 2)
+    assert got.shape == (3, 8) and layers.patch(x, w, 1)[3].tolist() == pytest.approx(got[1].reshape(4, 2)[:, 1].tolist())
+    assert layers.context(x, w["skip"], w["skip"], np.eye(4)[:2], np.ones(3)).shape == (6, 2)

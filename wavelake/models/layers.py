@@ -78,6 +78,33 @@ def convolve(x: np.ndarray, kernel: np.ndarray, stride: int = 1) -> np.ndarray:
     return np.einsum("twi,oiw->to", windows, kernel)
 
 
+def context(x: np.ndarray, gate: np.ndarray, up: np.ndarray, down: np.ndarray, norm: np.ndarray | None = None) -> np.ndarray:
+    """Text or other states brought to a block's width by a gated projection, after a norm if its weight is given."""
+    return swiglu(x if norm is None else rms_norm(x, norm), gate, up, down)
+
+
+def whole_norm(x: np.ndarray, weight: np.ndarray, bias: np.ndarray, eps: float = 1e-5) -> np.ndarray:
+    """One group: mean and spread over all times and channels, then a scale and shift for each channel."""
+    return (x - x.mean()) / np.sqrt(x.var() + eps) * weight + bias
+
+
+def centred(x: np.ndarray, kernel: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """(time, in) with kernel (out, in, width) at stride 1: zeros on both sides, on the left one more where they differ."""
+    width = kernel.shape[2]
+    right = (width - 1) // 2
+    padded = np.pad(x, ((width - 1 - right, right), (0, 0)))
+    windows = np.stack([padded[k : k + width] for k in range(len(x))])
+    return np.einsum("twi,oiw->to", windows, kernel) + bias
+
+
+def patch(x: np.ndarray, w: dict[str, np.ndarray], size: int) -> np.ndarray:
+    """Residual patcher: two normed convolutions beside a shortcut of width one, then ``size`` times in one, channel by channel."""
+    y = centred(silu(whole_norm(x, w["norm1"], w["norm1_bias"])), w["conv1"], w["conv1_bias"])
+    y = centred(silu(whole_norm(y, w["norm2"], w["norm2_bias"])), w["conv2"], w["conv2_bias"])
+    y = y + (x @ w["skip"].T + w["skip_bias"] if "skip" in w else x)
+    return y.reshape(len(y) // size, size, -1).transpose(0, 2, 1).reshape(len(y) // size, -1)
+
+
 def block(x: np.ndarray, context: np.ndarray, w: dict[str, np.ndarray], heads: int, context_mask: np.ndarray | None = None) -> np.ndarray:
     """A transformer block with scale, shift and gate for each part: attention, attention to the context, feed-forward."""
     s = w["modulation"].reshape(6, -1)
