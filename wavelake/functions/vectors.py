@@ -118,11 +118,19 @@ def timestep_embedding(t: Column, width: int, period: float = 10000.0) -> Column
     return F.array(*[F.cos(t * r) for r in rates], *[F.sin(t * r) for r in rates])
 
 
-def rotated(x: Column, position: Column, theta: float = 10000.0) -> Column:
-    """Rotary position: neighbours (x0, x1), (x2, x3), ... turn by position times their rate."""
+def rotated(x: Column, position: Column, theta: float = 10000.0, stretch: float = 1.0, low: float = 1.0, high: float = 32.0, span: float = 8192.0) -> Column:
+    """Rotary position: neighbours (x0, x1), (x2, x3), ... turn by position times their rate.
+
+    With ``stretch`` over 1, rates that turn less than ``low`` times in ``span`` positions are slowed by it, those that turn more than ``high``
+    times are not, and those between are mixed in proportion.
+    """
     def turned(i: Column) -> Column:
         pair = F.floor(i / 2).cast("int")
-        angle = position * F.exp(-2.0 * pair / F.size(x) * math.log(theta))
+        rate = F.exp(-2.0 * pair / F.size(x) * math.log(theta))
+        if stretch != 1.0:
+            keep = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (span / (2 * math.pi) * rate - low) / (high - low)))
+            rate = rate * (keep + (1 - keep) / stretch)
+        angle = position * rate
         even, odd = F.get(x, pair * 2), F.get(x, pair * 2 + 1)
         return F.when(i % 2 == 0, even * F.cos(angle) - odd * F.sin(angle)).otherwise(even * F.sin(angle) + odd * F.cos(angle))
 

@@ -47,7 +47,7 @@ def attention(q: np.ndarray, k: np.ndarray, v: np.ndarray, heads: int, key_mask:
     return join_heads(weight / np.where(total > 0, total, 1) @ v)
 
 
-def rates(width: int, theta: float = 10000.0, stretch: float = 1.0, low: float = 1.0, high: float = 4.0, span: float = 8192.0) -> np.ndarray:
+def rates(width: int, theta: float = 10000.0, stretch: float = 1.0, low: float = 1.0, high: float = 32.0, span: float = 8192.0) -> np.ndarray:
     """Angles by position of each pair. With ``stretch`` over 1, rates that turn less than ``low`` times in ``span`` positions are slowed by it,
     those that turn more than ``high`` times are not, and those between are mixed in proportion."""
     rate = theta ** (-np.arange(0, width, 2) / width)

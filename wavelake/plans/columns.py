@@ -106,6 +106,14 @@ def fn29(spark, d):
     return vectors(spark, d).select("vec_id", _sum(X.rotated(F.col("v"), F.col("vec_id") % 50)).alias("figure"))
 
 
+@query("fn29_rotary_stretched", f"""
+with r as (select vec_id, v, vec_id % 50 p, list_transform(range(32), lambda k: exp(-2.0 * k / 64 * ln(10000))) f from {V_SQL}),
+s as (select vec_id, v, p, list_transform(f, lambda x: x * (greatest(0, least(1, (8192 / (2 * pi()) * x - 1) / 31)) + (1 - greatest(0, least(1, (8192 / (2 * pi()) * x - 1) / 31))) / 8)) f from r)
+select vec_id, {_W.format(x='''list_transform(range(0, 64), lambda i: case when i % 2 = 0 then v[i + 1] * cos(p * f[i // 2 + 1]) - v[i + 2] * sin(p * f[i // 2 + 1]) else v[i] * sin(p * f[i // 2 + 1]) + v[i + 1] * cos(p * f[i // 2 + 1]) end)''')} figure from s""")
+def fn29_stretched(spark, d):
+    return vectors(spark, d).select("vec_id", _sum(X.rotated(F.col("v"), F.col("vec_id") % 50, stretch=8.0)).alias("figure"))
+
+
 @query("fn31_midpoint", "select p_partkey, round(p_retailprice * pow(1 + h + h * h / 2, p_size), 3) as y from (select *, 1.0::double / p_size as h from part where p_size > 0)")
 def fn31(spark, d):
     return parquet(spark, d, "part").where("p_size > 0").select("p_partkey", F.round(solver.midpoint(lambda t, y: y, F.col("p_retailprice"), F.col("p_size")), 3).alias("y"))
