@@ -10,8 +10,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from wavelake.models import checkpoints, hooks, judge, layers
-from wavelake.operators import prepared
+from wavelake.models import batch, checkpoints, hooks, judge, layers
+from wavelake.operators import alignment, prepared
 from wavelake.sources import audio, download, video
 
 
@@ -159,3 +159,33 @@ def test_patches_and_context():
     got = layers.patch(x, w, 2)
     assert got.shape == (3, 8) and layers.patch(x, w, 1)[3].tolist() == pytest.approx(got[1].reshape(4, 2)[:, 1].tolist())
     assert layers.context(x, w["skip"], w["skip"], np.eye(4)[:2], np.ones(3)).shape == (6, 2)
+
+
+def test_batches_have_anchors_like_the_join(spark):
+    anchors = [[{"token": "+", "start_s": 0.1, "end_s": 0.3}, {"token": "-", "start_s": 0.2, "end_s": 9.0}], None]
+    rows = pd.DataFrame({"signal": [np.ones(1920 * 9 + 1), np.ones(1920 * 4)], "description": ["a", "b"], "anchors": anchors})
+    got = batch.collated(rows)
+    assert got["sizes"].tolist() == [10, 4] and got["anchor_ids"].tolist() == [[0, 3, 1, 2], [0, 3, 3, 3]] and got["samples"].shape == (2, 19200)
+    spans = spark.createDataFrame([(0, k, a["start_s"], a["end_s"]) for k, a in enumerate(anchors[0])], "request long, ordinal long, start_s double, end_s double")
+    sizes = spark.createDataFrame([(0, 10, 10), (1, 4, 10)], "request long, size long, longest long")
+    for r in alignment.spans_on_frames(spans, sizes).collect():
+        assert got["alignment"][r.request, r.frame] == r.slot
+
+
+def test_rankers_from_plain_configurations():
+    config = hooks.parse({"kind": "ensemble", "rankers": {"text": [{"kind": "clap", "left": "a", "right": "b"}, 0.25], "sound": {"ranker": {"kind": "sound_activity", "metric": "recall"}, "weight": 2}}})
+    assert {k: (c.kind, w) for k, (c, w) in config.parts.items()} == {"text": ("clap", 0.25), "sound": ("sound_activity", 2.0)}
+    rows = pd.DataFrame({"a": [[1.0, 2.0]], "b": [[3.0, 4.0]], "found": [[{"start_s": 0.0, "end_s": 1.0}]], "wanted": [[{"start_s": 0.0, "end_s": 2.0, "token": "+"}]]})
+    assert hooks.create(config)(rows).tolist() == [0.25 * 11 + 2 * 0.5]
+    assert hooks.create({"kind": "imagebind", "left": "a", "right": "a"})(rows)[0] == pytest.approx(1.0) and hooks.create(None) is None
+    with pytest.raises(ValueError, match="unknown kind"):
+        hooks.parse({"kind": "ensemble", "rankers": {"x": [{"kind": "y"}, 1]}})
+
+
+def test_layers_over_rows(spark):
+    draw = np.random.default_rng(1)
+    w = {k: draw.normal(size=(4, 4)) for k in ("q", "k", "v", "o", "cq", "ck", "cv", "co", "gate", "up", "down")} | {"modulation": draw.normal(size=24)}
+    x, c = draw.normal(size=(3, 4)), draw.normal(size=(2, 4))
+    rows = spark.createDataFrame([(1, x.ravel().tolist(), c.ravel().tolist())], "id int, x array<double>, c array<double>")
+    got = hooks.layered(rows, layers.block, ["x", "c"], "y", 4, {"w": w}, heads=2).first().y
+    assert got == pytest.approx(layers.block(x, c, w, 2).ravel().tolist())

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator, Mapping
+from dataclasses import dataclass, field
 from typing import Any, Protocol
 
 import numpy as np
@@ -61,27 +62,48 @@ def ranker(kind: str):
     return add
 
 
-def create(config: Mapping[str, Any] | None):
-    """The ranker of a configuration (``kind`` and its settings), or None for none; an unknown kind is an error."""
+@dataclass(frozen=True)
+class RankerConfig:
+    """A kind with its settings; an ensemble has parts with weights."""
+
+    kind: str
+    settings: Mapping[str, Any] = field(default_factory=dict)
+    parts: Mapping[str, tuple[RankerConfig, float]] = field(default_factory=dict)
+
+
+def parse(config: Mapping[str, Any]) -> RankerConfig:
+    """A configuration from plain values: ``kind`` and its settings; an unknown kind is an error. An ensemble's rankers are pairs of
+    configuration and weight, or objects of ``ranker`` and ``weight``."""
+    kind = config.get("kind")
+    if kind not in RANKERS:
+        raise ValueError(f"unknown kind of ranker: {kind}")
+    settings = {k: v for k, v in config.items() if k != "kind"}
+    pairs = {name: (p["ranker"], p["weight"]) if isinstance(p, Mapping) else p for name, p in settings.pop("rankers", {}).items()} if kind == "ensemble" else {}
+    return RankerConfig(kind, settings, {name: (parse(c), float(w)) for name, (c, w) in pairs.items()})
+
+
+def create(config: Mapping[str, Any] | RankerConfig | None):
+    """The ranker of a configuration, or None for none."""
     if config is None:
         return None
-    if config.get("kind") not in RANKERS:
-        raise ValueError(f"unknown kind of ranker: {config.get('kind')}")
-    return RANKERS[config["kind"]](config)
+    config = config if isinstance(config, RankerConfig) else parse(config)
+    return RANKERS[config.kind](config.settings if config.kind != "ensemble" else config)
 
 
 @ranker("ensemble")
-def _ensemble(config: Mapping[str, Any]):
-    parts = {name: (create(c["ranker"]), float(c["weight"])) for name, c in config["rankers"].items()}
+def _ensemble(config: RankerConfig):
+    parts = {name: (create(c), w) for name, (c, w) in config.parts.items()}
     return lambda rows: sum(w * r(rows) for r, w in parts.values())
 
 
+@ranker("clap")  # text and audio embeddings, which the encoders have normalised
 @ranker("dot")
 def _dot(config: Mapping[str, Any]):
     left, right = config.get("left", "embedding"), config.get("right", "query")
     return lambda rows: pd.Series([float(np.dot(a, b)) for a, b in zip(rows[left], rows[right], strict=True)], rows.index, float)
 
 
+@ranker("imagebind")  # video and audio embeddings
 @ranker("cosine")
 def _cosine(config: Mapping[str, Any]):
     left, right = config.get("left", "embedding"), config.get("right", "query")
@@ -166,6 +188,19 @@ def encoded(rows: DataFrame, factory: Callable[[], Encoder], inputs: list[str],
     return rows.mapInPandas(run, schema)
 
 
+def layered(rows: DataFrame, layer: Callable[..., np.ndarray], inputs: list[str], output: str, width: int, weights: Mapping[str, np.ndarray] | None = None, **settings) -> DataFrame:
+    """The rows with a layer's result as column ``output``: ``inputs`` are flat (time, width) arrays, of which the layer takes one each.
+
+    The weights travel once to each executor; their size is the layer's, whatever the rows.
+    """
+    shipped = rows.sparkSession.sparkContext.broadcast(dict(weights or {}))
+
+    def make() -> Encoder:
+        return lambda part: [layer(*(np.asarray(x, float).reshape(-1, width) for x in row), **shipped.value, **settings).ravel() for row in part[inputs].itertuples(index=False)]
+
+    return encoded(rows, make, inputs, output)
+
+
 STEP = "request long, cand_idx int, description string, signal array<double>, seed long, state array<double>, index int, steps int"
 
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from ..functions import solver
 from ..functions import timeline as T
 from ..functions import vectors as X
+from ..models import hooks, layers
 from ..operators import filters, segments
 from ..sources.files import parquet
 from . import V_SQL, query, vectors
@@ -100,6 +102,28 @@ def fn26(spark, d):
     return parquet(spark, d, "part").select("p_partkey", _sum(X.timestep_embedding(F.col("p_size") / 50, 16)).alias("figure"))
 
 
+@query("fn23_gated_projection", f"""
+select vec_id, {_W.format(x="list_transform(range(1, 17), lambda i: 3 * (2 * v[i] / (1 + exp(-2 * v[i]))) * (0.5 * v[i] - v[i % 16 + 1]))")} figure from {V_SQL}""")
+def fn23(spark, d):
+    """A gate of twice the input, a projection that mixes neighbours, and three times the product."""
+    eye = np.eye(16)
+    rows = vectors(spark, d).select("vec_id", F.slice("v", 1, 16).alias("x"))
+    got = hooks.layered(rows, layers.swiglu, ["x"], "y", 16, {"gate": 2 * eye, "up": 0.5 * eye - np.roll(eye, 1, 1), "down": 3 * eye})
+    return got.select("vec_id", _sum(F.col("y")).alias("figure"))
+
+
+@query("fn24_attention", f"""
+with x as (select vec_id, 1 + vec_id % 4 n, list_transform(range(4), lambda t: v[2 * t + 1:2 * t + 2]) x from {V_SQL}),
+s as (select *, list_transform(x, lambda q: list_transform(x[1:n], lambda k: exp(list_dot_product(q, k) / sqrt(2)))) e from x),
+y as (select vec_id, flatten(list_transform(e, lambda w: list_transform([1, 2], lambda c: list_sum(list_transform(range(1, n + 1), lambda k: w[k] * x[k][c])) / list_sum(w)))) y from s)
+select vec_id, {_W.format(x="y")} figure from y""")
+def fn24(spark, d):
+    """Four places of two channels attend to the first 1 to 4 of them."""
+    rows = vectors(spark, d).select("vec_id", F.slice("v", 1, 8).alias("x"), F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: (F.floor(i / 2) < 1 + F.col("vec_id") % 4).cast("double")).alias("mask"))
+    got = hooks.layered(rows, lambda x, mask: layers.attention(x, x, x, 1, mask[:, 0] > 0), ["x", "mask"], "y", 2)
+    return got.select("vec_id", _sum(F.col("y")).alias("figure"))
+
+
 @query("fn29_rotary", f"""select vec_id, {_W.format(x='''list_transform(range(0, 64), lambda i: case when i % 2 = 0 then v[i + 1] * cos(p * exp(-2.0 * (i // 2) / 64 * ln(10000))) - v[i + 2] * sin(p * exp(-2.0 * (i // 2) / 64 * ln(10000)))
   else v[i] * sin(p * exp(-2.0 * (i // 2) / 64 * ln(10000))) + v[i + 1] * cos(p * exp(-2.0 * (i // 2) / 64 * ln(10000))) end)''')} figure from (select vec_id, v, vec_id % 50 p from {V_SQL})""")
 def fn29(spark, d):
