@@ -21,7 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import free, staged, table
+from .common import free, let, staged, table
 from .packing import word_count
 
 DIMS = ("source", "lang", "topic")
@@ -30,20 +30,19 @@ POWERS = {"source": 0.7, "lang": 0.6, "topic": 0.8}
 BUDGET, TOLERANCE, SEED = 0.5, 1e-12, "mix-1"
 #: Sweeps over the marginals between two tests of the gap.
 SWEEPS = 8
-DIGITS, MARKS = "0123456789", "#*$%&|<>!=+_{}[]()/~^@"
 
 
 def topic(text: Column, n_tokens: Column) -> Column:
-    """The form of a text: by its shares of digits and of marks, then by its length."""
-    without = lambda some: F.length(text) - F.length(F.translate(text, some, ""))
-    return F.when(n_tokens == 0, "empty").when(10 * without(DIGITS) >= F.length(text), "figures").when(20 * without(MARKS) >= F.length(text), "marked").when(n_tokens < 100, "note").when(n_tokens >= 1000, "long").otherwise("prose")
+    """The form of a text: many line breaks, long words, or by its length."""
+    breaks = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit("")))
+    return F.when(n_tokens == 0, "empty").when(10 * breaks >= n_tokens, "lines").when(F.length(text) >= 9 * n_tokens, "dense").when(n_tokens < 100, "note").when(n_tokens >= 1000, "long").otherwise("prose")
 
 
 def keyed(docs: DataFrame) -> Column:
     """A struct of source, lang, topic and n_tokens for each row of ``docs``."""
     name = lambda c: F.coalesce(F.nullif(c.cast("string"), F.lit("")), F.lit("(none)"))
-    form = docs["topic"] if "topic" in docs.columns else topic(docs["text"], word_count(docs["text"]))
-    return F.struct(name(docs["source"]).alias("source"), name(docs["lang"]).alias("lang"), name(form).alias("topic"), word_count(docs["text"]).alias("n_tokens"))
+    form = lambda n: docs["topic"] if "topic" in docs.columns else topic(docs["text"], n)
+    return let(word_count(docs["text"]), lambda n: F.struct(name(docs["source"]).alias("source"), name(docs["lang"]).alias("lang"), name(form(n)).alias("topic"), n.alias("n_tokens")))
 
 
 def _target(d: str, targets: dict | None, power: float) -> Column:
@@ -141,8 +140,8 @@ def oracle(rounds: int = 32, scalings: int = 16) -> str:
     return f"""
 with n as (select doc_id, text, coalesce(nullif(source, ''), '(none)') source, coalesce(nullif(lang, ''), '(none)') lang,
     coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::bigint n_tokens from documents),
-d as materialized (select doc_id, source, lang, n_tokens, case when n_tokens = 0 then 'empty' when 10 * (length(text) - length(translate(text, '{DIGITS}', ''))) >= length(text) then 'figures'
-    when 20 * (length(text) - length(translate(text, '{MARKS}', ''))) >= length(text) then 'marked' when n_tokens < 100 then 'note' when n_tokens >= 1000 then 'long' else 'prose' end topic from n),
+d as materialized (select doc_id, source, lang, n_tokens, case when n_tokens = 0 then 'empty' when 10 * (length(text) - length(replace(text, chr(10), ''))) >= n_tokens then 'lines'
+    when length(text) >= 9 * n_tokens then 'dense' when n_tokens < 100 then 'note' when n_tokens >= 1000 then 'long' else 'prose' end topic from n),
 c as (select source, lang, topic, sum(n_tokens)::double tokens from d group by all having sum(n_tokens) > 0),
 c0 as materialized (select *, {targets}, tokens weight from c),
 {", ".join(steps)},

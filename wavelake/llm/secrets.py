@@ -26,7 +26,7 @@ from math import log, log10, sqrt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import free, table
+from .common import free, let, table
 
 # Fixed values of the base rules: pattern, least length, and whether the length is the second group's.
 BASE = {
@@ -102,11 +102,6 @@ def upper_tail(z: Column) -> Column:
     return F.when(z >= 0, p).otherwise(1 - p)
 
 
-def let(value: Column, use) -> Column:
-    """``use`` of a value that is computed once, however often it appears there."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
 def times(text: Column, what: Column) -> Column:
     """How often ``what`` occurs in ``text``; occurrences can't overlap here."""
     return ((F.length(text) - F.length(F.replace(text, what, F.lit("")))) / F.length(what)).cast("double")
