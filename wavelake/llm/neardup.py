@@ -98,9 +98,9 @@ def components(edges: DataFrame) -> DataFrame:
     before = None
     while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low")).repartition("low")
+        low = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low")).repartition(F.xxhash64("a"))
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("low")).repartition("low")
+        low = large.groupBy("a").agg(F.min("b").alias("low")).repartition(F.xxhash64("a"))
         pairs = large.join(low, "a").select(F.explode(F.array(F.struct("a", F.col("low").alias("b")), F.struct(F.col("b").alias("a"), F.col("low").alias("b")))).alias("e")).select("e.a", "e.b").where("a <> b").distinct()
         edges = staged(pairs, edges)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
@@ -188,7 +188,7 @@ def grouped(docs: DataFrame, similarity: float = SIMILARITY, recall: float = REC
     sets = signs.where("key_a is not null").groupBy("key_a", "key_b").agg(F.min("row").alias("member"), F.min("doc_id").alias("low_doc"), F.count("*").alias("weight"), F.first("items").alias("items"), F.first("bands").alias("bands"))
     members = staged(sets)
     banded = members.select("member", F.posexplode("bands").alias("band", "hash"))
-    lowest = banded.groupBy("band", "hash").agg(F.min("member").alias("low"), F.max("member").alias("high")).where("low < high").drop("high").repartition("low")
+    lowest = banded.groupBy("band", "hash").agg(F.min("member").alias("low"), F.max("member").alias("high")).where("low < high").drop("high").repartition(F.xxhash64("band", "hash"))
     near = banded.join(lowest, ["band", "hash"]).where("member <> low").select(F.col("member").alias("a"), F.col("low").alias("b"))
     groups = components(near).withColumnRenamed("id", "member").join(members.select("member", "weight", "items"), "member")
     groups = staged(groups)
@@ -196,7 +196,7 @@ def grouped(docs: DataFrame, similarity: float = SIMILARITY, recall: float = REC
     candidates, items = groups.agg(F.count("*"), F.coalesce(F.sum("items"), F.lit(0))).first()
     blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("all_items") / ITEMS)).cast("int")
     shared = max(1, -(-candidates // BLOCK), -(-items // ITEMS))  # tasks that the small groups share
-    placed = groups.join(sizes.repartition("size"), "root").select(
+    placed = groups.join(sizes.repartition(F.xxhash64("root")), "root").select(
         F.col("member").alias("row"), "weight", F.col("root").alias("part"), blocks.alias("blocks"), F.pmod(F.xxhash64("member"), blocks).cast("int").alias("block"),
         F.when(blocks > 1, F.col("root")).otherwise(-1 - F.pmod(F.xxhash64("root"), F.lit(shared))).alias("task"),
     )
@@ -218,7 +218,7 @@ def grouped(docs: DataFrame, similarity: float = SIMILARITY, recall: float = REC
     checked = staged(dealt.groupBy("task", "p", "q").applyInPandas(verifier(similarity), "member long, links long, root long"), groups)
     links = checked.groupBy("member").agg(F.sum("links").alias("links"))
     classes = components(checked.where("member <> root").select(F.col("member").alias("a"), F.col("root").alias("b"))).select(F.col("id").alias("member"), "root")
-    named = classes.join(members.select("member", "low_doc"), "member").groupBy("root").agg(F.min("low_doc").alias("class_doc")).repartition("class_doc")
+    named = classes.join(members.select("member", "low_doc"), "member").groupBy("root").agg(F.min("low_doc").alias("class_doc")).repartition(F.xxhash64("root"))
     classes = classes.join(named, "root")
     found = members.select("key_a", "key_b", "member", "weight", "low_doc").join(links, "member", "left").join(classes, "member", "left")
     return signs.select("row", "doc_id", "key_a", "key_b").join(found, ["key_a", "key_b"], "left").select(
