@@ -1,4 +1,11 @@
-"""A training corpus from ``documents``: quality rules, near-duplicate removal, secret redaction, mixing, packing."""
+"""A training corpus from ``documents``: quality rules, near-duplicate removal, secret redaction, mixing, packing.
+
+Each stage takes all rows of the one before and returns the columns of documents (packing: pieces and bins); extra columns go, whatever their
+names. Rows with null and with repeated doc_ids are documents of their own in every stage. Null and empty texts fail the base rules of quality;
+a stage that gets them all the same keeps them as they are, but mixing, which has no share for cells without tokens. Rows repeated in full are
+copies: near-duplicate removal leaves one. Of like texts the smallest doc_id stays, null last, then the first row. Texts are taken whole at any
+length. An empty table goes through all stages and gives no rows.
+"""
 
 from __future__ import annotations
 
@@ -46,7 +53,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage over ``documents``; each stage is written and read again."""
     docs = common.table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = common.staged(docs)
+        made = stage(spark, docs, sf_dir)
+        docs = common.staged(made, *([docs] if k else [])) if k < len(STAGES) - 1 else made
     return docs
