@@ -177,7 +177,7 @@ def test_rankers_from_plain_configurations():
     assert {k: (c.kind, w) for k, (c, w) in config.parts.items()} == {"text": ("clap", 0.25), "sound": ("sound_activity", 2.0)}
     rows = pd.DataFrame({"a": [[1.0, 2.0]], "b": [[3.0, 4.0]], "found": [[{"start_s": 0.0, "end_s": 1.0}]], "wanted": [[{"start_s": 0.0, "end_s": 2.0, "token": "+"}]]})
     assert hooks.create(config)(rows).tolist() == [0.25 * 11 + 2 * 0.5]
-    assert hooks.create({"kind": "imagebind", "left": "a", "right": "a"})(rows)[0] == pytest.approx(1.0) and hooks.create(None) is None
+    assert hooks.create({"kind": "visual", "left": "a", "right": "a"})(rows)[0] == pytest.approx(1.0) and hooks.create(None) is None
     with pytest.raises(ValueError, match="unknown kind"):
         hooks.parse({"kind": "ensemble", "rankers": {"x": [{"kind": "y"}, 1]}})
 

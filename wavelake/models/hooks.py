@@ -103,7 +103,7 @@ def _dot(config: Mapping[str, Any]):
     return lambda rows: pd.Series([float(np.dot(a, b)) for a, b in zip(rows[left], rows[right], strict=True)], rows.index, float)
 
 
-@ranker("imagebind")  # video and audio embeddings
+@ranker("visual")  # video and audio embeddings
 @ranker("cosine")
 def _cosine(config: Mapping[str, Any]):
     left, right = config.get("left", "embedding"), config.get("right", "query")
