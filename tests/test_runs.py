@@ -22,6 +22,17 @@ def test_run_until(spark):
     assert [(r["phase"], r["status"]) for r in failed] == [("cold", "error")]
 
 
+def test_stages_have_their_own_times(spark, tmp_path):
+    steps = {"encoding": lambda rows: rows.withColumn("x", F.col("signal") * 2), "reranking": lambda rows: rows.where("x > 2")}
+
+    def action(stages):
+        rows = spark.createDataFrame([(1, 1.0), (2, 2.0)], "request long, signal double")
+        assert [r.request for r in runs.in_stages(rows, steps, stages, str(tmp_path)).collect()] == [2]
+
+    got = runs.summary(spark, runs.run_until(action, "r", least_runs=1, least_seconds=0)).where("phase = 'warm'").first()
+    assert got.mean_encoding_ms > 0 and got.mean_reranking_ms > 0 and got.mean_audio_decoding_ms is None
+
+
 def test_file_cascade(spark, tmp_path):
     stage = lambda rows, seed: rows.select("request", (F.col("signal") / 2 + seed).alias("target"), (F.col("signal") / 2 - seed).alias("residual"))
     got = runs.file_cascade(spark.createDataFrame([(1, 8.0)], "request long, signal double"), stage, str(tmp_path / "one")).first()

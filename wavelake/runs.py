@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import itertools
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .functions.numbers import rounded
 from .operators import reports
 
 ROW = "run_name string, phase string, status string, reason string, total_ms double, stage_ms map<string,double>"
@@ -44,6 +45,19 @@ class Stages:
             self.ms[name] = round(self.ms.get(name, 0.0) + (time.perf_counter() - began) * 1000, 3)
 
 
+#: Stages of a separation, in order; fixed values.
+STAGES = ("encoding", "span_prediction", "ode_generation", "audio_decoding", "reranking")
+
+
+def in_stages(rows: DataFrame, steps: Mapping[str, Callable[[DataFrame], DataFrame]], stages: Stages, folder: str) -> DataFrame:
+    """Runs steps one after another, each written under its name in ``folder`` and read again, so that its time is its own."""
+    for name, step in steps.items():
+        with stages.timed(name):
+            step(rows).write.mode("overwrite").parquet(f"{folder}/{name}")
+        rows = rows.sparkSession.read.parquet(f"{folder}/{name}")
+    return rows
+
+
 def run_until(action: Callable[[Stages], None], run_name: str, least_runs: int = 3, least_seconds: float = 60.0, record_warm_up: bool = False) -> list[dict]:
     """Rows of a cold run, a warm-up (recorded if asked) and warm runs until there are enough of both runs and seconds. An error is a row and ends it."""
     rows, began, warm = [], 0.0, 0
@@ -65,11 +79,12 @@ def run_until(action: Callable[[Stages], None], run_name: str, least_runs: int =
 
 
 def summary(spark: SparkSession, rows: list[dict]) -> DataFrame:
-    """The good runs of each name and phase."""
+    """The good runs of each name and phase, with the mean of each stage over the runs that have it."""
     from pyspark.sql import functions as F
 
     frame = spark.createDataFrame(rows, ROW)
-    return reports.summary(reports.finished(frame, F.col("status")), ["run_name", "phase"], "total_ms")
+    means = {f"mean_{k}_ms": rounded(reports.key_mean(F.col("stage_ms"), k), 3) for k in STAGES}
+    return reports.summary(reports.finished(frame, F.col("status")), ["run_name", "phase"], "total_ms", means)
 
 
 def file_cascade(requests: DataFrame, stage: Callable[[DataFrame, int], DataFrame], folder: str, seed: int = 0) -> DataFrame:
