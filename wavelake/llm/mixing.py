@@ -45,22 +45,23 @@ def keyed(docs: DataFrame) -> Column:
     return let(word_count(docs["text"]), lambda n: F.struct(name(docs["source"]).alias("source"), name(docs["lang"]).alias("lang"), name(form(n)).alias("topic"), n.alias("n_tokens")))
 
 
-def _target(d: str, targets: dict | None, power: float) -> Column:
-    """The target of a cell's value in marginal ``d``; all values' targets need not sum to 1."""
+def _target(d: str, given: dict[str, float] | None, unnamed: float, power: float) -> Column:
+    """The target of a cell's value in marginal ``d``; all values' targets need not sum to 1. ``unnamed`` are the tokens of values without one."""
     tokens = F.sum("tokens").over(Window.partitionBy(d))
-    if not targets or d not in targets:
+    if not given:
         return F.pow(tokens, F.lit(power))
-    given = F.coalesce(*[F.when(F.col(d) == value, F.lit(float(share))) for value, share in targets[d].items()], F.lit(None).cast("double"))
-    # a marginal's tokens without a target, summed over its cells
-    left = max(0.0, 1 - math.fsum(targets[d].values()))
-    unnamed = F.sum(F.when(F.col(d).isin(*targets[d]), 0.0).otherwise(F.col("tokens"))).over(Window.partitionBy(F.lit(0)))
-    return F.coalesce(given, F.lit(left) * tokens / unnamed)
+    own = F.coalesce(*[F.when(F.col(d) == value, F.lit(float(share))) for value, share in given.items()], F.lit(None).cast("double"))
+    left = max(0.0, 1 - math.fsum(given.values()))
+    return F.coalesce(own, F.lit(left) * tokens / F.lit(unnamed or 1.0))
 
 
 def rake(cells: DataFrame, targets: dict[str, dict[str, float]] | None = None, powers: dict = POWERS, tolerance: float = TOLERANCE) -> DataFrame:
     """Takes source, lang, topic and n_tokens; returns source, lang, topic, tokens and weight; weights meet the target marginals."""
     cells = cells.groupBy(*DIMS).agg(F.sum("n_tokens").cast("double").alias("tokens")).where("tokens > 0")
-    cells = cells.select(*DIMS, "tokens", F.col("tokens").alias("weight"), *(_target(d, targets, powers[d]).alias(f"t_{d}") for d in DIMS))
+    targets = {d: (targets or {}).get(d) for d in DIMS}
+    without = {d: F.sum(F.when(F.col(d).isin(*some), 0.0).otherwise(F.col("tokens"))).alias(d) for d, some in targets.items() if some}
+    unnamed = cells.agg(*without.values()).first().asDict() if without else {}
+    cells = cells.select(*DIMS, "tokens", F.col("tokens").alias("weight"), *(_target(d, targets[d], unnamed.get(d), powers[d]).alias(f"t_{d}") for d in DIMS))
     cells = staged(cells.where(" and ".join(f"t_{d} > 0" for d in DIMS)))
     before = math.inf
     while True:
