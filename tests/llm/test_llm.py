@@ -170,13 +170,13 @@ def test_window_hashes():
     assert common.sliding_min(np.array([5, 3, 4, 1, 2]), 3).tolist() == [3, 1, 1]
 
 
-@pytest.mark.parametrize("order", [1, 2, 3, 4])
-def test_language_model(docs, texts, spark, order):
+@pytest.mark.parametrize(("order", "slices"), [(1, 1), (2, 3), (3, 3), (4, 1)])
+def test_language_model(docs, texts, spark, order, slices):
     words = [words_of(t) for t in texts]
     count = lambda w, k: collections.Counter(tuple(w[i : i + k]) for i in range(len(w) - k + 1))
     every = [sum((count(w, k) for w in words), collections.Counter()) for k in range(order + 1)]
     total, used = sum(every[1].values()), collections.Counter()
-    for r in lmscore.scored(docs, order).collect():
+    for r in lmscore.scored(docs, order, slices).collect():
         w = words[r.doc_id]
         own = [count(w, k) for k in range(order + 1)]
         score = backed = 0
@@ -198,9 +198,9 @@ def test_language_model(docs, texts, spark, order):
 
 def test_language_model_of_repeated_and_null_ids(spark):
     rows = [(1, "a b c"), (1, "a b c"), (None, "a b c"), (None, None), (2, "z")]
-    got = sorted(map(str, map(tuple, lmscore.scored(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect())))
-    one = math.log(2 / 8)  # each of the three is scored by the two others; every pair is certain
-    assert got == sorted(map(str, [(1, 3, 0, one), (1, 3, 0, one), (None, 3, 0, one), (None, 0, 0, 0.0), (2, 1, 0, math.log(1 / 10))]))
+    got = sorted(str((*r[:3], round(r[3], 9))) for r in lmscore.scored(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect())
+    one = round(math.log(2 / 8), 9)  # each of the three is scored by the two others; every pair is certain
+    assert got == sorted(map(str, [(1, 3, 0, one), (1, 3, 0, one), (None, 3, 0, one), (None, 0, 0, 0.0), (2, 1, 0, round(math.log(1 / 10), 9))]))
 
 
 def test_quality(docs, texts, spark):

@@ -20,6 +20,8 @@ MULT = np.uint64(0x9E3779B97F4A7C15)
 MIX1, MIX2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 SHIFT = np.uint64(33)
 CACHED_WORDS = 300_000
+#: Settings of a staged write.
+WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,15 +47,18 @@ def shared_dir(spark: SparkSession) -> str:
 def staged(df: DataFrame, *over: DataFrame) -> DataFrame:
     """Writes ``df`` as Parquet in the shared folder and reads it back: later steps don't recompute it, and lost executors don't either.
 
-    The write's shuffle files go when it ends, by Spark's setting for that. The tables in ``over`` are no longer needed then, so they go too.
+    The write's shuffle files go when it ends, and Python gets small batches in it, by settings that hold for this write only. The tables in
+    ``over`` are no longer needed then, so they go too.
     """
-    spark, name = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    path, before = f"{shared_dir(spark)}/stage-{uuid.uuid4().hex}", spark.conf.get(name)
-    spark.conf.set(name, "true")
+    spark = df.sparkSession
+    path, before = f"{shared_dir(spark)}/stage-{uuid.uuid4().hex}", {name: spark.conf.get(name) for name in WRITING}
     try:
+        for name, value in WRITING.items():
+            spark.conf.set(name, value)
         df.write.parquet(path)
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
     drop(*over)
     out = spark.read.schema(df.schema).parquet(path)
     out._stage = path

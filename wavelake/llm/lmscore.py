@@ -6,19 +6,21 @@ all words so far. It scores c(n-gram) / c(n-gram without the word) if that n-gra
 of context less; without context it scores its share of all other words. A word that no other document has counts as one occurrence more.
 Logs are summed per document.
 
-Three relational steps:
+Lengths are done one after another from the longest, each in SLICES parts by a hash of the n-gram, which bounds what shuffles hold at a time.
+For each of them:
 
-1. Each document is exploded to its distinct n-grams of all lengths, as 64-bit hashes with their counts in it.
+1. The documents are exploded to their distinct n-grams of that length, as 64-bit hashes with their counts in it.
 2. The count table sums them by hash, partial sums first, and keeps the n-grams of two and more documents: what only one document has
    is not there when that document is scored. It is written once.
 3. The exploded n-grams are joined to the count table by hash, which leaves the n-grams that other documents have, with their counts there.
-   These go to their document, where the words' scores are summed in one pass over its n-grams.
+   These go to their document, where logs are summed and each word's state, the length that it is scored at so far, is brought forward. Contexts
+   are n-grams of the next shorter length, so their counts come with that.
 
 No step needs the rows of an n-gram together but the join, whose large partitions Spark splits, so a word in every document is dealt out.
-A task that scores holds one document and its n-grams at a time.
+A task that sums holds one document and its n-grams at a time.
 
 Words are taken unchanged. Null and empty texts have no words and score 0. Rows that repeat a doc_id are documents of their own, and so are
-rows with a null one: inside, a document is known by its place in the input. Equal texts score alike. Extra columns are ignored, and an empty
+rows with a null one: inside, a document is known by its place in the input. Orders to 255. Equal texts score alike. Extra columns are ignored, and an empty
 table gives no rows.
 """
 
@@ -31,34 +33,39 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WordHashes, grams, mixed, small, staged, table
+from .common import WordHashes, grams, mixed, rows_of, small, staged, table
 from .packing import word_count
 
-BACKOFF, ORDER = 0.4, 3
+BACKOFF, ORDER, SLICES = 0.4, 3, 3
 ONE = np.uint64(0xA0761D6478BD642F)
 EXPLODED = pa.schema([("row", pa.int64()), ("gram", pa.int64()), ("n", pa.int32())])
+STATE = pa.schema([("row", pa.int64()), ("levels", pa.binary()), ("score", pa.float64())])
 RESULT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_backoff", pa.int64()), ("log_score", pa.float64())])
 
 
-def keys(words: list[bytes], hashes: WordHashes, order: int = ORDER) -> list[np.ndarray]:
-    """Keys of the words, of the pairs of neighbours and so on, to runs of ``order`` words."""
+def keys(words: list[bytes], hashes: WordHashes, length: int) -> np.ndarray:
+    """Keys of the runs of ``length`` words, by their start."""
     h = hashes.of(words)
-    return [mixed(h ^ ONE), *(grams(h, n) for n in range(2, order + 1))]
+    return mixed(h ^ ONE) if length == 1 else grams(h, length)
 
 
-def exploded(rows: DataFrame, order: int = ORDER) -> DataFrame:
-    """Takes row and text; returns row, gram and n: each document's distinct n-grams and how often it has them."""
+def in_slice(key: np.ndarray, part: int, parts: int) -> np.ndarray:
+    return (key >> np.uint64(32)) % np.uint64(parts) == np.uint64(part)
+
+
+def exploded(rows: DataFrame, length: int, part: int = 0, parts: int = 1) -> DataFrame:
+    """Takes row and text; returns row, gram and n: each document's distinct n-grams of one length and slice, and how often it has them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for b in small(batches, 100):
             ids, found, times = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int32)]
             for row, text in zip(b.column("row").to_pylist(), b.column("text").to_pylist(), strict=True):
-                if words := (text or "").encode().split():
-                    gram, n = np.unique(np.concatenate(keys(words, hashes, order)), return_counts=True)
-                    ids.append(np.full(len(gram), row, np.int64))
-                    found.append(gram.view(np.int64))
-                    times.append(n.astype(np.int32))
+                key = keys((text or "").encode().split(), hashes, length)
+                gram, n = np.unique(key[in_slice(key, part, parts)], return_counts=True)
+                ids.append(np.full(len(gram), row, np.int64))
+                found.append(gram.view(np.int64))
+                times.append(n.astype(np.int32))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (ids, found, times)], schema=EXPLODED)
 
     return rows.select("row", "text").mapInArrow(run, "row long, gram long, n int")
@@ -69,57 +76,89 @@ def count_table(grams: DataFrame) -> DataFrame:
     return grams.groupBy("gram").agg(F.sum("n").alias("total"), F.count("*").alias("docs")).where("docs > 1").select("gram", "total")
 
 
-def _score(levels: list[np.ndarray], gram: np.ndarray, rest: np.ndarray, others: float) -> tuple[int, int, float]:
-    """Words, words that backed off, and log score of a document from its keys and the other documents' counts of them."""
-    order = np.argsort(gram)
-    gram, rest = np.append(gram[order], 0), np.append(rest[order], 0)
-    counts = []
-    for key in levels:
-        at = np.searchsorted(gram[:-1], key.view(np.int64))
-        counts.append(np.where(gram[at] == key.view(np.int64), rest[at], 0))
-    n = len(levels[0])
-    terms = np.log(np.maximum(counts[0], 1) / (others + 1.0))
-    backed = np.zeros(n, bool)
-    for k in range(1, len(levels)):  # the run at j ends with word j + k; its context is the shorter run at j
-        seen = counts[k] > 0
-        terms[k:] = np.where(seen, np.log(np.maximum(counts[k], 1) / np.maximum(counts[k - 1][:-1], 1)), np.log(BACKOFF) + terms[k:])
-        backed[k:] = ~seen
-    return n, int(backed.sum()), float(terms.sum())
-
-
-def _scores(order: int, every: int):
+def _brought_forward(length: int, order: int, part: int, parts: int):
+    """Rows of a document, sorted: its n-grams that others have, its state so far, its text; gives its state after this length and slice."""
+
+    def one(text: str | None, levels: bytes | None, score: float, gram: np.ndarray, rest: np.ndarray, hashes: WordHashes) -> tuple[bytes, float]:
+        words = (text or "").encode().split()
+        n = len(words)
+        level = np.frombuffer(levels, np.uint8).copy() if levels is not None else np.zeros(n, np.uint8)
+        key = keys(words, hashes, length)
+        if not len(key) or not len(gram):
+            return level.tobytes(), score
+        place = np.argsort(gram)
+        gram, rest = gram[place], rest[place]
+        at = np.minimum(np.searchsorted(gram, key.view(np.int64)), len(gram) - 1)
+        known = (gram[at] == key.view(np.int64)) & in_slice(key, part, parts)
+        log = np.log(rest[at])
+        # the run at j ends with word j + length - 1; as a context it is before word j + length
+        here = known & (level[length - 1 :] == 0)
+        context = known[:-1] & (level[length:] == length + 1)
+        level[length - 1 :][here] = length
+        return level.tobytes(), score + float(log[here].sum() - log[:-1][context].sum())
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, gram, rest, out = WordHashes(), [], [], []
+        hashes, gram, rest, state = WordHashes(), [], [], (None, 0.0)
         for b in batches:
-            g, r = np.asarray(b.column("gram").fill_null(0)), np.asarray(b.column("rest").fill_null(0))
-            ends = np.flatnonzero(np.asarray(b.column("last")))  # a document's text follows its n-grams
-            lo = 0
-            for end, doc, text in zip(ends, b.column("doc_id").take(pa.array(ends)).to_pylist(), b.column("text").take(pa.array(ends)).to_pylist(), strict=True):
-                words = (text or "").encode().split()
-                got = (0, 0, 0.0)
-                if words:
-                    got = _score(keys(words, hashes, order), np.concatenate([*gram, g[lo:end]]), np.concatenate([*rest, r[lo:end]]), every - len(words))
-                out.append((doc, *got))
-                gram, rest, lo = [], [], end + 1
+            g, r, kind = (np.asarray(b.column(c).fill_null(0)) for c in ("gram", "rest", "kind"))
+            out, lo = [], 0
+            ends = np.flatnonzero(kind > 0)  # a document's state and text follow its n-grams
+            few = small([b.select(["row", "levels", "score", "text"]).take(pa.array(ends))], 50)
+            for end, what, (row, levels, score, text) in zip(ends.tolist(), kind[ends].tolist(), rows_of(few, "row", "levels", "score", "text"), strict=True):
+                gram.append(g[lo:end])
+                rest.append(r[lo:end])
+                lo = end + 1
+                if what == 1:
+                    state = (levels, score)
+                else:
+                    out.append((row, *one(text, *state, np.concatenate(gram), np.concatenate(rest), hashes)))
+                    gram, rest, state = [], [], (None, 0.0)
             gram.append(g[lo:])
             rest.append(r[lo:])
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), RESULT.types, strict=True)], schema=RESULT)
-                out = []
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), STATE.types, strict=True)], schema=STATE)
+
+    return run
+
+
+def _result(order: int, every: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out: list[list] = [[], [], []]
+            for levels, score in zip(b.column("levels").to_pylist(), b.column("score").to_pylist(), strict=True):
+                level = np.maximum(np.frombuffer(levels, np.uint8), 1)
+                backed = np.minimum(np.arange(1, len(level) + 1), order) - level
+                others = every - len(level)
+                log_score = score + int(backed.sum()) * np.log(BACKOFF) - int((level == 1).sum()) * np.log(others + 1.0) if len(level) else 0.0
+                for column, x in zip(out, (len(level), int((backed > 0).sum()), float(log_score)), strict=True):
+                    column.append(x)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(c, t) for c, t in zip(out, RESULT.types[1:], strict=True))], schema=RESULT)
 
     return run
 
 
-def scored(docs: DataFrame, order: int = ORDER) -> DataFrame:
-    """doc_id, n_words, n_backoff (words that backed off from their longest n-gram) and log_score."""
+def scored(docs: DataFrame, order: int = ORDER, slices: int = SLICES) -> DataFrame:
+    """doc_id, n_words, n_backoff (words that backed off from their longest n-gram) and log_score.
+
+    The input is read several times and must give its rows in the same order: a table, or a staged one.
+    """
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     every = int(rows.agg(F.sum(word_count())).first()[0] or 0)
-    grams = exploded(rows, order)
-    counts = staged(count_table(grams))
-    known = grams.join(counts, "gram").select("row", F.lit(False).alias("last"), "gram", (F.col("total") - F.col("n")).alias("rest"))
-    texts = rows.select("row", F.lit(True).alias("last"), "doc_id", "text")
-    every_row = known.unionByName(texts, allowMissingColumns=True).repartition("row").sortWithinPartitions("row", "last")
-    return every_row.mapInArrow(_scores(order, every), "doc_id long, n_words long, n_backoff long, log_score double")
+    texts, states = rows.select("row", F.lit(2).alias("kind"), "text"), []
+    for length in range(order, 0, -1):
+        for part in range(slices):
+            counts = staged(count_table(exploded(rows, length, part, slices)))
+            known = exploded(rows, length, part, slices).join(counts, "gram").select("row", F.lit(0).alias("kind"), "gram", (F.col("total") - F.col("n")).alias("rest"))
+            both = known.unionByName(texts, allowMissingColumns=True)
+            if states:
+                both = both.unionByName(states[0].select("row", F.lit(1).alias("kind"), "levels", "score"), allowMissingColumns=True)
+            else:
+                both = both.withColumns({"levels": F.lit(None).cast("binary"), "score": F.lit(None).cast("double")})
+            ordered = both.repartition("row").sortWithinPartitions("row", "kind")
+            state = ordered.mapInArrow(_brought_forward(length, order, part, slices), "row long, levels binary, score double")
+            states = [staged(state, counts, *states)]
+    named = rows.select("row", "doc_id").join(states[0], "row").select("doc_id", "levels", "score")
+    return named.mapInArrow(_result(order, every), "doc_id long, n_words long, n_backoff long, log_score double")
 
 
 def op3_lmscore(spark: SparkSession, sf_dir: str) -> DataFrame:
