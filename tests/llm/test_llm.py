@@ -163,6 +163,26 @@ def test_passages_of_few_words(spark, seed):
     assert got == want and sum(want.values()) > 500
 
 
+@pytest.mark.parametrize("group", [1 << 19, 1, 7, 100])
+def test_word_hashes(monkeypatch, group):
+    """Equal words have equal hashes, others have not, wherever they stand: against splitting."""
+    monkeypatch.setattr(common, "GROUP", group)
+    draw = random.Random(3)
+    texts = [None, "", " ", "a", " a\tb\x0bc  d\n", "\u00a0x\u2003y é", "x" * 5000, "y" + "x" * 4999, "x" * 1024 + "y" + "x" * 1023, "x" * 2048, "\x1c\x85 z"]
+    texts += [" ".join("".join(draw.choice("abé中") for _ in range(draw.randint(1, 5))) for _ in range(draw.randint(0, 60))) for _ in range(200)]
+    known = {}
+    for text, got in zip(texts, common.word_hashes(texts), strict=True):
+        words = (text or "").encode().split()
+        assert len(got) == len(words) and [len(w) for w in words_of(text)] == [len(w.decode()) for w in words]
+        for w, h in zip(words, got.tolist()):
+            assert known.setdefault(w, h) == h
+    assert len(set(known.values())) == len(known) > 900
+    assert common.word_hashes([]) == []
+    monkeypatch.setattr(common, "GROUP", 1 << 19)
+    alone = common.word_hashes([texts[-1]])[0]
+    assert alone.tolist() == common.word_hashes(texts)[-1].tolist()
+
+
 def test_window_hashes():
     h = common.WordHashes().of([str(i).encode() for i in [*range(80), *range(80)]])
     long = common.long_grams(h, 50)

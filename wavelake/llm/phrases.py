@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import WordHashes, by_block, grams, long_grams, mixed, rows_of, sliding_min, small, staged, table, text_bytes
+from .common import by_block, grams, long_grams, mixed, rows_of, sliding_min, small, staged, table, text_bytes, word_hashes
 
 WINDOW, PHRASE, PIECE = 50, 8, 20
 #: Text of a block on average, and the most shuffle partitions that blocks are dealt to.
@@ -57,13 +57,11 @@ def window_keys(h: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _phrases(window: int, phrase: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for b in small(batches):
+        for b in small(batches, 100):
             docs, found = [], []
-            for doc, text in rows_of([b], "doc_id", "text"):
-                words = (text or "").encode().split()
+            for doc, words in zip(b.column("doc_id").to_pylist(), word_hashes(b.column("text").to_pylist()), strict=True):
                 if len(words) >= window:
-                    some = np.unique(picks(hashes.of(words), window, phrase)[1])
+                    some = np.unique(picks(words, window, phrase)[1])
                     docs.append(np.full(len(some), doc, np.int64))
                     found.append(some.view(np.int64))
             if docs:
@@ -95,7 +93,7 @@ def _windows(window: int, phrase: int):
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(start), block, np.int32)), *map(pa.array, (a[start], b[start], doc[start], doc[last], place[start]))], names=["block", "a", "b", "low", "high", "place"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, block, known, recurring, held, rank = WordHashes(), None, [], None, [], 0
+        block, known, recurring, held, rank = None, [], None, [], 0
         for now, kind, rows in by_block(batches):
             if now != block:
                 yield from emit(block, held)
@@ -107,10 +105,9 @@ def _windows(window: int, phrase: int):
                 continue
             if recurring is None:
                 recurring = np.sort(np.concatenate(known))
-            for doc, text in rows_of([rows], "a", "text"):
-                words = (text or "").encode().split()
-                if len(words) >= window:
-                    h = hashes.of(words)
+            each = ((doc, h) for some in small([rows], 100) for doc, h in zip(some.column("a").to_pylist(), word_hashes(some.column("text").to_pylist()), strict=True))
+            for doc, h in each:
+                if len(h) >= window:
                     mine = picks(h, window, phrase)[1].view(np.int64)
                     at = np.minimum(np.searchsorted(recurring, mine), len(recurring) - 1)
                     hit = np.flatnonzero(recurring[at] == mine)
