@@ -6,7 +6,8 @@ all words so far. It scores c(n-gram) / c(n-gram without the word) if that n-gra
 of context less; without context it scores its share of all other words. A word that no other document has counts as one occurrence more.
 Logs are summed per document.
 
-Lengths are done one after another from the longest, each in SLICES parts by a hash of the n-gram, which bounds what shuffles hold at a time.
+Lengths are done one after another from the longest, each in up to SLICES parts by a hash of the n-gram, which bounds what shuffles hold at a
+time.
 For each of them:
 
 1. The documents are exploded to their distinct n-grams of that length, as 64-bit hashes with their counts in it.
@@ -33,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WordHashes, grams, mixed, rows_of, small, staged, table
+from .common import grams, mixed, rows_of, small, staged, table, word_hashes
 from .packing import word_count
 
 BACKOFF, ORDER, SLICES = 0.4, 3, 3
@@ -43,9 +44,8 @@ STATE = pa.schema([("row", pa.int64()), ("levels", pa.binary()), ("score", pa.fl
 RESULT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_backoff", pa.int64()), ("log_score", pa.float64())])
 
 
-def keys(words: list[bytes], hashes: WordHashes, length: int) -> np.ndarray:
-    """Keys of the runs of ``length`` words, by their start."""
-    h = hashes.of(words)
+def keys(h: np.ndarray, length: int) -> np.ndarray:
+    """Keys of the runs of ``length`` words, by their start, from the words' hashes."""
     return mixed(h ^ ONE) if length == 1 else grams(h, length)
 
 
@@ -57,11 +57,10 @@ def exploded(rows: DataFrame, length: int, part: int = 0, parts: int = 1) -> Dat
     """Takes row and text; returns row, gram and n: each document's distinct n-grams of one length and slice, and how often it has them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for b in small(batches, 100):
             ids, found, times = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int32)]
-            for row, text in zip(b.column("row").to_pylist(), b.column("text").to_pylist(), strict=True):
-                key = keys((text or "").encode().split(), hashes, length)
+            for row, words in zip(b.column("row").to_pylist(), word_hashes(b.column("text").to_pylist()), strict=True):
+                key = keys(words, length)
                 gram, n = np.unique(key[in_slice(key, part, parts)], return_counts=True)
                 ids.append(np.full(len(gram), row, np.int64))
                 found.append(gram.view(np.int64))
@@ -79,11 +78,9 @@ def count_table(grams: DataFrame) -> DataFrame:
 def _brought_forward(length: int, order: int, part: int, parts: int):
     """Rows of a document, sorted: its n-grams that others have, its state so far, its text; gives its state after this length and slice."""
 
-    def one(text: str | None, levels: bytes | None, score: float, gram: np.ndarray, rest: np.ndarray, hashes: WordHashes) -> tuple[bytes, float]:
-        words = (text or "").encode().split()
-        n = len(words)
-        level = np.frombuffer(levels, np.uint8).copy() if levels is not None else np.zeros(n, np.uint8)
-        key = keys(words, hashes, length)
+    def one(words: np.ndarray, levels: bytes | None, score: float, gram: np.ndarray, rest: np.ndarray) -> tuple[bytes, float]:
+        level = np.frombuffer(levels, np.uint8).copy() if levels is not None else np.zeros(len(words), np.uint8)
+        key = keys(words, length)
         if not len(key) or not len(gram):
             return level.tobytes(), score
         place = np.argsort(gram)
@@ -98,20 +95,21 @@ def _brought_forward(length: int, order: int, part: int, parts: int):
         return level.tobytes(), score + float(log[here].sum() - log[:-1][context].sum())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, gram, rest, state = WordHashes(), [], [], (None, 0.0)
+        gram, rest, state = [], [], (None, 0.0)
         for b in batches:
             g, r, kind = (np.asarray(b.column(c).fill_null(0)) for c in ("gram", "rest", "kind"))
             out, lo = [], 0
             ends = np.flatnonzero(kind > 0)  # a document's state and text follow its n-grams
-            few = small([b.select(["row", "levels", "score", "text"]).take(pa.array(ends))], 50)
-            for end, what, (row, levels, score, text) in zip(ends.tolist(), kind[ends].tolist(), rows_of(few, "row", "levels", "score", "text"), strict=True):
+            few = small([b.select(["row", "levels", "score", "text"]).take(pa.array(ends))], 100)
+            each = ((*x, h) for some in few for x, h in zip(rows_of([some], "row", "levels", "score"), word_hashes(some.column("text").to_pylist()), strict=True))
+            for end, what, (row, levels, score, words) in zip(ends.tolist(), kind[ends].tolist(), each, strict=True):
                 gram.append(g[lo:end])
                 rest.append(r[lo:end])
                 lo = end + 1
                 if what == 1:
                     state = (levels, score)
                 else:
-                    out.append((row, *one(text, *state, np.concatenate(gram), np.concatenate(rest), hashes)))
+                    out.append((row, *one(words, *state, np.concatenate(gram), np.concatenate(rest))))
                     gram, rest, state = [], [], (None, 0.0)
             gram.append(g[lo:])
             rest.append(r[lo:])
@@ -146,16 +144,19 @@ def scored(docs: DataFrame, order: int = ORDER, slices: int = SLICES) -> DataFra
     every = int(rows.agg(F.sum(word_count())).first()[0] or 0)
     texts, states = rows.select("row", F.lit(2).alias("kind"), "text"), []
     for length in range(order, 0, -1):
-        for part in range(slices):
-            counts = staged(count_table(exploded(rows, length, part, slices)))
-            known = exploded(rows, length, part, slices).join(counts, "gram").select("row", F.lit(0).alias("kind"), "gram", (F.col("total") - F.col("n")).alias("rest"))
+        # single words are fewer, and the longest n-grams are seldom seen elsewhere
+        parts = max(1, slices - (length in (1, order)))
+        for part in range(parts):
+            counts = staged(count_table(exploded(rows, length, part, parts)))
+            # the count table has an n-gram once, so its hash table is even and the exploded side needs no sort
+            known = exploded(rows, length, part, parts).join(counts.hint("shuffle_hash"), "gram").select("row", F.lit(0).alias("kind"), "gram", (F.col("total") - F.col("n")).alias("rest"))
             both = known.unionByName(texts, allowMissingColumns=True)
             if states:
                 both = both.unionByName(states[0].select("row", F.lit(1).alias("kind"), "levels", "score"), allowMissingColumns=True)
             else:
                 both = both.withColumns({"levels": F.lit(None).cast("binary"), "score": F.lit(None).cast("double")})
             ordered = both.repartition("row").sortWithinPartitions("row", "kind")
-            state = ordered.mapInArrow(_brought_forward(length, order, part, slices), "row long, levels binary, score double")
+            state = ordered.mapInArrow(_brought_forward(length, order, part, parts), "row long, levels binary, score double")
             states = [staged(state, counts, *states)]
     named = rows.select("row", "doc_id").join(states[0], "row").select("doc_id", "levels", "score")
     return named.mapInArrow(_result(order, every), "doc_id long, n_words long, n_backoff long, log_score double")
