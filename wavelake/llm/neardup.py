@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WordHashes, free, grams, rows_of, small, staged, table
+from .common import free, grams, small, staged, table, word_hashes
 
 WORDS, SIMILARITY, RECALL, ROWS = 5, 0.8, 0.9999, 4
 #: Members and shingles of a block, and of the tasks that small groups share.
@@ -42,12 +42,10 @@ def band_count(similarity: float = SIMILARITY, recall: float = RECALL, rows: int
     return int(np.ceil(np.log(1 - recall) / np.log(1 - similarity**rows)))
 
 
-def shingles(text: str | None, hashes: WordHashes, words: int = WORDS) -> np.ndarray:
-    """Sorted distinct hashes of the word n-grams."""
-    all_words = (text or "").encode().split()
-    if not all_words:
-        return np.empty(0, np.uint64)
-    return np.unique(grams(hashes.of(all_words), min(words, len(all_words))))
+def shingles(texts: list[str | None], words: int = WORDS) -> Iterator[np.ndarray]:
+    """Sorted distinct hashes of the word n-grams of each text."""
+    for h in word_hashes(texts):
+        yield np.unique(grams(h, min(words, len(h)))) if len(h) else h
 
 
 def signer(bands: int, rows: int):
@@ -72,11 +70,11 @@ def signed(rows: DataFrame, bands: int, per_band: int = ROWS, words: int = WORDS
     """row, doc_id, a 128-bit key of the set, its size and its band hashes; the last four null for texts without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, sign = WordHashes(), signer(bands, per_band)
-        for b in small(batches):
+        sign = signer(bands, per_band)
+        for b in small(batches, 100):
             out: list[list] = [[] for _ in SIGNED.names]
-            for row, doc, text in rows_of([b], "row", "doc_id", "text"):
-                items, key, found = shingles(text, hashes, words), (None, None, None), None
+            for row, doc, items in zip(b.column("row").to_pylist(), b.column("doc_id").to_pylist(), shingles(b.column("text").to_pylist(), words), strict=True):
+                key, found = (None, None, None), None
                 if len(items):
                     key = (*np.frombuffer(xxhash.xxh3_128_digest(items.tobytes()), np.int64).tolist(), len(items))
                     found = sign(items).view(np.int64)
@@ -204,9 +202,8 @@ def grouped(docs: DataFrame, similarity: float = SIMILARITY, recall: float = REC
     names = ["row", "weight", "part", "blocks", "block", "task"]
 
     def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for b in small(batches):
-            full = [shingles(t, hashes, words).tobytes() for t in b.column("text").to_pylist()]
+        for b in small(batches, 100):
+            full = [items.tobytes() for items in shingles(b.column("text").to_pylist(), words)]
             yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), pa.array(full, pa.binary())], names=["member", *names[1:], "full"])
 
     texts = rows.select("row", "text")
