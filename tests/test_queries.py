@@ -39,3 +39,13 @@ def test_entry(spark):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_prompts_of_odd_texts(spark, tmp_path):
+    texts = ["Straße süß", "ŉ ǰ ﬁ ᾳ ΐ dž ǆ", "a\r\nb", "é\r\nb", "éa", " x　", " ", " ", "", None, '{"prompt": 1', "{x}", "[1]", '"q"\\', "tab\t", "İıſK", "𐐨𐐩", "\U0001f468 z", "null"]
+    rows = [(2 * i + k, t) for i, t in enumerate(texts) for k in range(2)]
+    spark.createDataFrame(rows, "item_id long, text string").coalesce(1).write.parquet(str(tmp_path / "benchmark.parquet"))
+    got = [tuple(r) for r in QUERIES["src12_prompt_manifest"](spark, str(tmp_path)).collect()]
+    con = duckdb.connect()
+    con.execute(f"create view benchmark as select * from '{tmp_path}/benchmark.parquet/*.parquet'")
+    assert sorted(got) == sorted(con.execute(SQL["src12_prompt_manifest"]).fetchall())

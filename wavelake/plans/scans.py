@@ -44,9 +44,9 @@ def src12(spark, d):
     """Whole texts as prompts: even items have an object with items, odd ones a list; the third prompt is empty."""
     item = lambda prompt, description: F.struct(prompt.alias("prompt"), description.alias("description"))
     text, none = F.col("text"), F.lit("")
-    listed = F.to_json(F.struct(F.array(item(F.concat(F.lit(" "), text), F.lit("x")), item(none, F.reverse(text)), item(none, none)).alias("items")))
-    plain = F.to_json(F.array(text, F.upper(text), F.lit("  ")))
-    rows = parquet(spark, d, "benchmark").select("item_id", F.when(F.col("item_id") % 2 == 0, listed).otherwise(plain).alias("manifest"))
+    listed = F.to_json(F.struct(F.array(item(F.concat(F.lit(" "), text), F.lit("x")), item(none, names.backwards(text)), item(none, none)).alias("items")))
+    plain = F.to_json(F.array(text, names.capitals(text), F.lit("  ")))
+    rows = parquet(spark, d, "benchmark").where(names.trimmed(text) != "").select("item_id", F.when(F.col("item_id") % 2 == 0, listed).otherwise(plain).alias("manifest"))
     return files.prompts(rows, F.col("manifest")).select("item_id", F.col("place").cast("int").alias("place"), "prompt")
 
 

@@ -10,7 +10,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.names import first_text
+from ..functions.names import first_text, trimmed
 
 #: Extensions of audio files; fixed values.
 AUDIO = ("wav", "mp3", "flac", "ogg", "m4a", "aac")
@@ -67,7 +67,9 @@ def prompts(rows: DataFrame, text: Column) -> DataFrame:
     body = F.when(F.trim(text).startswith("["), text).otherwise(first_text(F.get_json_object(text, "$.prompts"), F.get_json_object(text, "$.items")))
     items = rows.select("*", F.posexplode(F.from_json(body, "array<string>")).alias("place", "item"))
     described = first_text(*(F.get_json_object("item", f"$.{k}") for k in ("prompt", "description", "text")))
-    return items.withColumn("prompt", F.trim(F.when(F.startswith("item", F.lit("{")), described).otherwise(F.col("item")))).where("prompt <> ''").drop("item")
+    # a text can begin with a brace too
+    an_object = F.startswith("item", F.lit("{")) & F.get_json_object("item", "$").isNotNull()
+    return items.withColumn("prompt", trimmed(F.when(an_object, described).otherwise(F.col("item")))).where("prompt <> ''").drop("item")
 
 
 def resolved(rows: DataFrame, files: DataFrame, *candidates: Column) -> DataFrame:
