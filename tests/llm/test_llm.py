@@ -8,6 +8,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -216,6 +217,28 @@ def test_language_model(docs, texts, spark, order, slices):
     assert lmscore.scored(empty(spark)).collect() == []
 
 
+def test_language_model_in_small_blocks(spark, docs):
+    def plain(df):
+        return sorted((r.doc_id, r.n_words, r.n_backoff, round(r.log_score, 6)) for r in df.collect())
+
+    two = docs.repartition(2, "doc_id")
+    two.write.mode("overwrite").parquet(at := f"{common.shared_dir(spark)}/small-blocks")
+    two = spark.read.parquet(at)
+    whole = plain(lmscore.scored(two))
+    assert plain(lmscore.scored(two, block=900)) == plain(lmscore.scored(two, block=1)) == whole
+    assert sum(w > 0 for _, w, _, _ in whole) > 10
+
+
+def test_flat_word_hashes():
+    texts = ["", "a b", None, " \n", "b a", "ab", "\u00e9a  x\u0085y", "a", "w" * 3000, "z " * 300000 + "w" * 3000]
+    for arrays in ([pa.array(texts)], [pa.array(["q", *texts]).slice(1, 4), pa.array(texts[4:])]):
+        h, n = common.flat_word_hashes(arrays)
+        words = [w for t in texts for w in words_of(t)]
+        assert n.tolist() == [len(words_of(t)) for t in texts] and len(h) == len(words)
+        known = {}
+        assert all(known.setdefault(w, x) == x for w, x in zip(words, h.tolist(), strict=True)) and len(set(known.values())) == len(known)
+
+
 def test_language_model_of_repeated_and_null_ids(spark):
     rows = [(1, "a b c"), (1, "a b c"), (None, "a b c"), (None, None), (2, "z")]
     got = sorted(str((*r[:3], round(r[3], 9))) for r in lmscore.scored(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect())

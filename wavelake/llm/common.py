@@ -44,7 +44,7 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def staged(df: DataFrame, *over: DataFrame) -> DataFrame:
+def staged(df: DataFrame, *over: DataFrame, codec: str | None = None) -> DataFrame:
     """Writes ``df`` as Parquet in the shared folder and reads it back: later steps don't recompute it, and lost executors don't either.
 
     The write's shuffle files go when it ends, and Python gets small batches in it, by settings that hold for this write only. The tables in
@@ -55,7 +55,7 @@ def staged(df: DataFrame, *over: DataFrame) -> DataFrame:
     try:
         for name, value in WRITING.items():
             spark.conf.set(name, value)
-        df.write.parquet(path)
+        df.write.parquet(path, compression=codec)
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)
@@ -153,6 +153,38 @@ def word_hashes(texts: list[str | None]) -> list[np.ndarray]:
     return np.split(out, np.searchsorted(first, np.cumsum([len(x) + 1 for x in raw])[:-1]))
 
 
+def flat_word_hashes(texts: list[pa.Array]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts, in order, and each text's number of words.
+
+    A word's hash is a polynomial in a random figure for each byte, from differences of prefix sums modulo 2**64. Other hashes than ``word_hashes`` gives.
+    """
+    hashes, counts = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+    for some in texts:
+        for k in range(0, len(some), 1000):
+            few = some.slice(k, 1000).fill_null("").cast(pa.large_binary())
+            bounds = np.frombuffer(few.buffers()[1], np.int64)[few.offset : few.offset + len(few) + 1]
+            data = np.frombuffer(few.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]]
+            bounds = bounds - bounds[0]
+            word = ~SPACE[data]
+            # a word ends before white space and at its text's end
+            cut = np.zeros(len(data) + 1, bool)
+            cut[bounds] = True
+            first = np.flatnonzero(word & (cut[:-1] | ~np.concatenate([[False], word[:-1]])))
+            end = np.flatnonzero(word & (cut[1:] | ~np.concatenate([word[1:], [False]]))) + 1
+            counts.append(np.diff(np.searchsorted(first, bounds)))
+            # some hundred thousand bytes at a time, whole words
+            edges = [0, *np.unique(np.searchsorted(first, np.arange(GROUP, len(data), GROUP))).tolist(), len(first)]
+            for i, j in zip(edges, edges[1:], strict=False):
+                if j > i:
+                    lo, hi = int(first[i]), int(end[j - 1])
+                    up, down = _powers(hi - lo)
+                    sums = np.zeros(hi - lo + 1, np.uint64)
+                    np.cumsum(BYTES[data[lo:hi]] * up, out=sums[1:])
+                    s, e = first[i:j] - lo, end[i:j] - lo
+                    hashes.append(mixed((sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64) * MULT))
+    return np.concatenate(hashes), np.concatenate(counts)
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """Spreads 64-bit values evenly."""
     x = x ^ (x >> SHIFT)

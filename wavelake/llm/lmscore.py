@@ -6,22 +6,22 @@ all words so far. It scores c(n-gram) / c(n-gram without the word) if that n-gra
 of context less; without context it scores its share of all other words. A word that no other document has counts as one occurrence more.
 Logs are summed per document.
 
-Lengths are done one after another from the longest, each in up to SLICES parts by a hash of the n-gram, which bounds what shuffles hold at a
-time.
-For each of them:
+Documents next to each other make a block of about BLOCK bytes of text. Lengths are done one after another from single words up. For each of them:
 
-1. The documents are exploded to their distinct n-grams of that length, as 64-bit hashes with their counts in it.
-2. The count table sums them by hash, partial sums first, and keeps the n-grams of two and more documents: what only one document has
-   is not there when that document is scored. It is written once.
-3. The exploded n-grams are joined to the count table by hash, which leaves the n-grams that other documents have, with their counts there.
-   These go to their document, where logs are summed and each word's state, the length that it is scored at so far, is brought forward. Contexts
-   are n-grams of the next shorter length, so their counts come with that.
+1. The blocks are exploded to rows, one for each distinct n-gram of a block: a 64-bit hash, how often the block has it, and whether several of
+   its documents do. An n-gram that other documents have has both its parts of one word less there too, so only those whose two parts are known
+   elsewhere are exploded, and none is lost.
+2. The count table sums the rows by hash, partial sums first, and keeps the n-grams of two and more documents: what only one document has
+   is not there when that document is scored.
+3. The exploded n-grams are joined to the count table by hash, which leaves those that other documents have, with their total counts.
+4. These go to their block and its texts, where each document's own occurrences are taken out, logs are summed by document, and the next length
+   is exploded.
 
-No step needs the rows of an n-gram together but the join, whose large partitions Spark splits, so a word in every document is dealt out.
-A task that sums holds one document and its n-grams at a time.
+The count tables are made and joined in slices by hash, and blocks get their counts in groups, which bounds what shuffles hold at a time. A frequent n-gram
+has one row for each block at most, so no step needs many rows of one n-gram together. A task that sums holds one block and its n-grams at a time.
 
 Words are taken unchanged. Null and empty texts have no words and score 0. Rows that repeat a doc_id are documents of their own, and so are
-rows with a null one: inside, a document is known by its place in the input. Orders to 255. Equal texts score alike. Extra columns are ignored, and an empty
+rows with a null one: inside, a document is known by its place in the input. Equal texts score alike. Extra columns are ignored, and an empty
 table gives no rows.
 """
 
@@ -31,17 +31,27 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import grams, mixed, rows_of, small, staged, table, word_hashes
-from .packing import word_count
+from .common import drop, flat_word_hashes, grams, mixed, staged, table
 
-BACKOFF, ORDER, SLICES = 0.4, 3, 3
+BACKOFF, ORDER, SLICES = 0.4, 3, 4
+#: Bytes of a block's texts, if it has more than one text.
+BLOCK = 6 << 20
 ONE = np.uint64(0xA0761D6478BD642F)
-EXPLODED = pa.schema([("row", pa.int64()), ("gram", pa.int64()), ("n", pa.int32())])
-STATE = pa.schema([("row", pa.int64()), ("levels", pa.binary()), ("score", pa.float64())])
-RESULT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_backoff", pa.int64()), ("log_score", pa.float64())])
+PLACED = pa.schema([("block", pa.int64()), ("row", pa.int64()), ("text", pa.string())])
+EXPLODED = pa.schema([("block", pa.int64()), ("gram", pa.int64()), ("n", pa.int64()), ("docs", pa.int32())])
+#: Of each document: what other documents have of its n-grams, by start, and of the contexts that go if a word takes one word more; logs so far; its words; those scored by more than one and by two and more
+#: words, counted once for each further word; those scored at their longest n-gram.
+STATE = pa.schema([("row", pa.int64()), ("rest", pa.binary()), ("contexts", pa.binary()), ("score", pa.float64()), ("words", pa.int64()), ("pairs", pa.int64()), ("levels", pa.int64()), ("longest", pa.int64())])
+STEP = pa.schema([*EXPLODED, *STATE])
+
+
+def ddl(schema: pa.Schema) -> str:
+    names = {pa.int64(): "long", pa.int32(): "int", pa.float64(): "double", pa.binary(): "binary", pa.string(): "string"}
+    return ", ".join(f"{f.name} {names[f.type]}" for f in schema)
 
 
 def keys(h: np.ndarray, length: int) -> np.ndarray:
@@ -49,117 +59,186 @@ def keys(h: np.ndarray, length: int) -> np.ndarray:
     return mixed(h ^ ONE) if length == 1 else grams(h, length)
 
 
-def in_slice(key: np.ndarray, part: int, parts: int) -> np.ndarray:
-    return (key >> np.uint64(32)) % np.uint64(parts) == np.uint64(part)
-
-
-def exploded(rows: DataFrame, length: int, part: int = 0, parts: int = 1) -> DataFrame:
-    """Takes row and text; returns row, gram and n: each document's distinct n-grams of one length and slice, and how often it has them."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in small(batches, 100):
-            ids, found, times = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int32)]
-            for row, words in zip(b.column("row").to_pylist(), word_hashes(b.column("text").to_pylist()), strict=True):
-                key = keys(words, length)
-                gram, n = np.unique(key[in_slice(key, part, parts)], return_counts=True)
-                ids.append(np.full(len(gram), row, np.int64))
-                found.append(gram.view(np.int64))
-                times.append(n.astype(np.int32))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (ids, found, times)], schema=EXPLODED)
-
-    return rows.select("row", "text").mapInArrow(run, "row long, gram long, n int")
+def placed(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Rows in the input's order with their block, the row that it starts with; depends on rows and sizes only, not on batches."""
+    block, size = None, 0
+    for b in batches:
+        blocks = []
+        lengths = np.diff(offsets(b.column("text")))
+        for row, length in zip(b.column("row").to_pylist(), lengths.tolist(), strict=True):
+            if block is None or size + length > most:
+                block, size = row, 0
+            size += length
+            blocks.append(block)
+        yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), b.column("row"), b.column("text")], schema=PLACED)
+
+
+def offsets(texts: pa.Array) -> np.ndarray:
+    lengths = np.asarray(pa.compute.binary_length(texts).fill_null(0))
+    return np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
+
+
+def counted(block: int, key: np.ndarray, doc: np.ndarray) -> list[pa.Array]:
+    """The columns of EXPLODED for a block: its distinct n-grams, from the key and document of each occurrence."""
+    gram, which, n = np.unique(key, return_inverse=True, return_counts=True)
+    some = np.empty(len(gram), doc.dtype)
+    some[which] = doc
+    docs = np.ones(len(gram), np.int32)
+    docs[which[some[which] != doc]] = 2
+    return [pa.array(np.full(len(gram), block, np.int64)), pa.array(gram.view(np.int64)), pa.array(n.astype(np.int64)), pa.array(docs)]
+
+
+def exploded(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """The distinct words of each block."""
+
+    def of_block(block: int, texts: list[pa.Array]) -> Iterator[pa.RecordBatch]:
+        h, n = flat_word_hashes(texts)
+        out = pa.RecordBatch.from_arrays(counted(block, keys(h, 1), np.repeat(np.arange(len(n), dtype=np.int32), n)), schema=EXPLODED)
+        for at in range(0, len(out), 1 << 16):
+            yield out.slice(at, 1 << 16)
+
+    block, texts = None, []
+    for b in placed(batches, most):
+        blocks = np.asarray(b.column("block"))
+        edges = [0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist(), len(b)]
+        for lo, hi in zip(edges, edges[1:], strict=False):
+            if hi > lo:
+                if block is not None and block != blocks[lo]:
+                    yield from of_block(block, texts)
+                    texts = []
+                block = int(blocks[lo])
+                texts.append(b.column("text").slice(lo, hi - lo))
+    if block is not None:
+        yield from of_block(block, texts)
 
 
 def count_table(grams: DataFrame) -> DataFrame:
     """gram and total of the n-grams that more than one document has."""
-    return grams.groupBy("gram").agg(F.sum("n").alias("total"), F.count("*").alias("docs")).where("docs > 1").select("gram", "total")
-
-
-def _brought_forward(length: int, order: int, part: int, parts: int):
-    """Rows of a document, sorted: its n-grams that others have, its state so far, its text; gives its state after this length and slice."""
-
-    def one(words: np.ndarray, levels: bytes | None, score: float, gram: np.ndarray, rest: np.ndarray) -> tuple[bytes, float]:
-        level = np.frombuffer(levels, np.uint8).copy() if levels is not None else np.zeros(len(words), np.uint8)
-        key = keys(words, length)
-        if not len(key) or not len(gram):
-            return level.tobytes(), score
-        place = np.argsort(gram)
-        gram, rest = gram[place], rest[place]
-        at = np.minimum(np.searchsorted(gram, key.view(np.int64)), len(gram) - 1)
-        known = (gram[at] == key.view(np.int64)) & in_slice(key, part, parts)
-        log = np.log(rest[at])
-        # the run at j ends with word j + length - 1; as a context it is before word j + length
-        here = known & (level[length - 1 :] == 0)
-        context = known[:-1] & (level[length:] == length + 1)
-        level[length - 1 :][here] = length
-        return level.tobytes(), score + float(log[here].sum() - log[:-1][context].sum())
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gram, rest, state = [], [], (None, 0.0)
-        for b in batches:
-            g, r, kind = (np.asarray(b.column(c).fill_null(0)) for c in ("gram", "rest", "kind"))
-            out, lo = [], 0
-            ends = np.flatnonzero(kind > 0)  # a document's state and text follow its n-grams
-            few = small([b.select(["row", "levels", "score", "text"]).take(pa.array(ends))], 100)
-            each = ((*x, h) for some in few for x, h in zip(rows_of([some], "row", "levels", "score"), word_hashes(some.column("text").to_pylist()), strict=True))
-            for end, what, (row, levels, score, words) in zip(ends.tolist(), kind[ends].tolist(), each, strict=True):
-                gram.append(g[lo:end])
-                rest.append(r[lo:end])
-                lo = end + 1
-                if what == 1:
-                    state = (levels, score)
-                else:
-                    out.append((row, *one(words, *state, np.concatenate(gram), np.concatenate(rest))))
-                    gram, rest, state = [], [], (None, 0.0)
-            gram.append(g[lo:])
-            rest.append(r[lo:])
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), STATE.types, strict=True)], schema=STATE)
+    return grams.groupBy("gram").agg(F.sum("n").alias("total"), F.sum("docs").alias("docs")).where("docs > 1").select("gram", "total")
+
+
+def packed(rest: np.ndarray) -> bytes:
+    """Counts in as few bytes each as the largest one needs."""
+    most = int(rest.max()) if len(rest) else 0
+    return rest.astype(f"u{next(k for k in (1, 2, 4, 8) if most < 1 << 8 * k)}").tobytes()
+
+
+def _step(length: int, order: int):
+    """A block's n-grams that others have, with their totals; its texts and its documents' states: gives their states after this length and the next n-grams."""
+
+    def run(known: pa.Table, rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("row")
+        kind = np.asarray(rows.column("kind"))
+        texts, states = (rows.filter(pa.array(kind == k)) for k in (2, 1))
+        block = int(texts.column("block")[0].as_py())
+        h, n = flat_word_hashes(texts.column("text").chunks)
+        many, words = len(n), len(h)
+        doc, start = np.repeat(np.arange(many, dtype=np.int32), n), np.cumsum(n) - n
+        place = np.arange(words) - start[doc]
+        sums = lambda at, values=None: np.bincount(doc[at], values, many)
+        # counts of the n-grams of one word less, by their start
+        before = np.zeros(words + 1, np.int64)
+        contexts = np.zeros(0, np.int64)
+        score, pairs, levels, longest = (np.zeros(many, t) for t in (np.float64, np.int64, np.int64, np.int64))
+        starts = place + length <= n[doc]
+        if length > 1:
+            for at, size, rest in zip(start.tolist(), (n - length + 2).tolist(), states.column("rest").to_pylist(), strict=True):
+                if size > 0:
+                    before[at : at + size] = np.frombuffer(rest, f"u{len(rest) // size}")
+            score, pairs, levels, longest = (np.array(states.column(c)) for c in ("score", "pairs", "levels", "longest"))
+            starts &= (before[:-1] > 0) & (before[1:] > 0)
+        at = np.flatnonzero(starts)
+        if length > 2:
+            contexts = np.concatenate([np.frombuffer(x, f"u{len(x) // size}").astype(np.int64) for x, size in zip(states.column("contexts").to_pylist(), sums(at).tolist(), strict=True) if size] or [contexts])
+        rest = np.zeros(words + 1, np.int64)
+        if len(known) and len(at):
+            gram, total = (np.asarray(known.column(c)) for c in ("gram", "total"))
+            by = np.argsort(gram)
+            gram, total = gram[by], total[by]
+            key = keys(h, length)[at].view(np.int64)
+            which = np.minimum(np.searchsorted(gram, key), len(gram) - 1)
+            there = gram[which] == key
+            at, which, contexts = at[there], which[there], contexts[there] if length > 2 else contexts
+            _, same, own = np.unique(which * many + doc[at], return_inverse=True, return_counts=True)
+            rest[at] = total[which] - own[same]
+        at = np.flatnonzero(rest)
+        if length > 1:
+            # words that stay at one word less, and the contexts of the others
+            stay = before > 0
+            stay[at + 1] = False
+            stay = np.flatnonzero(stay)
+            score = score + sums(stay, np.log(before[stay])) - sums(at, np.log(before[at]))
+            if length > 2 and len(at):
+                score = score + sums(at, np.log(contexts))
+            levels = levels + sums(at)
+            pairs = sums(at) if length == 2 else pairs
+            if length < order:
+                longest = longest.copy()
+                longest[n > 0] += rest[start[n > 0]] > 0
+            else:
+                longest = longest + sums(at)
+        if length == order:
+            score = score + sums(at, np.log(rest[at]))
+        on = np.flatnonzero((place + length < n[doc]) & (rest[:-1] > 0) & (rest[1:] > 0)) if length < order else at[:0]
+        ends = np.cumsum(sums(on))
+        kept = [packed(rest[s : s + size]) if size > 0 and length < order else b"" for s, size in zip(start.tolist(), (n - length + 1).tolist(), strict=True)]
+        again = [packed(x) for x in np.split(before[on + 1], ends[:-1])] if length > 1 else [b""] * many
+        state = [texts.column("row").combine_chunks(), pa.array(kept, pa.binary()), pa.array(again, pa.binary()), *(pa.array(x, t) for x, t in zip((score, n, pairs, levels, longest), STATE.types[3:], strict=True))]
+        out = [pa.table([pa.array(np.full(many, block)), *(pa.nulls(many, t) for t in EXPLODED.types[1:]), *state], schema=STEP)]
+        if length < order:
+            more = counted(block, keys(h, length + 1)[on] if len(on) else h[:0], doc[on])
+            out.append(pa.table([*more, *(pa.nulls(len(more[0]), t) for t in STATE.types)], schema=STEP))
+        return pa.concat_tables(out)
 
     return run
 
 
-def _result(order: int, every: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out: list[list] = [[], [], []]
-            for levels, score in zip(b.column("levels").to_pylist(), b.column("score").to_pylist(), strict=True):
-                level = np.maximum(np.frombuffer(levels, np.uint8), 1)
-                backed = np.minimum(np.arange(1, len(level) + 1), order) - level
-                others = every - len(level)
-                log_score = score + int(backed.sum()) * np.log(BACKOFF) - int((level == 1).sum()) * np.log(others + 1.0) if len(level) else 0.0
-                for column, x in zip(out, (len(level), int((backed > 0).sum()), float(log_score)), strict=True):
-                    column.append(x)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(c, t) for c, t in zip(out, RESULT.types[1:], strict=True))], schema=RESULT)
+def _union(tables: list[DataFrame]) -> DataFrame:
+    out = tables[0]
+    for more in tables[1:]:
+        out = out.unionByName(more, allowMissingColumns=True)
+    return out
 
-    return run
 
-
-def scored(docs: DataFrame, order: int = ORDER, slices: int = SLICES) -> DataFrame:
+def scored(docs: DataFrame, order: int = ORDER, slices: int = SLICES, block: int = BLOCK) -> DataFrame:
     """doc_id, n_words, n_backoff (words that backed off from their longest n-gram) and log_score.
 
     The input is read several times and must give its rows in the same order: a table, or a staged one.
     """
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    every = int(rows.agg(F.sum(word_count())).first()[0] or 0)
-    texts, states = rows.select("row", F.lit(2).alias("kind"), "text"), []
-    for length in range(order, 0, -1):
-        # single words are fewer, and the longest n-grams are seldom seen elsewhere
-        parts = max(1, slices - (length in (1, order)))
+    texts = rows.select("row", "text").mapInArrow(lambda x: placed(x, block), ddl(PLACED)).withColumn("kind", F.lit(2))
+    steps = [staged(rows.select("row", "text").mapInArrow(lambda x: exploded(x, block), ddl(EXPLODED)))]
+    every = int(steps[0].agg(F.sum("n")).first()[0] or 0)
+    states: list[DataFrame] = []
+    for length in range(1, order + 1):
+        found, known = _union(steps).where("gram is not null"), []
+        # single words are fewer
+        parts = 1 if length == 1 else slices
         for part in range(parts):
-            counts = staged(count_table(exploded(rows, length, part, parts)))
+            some = found.where(F.pmod("gram", F.lit(parts)) == part)
+            counts = staged(count_table(some))
             # the count table has an n-gram once, so its hash table is even and the exploded side needs no sort
-            known = exploded(rows, length, part, parts).join(counts.hint("shuffle_hash"), "gram").select("row", F.lit(0).alias("kind"), "gram", (F.col("total") - F.col("n")).alias("rest"))
-            both = known.unionByName(texts, allowMissingColumns=True)
-            if states:
-                both = both.unionByName(states[0].select("row", F.lit(1).alias("kind"), "levels", "score"), allowMissingColumns=True)
-            else:
-                both = both.withColumns({"levels": F.lit(None).cast("binary"), "score": F.lit(None).cast("double")})
-            ordered = both.repartition("row").sortWithinPartitions("row", "kind")
-            state = ordered.mapInArrow(_brought_forward(length, order, part, parts), "row long, levels binary, score double")
-            states = [staged(state, counts, *states)]
-    named = rows.select("row", "doc_id").join(states[0], "row").select("doc_id", "levels", "score")
-    return named.mapInArrow(_result(order, every), "doc_id long, n_words long, n_backoff long, log_score double")
+            known.append(staged(some.select("block", "gram").join(counts.hint("shuffle_hash"), "gram").select("block", "gram", "total"), counts))
+        drop(*steps)
+        steps = []
+        groups = 1 if length == 1 else max(1, slices - 1 if length < order else slices - 2)
+        for group in range(groups):
+            of = lambda df: df.where(F.pmod(F.xxhash64("block"), F.lit(groups)) == group)  # noqa: B023, E731
+            own = _union([of(texts), *(of(x).withColumn("kind", F.lit(1)) for x in states)])
+            if not states:
+                own = own.withColumns({f.name: F.lit(None).cast(ddl(pa.schema([f])).split()[1]) for f in list(STATE)[1:]})
+            steps.append(staged(of(_union(known)).groupBy("block").cogroup(own.groupBy("block")).applyInArrow(_step(length, order), ddl(STEP)), codec="zstd"))
+        drop(*known, *states)
+        # apart from the n-grams, which go before the states do
+        states = [staged(_union(steps).where("row is not null").drop("gram", "n", "docs"), codec="zstd")]
+    drop(*steps)
+    n, last = F.col("words"), states[0]
+    top = F.when(n < order, n * (n + 1) / 2).otherwise(n * order - order * (order - 1) / 2)
+    backed = top - n - F.col("levels")
+    log_score = F.col("score") + backed * float(np.log(BACKOFF)) - (n - F.col("pairs")) * F.log(F.lit(float(every)) - n + 1.0)
+    return rows.select("row", "doc_id").join(last, "row").select(
+        "doc_id", n.alias("n_words"), F.when((n > 0) & F.lit(order > 1), n - 1 - F.col("longest")).otherwise(F.lit(0)).cast("long").alias("n_backoff"), F.when(n > 0, log_score).otherwise(0.0).alias("log_score")
+    )
 
 
 def op3_lmscore(spark: SparkSession, sf_dir: str) -> DataFrame:
