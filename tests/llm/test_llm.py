@@ -239,6 +239,25 @@ def test_flat_word_hashes():
         assert all(known.setdefault(w, x) == x for w, x in zip(words, h.tolist(), strict=True)) and len(set(known.values())) == len(known)
 
 
+def test_language_model_deals_n_grams_once(spark):
+    """The count table and the join with it read the same shuffled rows; n is negative where documents of one block share the n-gram."""
+    rows = [(0, 1, 2), (9, 1, 1), (0, 2, -3), (0, 3, 5), (9, 4, 1), (0, 4, -2), (7, 4, 1)]
+    spark.createDataFrame(rows, lmscore.ddl(lmscore.EXPLODED)).write.mode("overwrite").parquet(at := f"{common.shared_dir(spark)}/exploded")
+    got = lmscore.elsewhere(spark.read.parquet(at))
+    assert sorted(map(tuple, got.collect())) == [(0, 1, 1), (0, 2, 0), (0, 4, 2), (7, 4, 3), (9, 1, 2), (9, 4, 3)]
+    plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("ReusedExchange") == 1 and len(re.findall(r"Exchange hashpartitioning\(gram", plan)) == 2, plan
+
+
+def test_ordered_keys():
+    draw = np.random.default_rng(3)
+    near = np.array([5, 4, 5, 7, 4, 5], np.uint64)  # alike but for the bits that give way to places
+    for key in (near, near[:0], near[:1], draw.integers(0, 1 << 63, 900, np.uint64)[draw.integers(0, 900, 2000)] * np.uint64(2)):
+        by, some, new = lmscore.ordered(key)
+        assert by.tolist() == np.argsort(key, kind="stable").tolist() and some.tolist() == sorted(key.tolist())
+        assert len(key) == 0 or some[new].tolist() == np.unique(key).tolist()
+
+
 def test_language_model_of_repeated_and_null_ids(spark):
     rows = [(1, "a b c"), (1, "a b c"), (None, "a b c"), (None, None), (2, "z")]
     got = sorted(str((*r[:3], round(r[3], 9))) for r in lmscore.scored(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect())

@@ -50,17 +50,40 @@ def staged(df: DataFrame, *over: DataFrame, codec: str | None = None) -> DataFra
     The write's shuffle files go when it ends, and Python gets small batches in it, by settings that hold for this write only. The tables in
     ``over`` are no longer needed then, so they go too.
     """
+    path = _written(df, WRITING, codec)
+    drop(*over)
+    return _stage(df.sparkSession, df.schema, path)
+
+
+def dealt(df: DataFrame, by: str, parts: list[int], codec: str | None = None) -> list[DataFrame]:
+    """As ``staged``, with a table for each value of the column ``by``, which they don't have any more. Each can be dropped by itself."""
     spark = df.sparkSession
-    path, before = f"{shared_dir(spark)}/stage-{uuid.uuid4().hex}", {name: spark.conf.get(name) for name in WRITING}
+    # a writer for each part is open at a time, so rows need not be sorted by part
+    path = _written(df, WRITING | {"spark.sql.maxConcurrentOutputFileWriters": str(len(parts))}, codec, by)
+    there = {x.getPath().getName() for x in _files(spark, path).listStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path))}
+    schema = df.drop(by).schema
+    return [_stage(spark, schema, f"{path}/{by}={k}", f"{by}={k}" in there) for k in parts]
+
+
+def _written(df: DataFrame, settings: dict[str, str], codec: str | None, by: str | None = None) -> str:
+    spark = df.sparkSession
+    path, before = f"{shared_dir(spark)}/stage-{uuid.uuid4().hex}", {name: spark.conf.get(name, None) for name in settings}
     try:
-        for name, value in WRITING.items():
+        for name, value in settings.items():
             spark.conf.set(name, value)
-        df.write.parquet(path, compression=codec)
+        # hashes don't repeat enough for a dictionary
+        df.write.option("parquet.enable.dictionary#gram", "false").parquet(path, compression=codec, partitionBy=by)
     finally:
         for name, value in before.items():
-            spark.conf.set(name, value)
-    drop(*over)
-    out = spark.read.schema(df.schema).parquet(path)
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+    return path
+
+
+def _stage(spark: SparkSession, schema, path: str, there: bool = True) -> DataFrame:
+    out = spark.read.schema(schema).parquet(path) if there else spark.createDataFrame([], schema)
     out._stage = path
     return out
 
@@ -77,8 +100,12 @@ def clear(spark: SparkSession) -> None:
 
 
 def _remove(spark: SparkSession, path: str) -> None:
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    _files(spark, path).delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path), True)
+
+
+def _files(spark: SparkSession, path: str):
+    """The file system that has the path."""
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def let(value: Column, use) -> Column:
@@ -153,35 +180,41 @@ def word_hashes(texts: list[str | None]) -> list[np.ndarray]:
     return np.split(out, np.searchsorted(first, np.cumsum([len(x) + 1 for x in raw])[:-1]))
 
 
+#: Masks that leave so many bytes of eight.
+FIRST_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+
 def flat_word_hashes(texts: list[pa.Array]) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the words of all texts, in order, and each text's number of words.
 
-    A word's hash is a polynomial in a random figure for each byte, from differences of prefix sums modulo 2**64. Other hashes than ``word_hashes`` gives.
+    A word is read eight bytes at a time, all words at once; those of more than 64 bytes are hashed one by one. Other hashes than ``word_hashes`` gives.
     """
     hashes, counts = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
     for some in texts:
-        for k in range(0, len(some), 1000):
-            few = some.slice(k, 1000).fill_null("").cast(pa.large_binary())
+        for k in range(0, len(some), 500):
+            few = some.slice(k, 500).fill_null("").cast(pa.large_binary())
             bounds = np.frombuffer(few.buffers()[1], np.int64)[few.offset : few.offset + len(few) + 1]
-            data = np.frombuffer(few.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]]
+            raw = np.frombuffer(few.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]]
             bounds = bounds - bounds[0]
-            word = ~SPACE[data]
+            data = np.zeros(len(raw) + 8, np.uint8)
+            data[:-8] = raw
+            word = (raw != 0x20) & (raw - np.uint8(0x09) > 4)
             # a word ends before white space and at its text's end
-            cut = np.zeros(len(data) + 1, bool)
+            cut = np.zeros(len(raw) + 1, bool)
             cut[bounds] = True
             first = np.flatnonzero(word & (cut[:-1] | ~np.concatenate([[False], word[:-1]])))
-            end = np.flatnonzero(word & (cut[1:] | ~np.concatenate([word[1:], [False]]))) + 1
+            size = np.flatnonzero(word & (cut[1:] | ~np.concatenate([word[1:], [False]]))) + 1 - first
             counts.append(np.diff(np.searchsorted(first, bounds)))
-            # some hundred thousand bytes at a time, whole words
-            edges = [0, *np.unique(np.searchsorted(first, np.arange(GROUP, len(data), GROUP))).tolist(), len(first)]
-            for i, j in zip(edges, edges[1:], strict=False):
-                if j > i:
-                    lo, hi = int(first[i]), int(end[j - 1])
-                    up, down = _powers(hi - lo)
-                    sums = np.zeros(hi - lo + 1, np.uint64)
-                    np.cumsum(BYTES[data[lo:hi]] * up, out=sums[1:])
-                    s, e = first[i:j] - lo, end[i:j] - lo
-                    hashes.append(mixed((sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64) * MULT))
+            eight = np.ndarray(len(raw) + 1, "<u8", data, strides=(1,))
+            h = mixed((eight[first] & FIRST_BYTES[np.minimum(size, 8)]) + size.astype(np.uint64) * MULT)
+            more, at = np.flatnonzero(size > 8), 8
+            while len(more) and at < 64:
+                h[more] = mixed(h[more] * MULT + (eight[first[more] + at] & FIRST_BYTES[np.minimum(size[more] - at, 8)]))
+                at += 8
+                more = more[size[more] > at]
+            for i in more.tolist():
+                h[i] = xxhash.xxh3_64_intdigest(data[first[i] : first[i] + size[i]])
+            hashes.append(h)
     return np.concatenate(hashes), np.concatenate(counts)
 
 
