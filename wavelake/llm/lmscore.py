@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from .common import dealt, drop, flat_word_hashes, grams, mixed, staged, table
 
-BACKOFF, ORDER, SLICES, GROUPS = 0.4, 3, 2, 3
+BACKOFF, ORDER, SLICES, GROUPS = 0.4, 3, 4, 3
 #: Bytes of a block's texts, if it has more than one text.
 BLOCK = 8 << 20
 #: Bytes of texts in one row, if it has more than one text: the JVM holds larger rows badly.
@@ -309,7 +309,8 @@ def scored(docs: DataFrame, order: int = ORDER, slices: int = SLICES, block: int
     found = [[rows.select("row", "text").mapInArrow(lambda x: exploded(x, block), ddl(EXPLODED))]]
     states: list[DataFrame] = []
     for length in range(1, order + 1):
-        groups = 1 if length == 1 else GROUPS
+        # single words are fewer
+        groups = 2 if length == 1 else GROUPS
         known: list[list[DataFrame]] = []
         for some in found:
             known.append(dealt(elsewhere(_union(some)).withColumn("group", in_group(F.col("block"), groups)), "group", list(range(groups))))
